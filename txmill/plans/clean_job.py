@@ -9,15 +9,13 @@ Running it again on the same input gives the same table, so a scheduler may repe
 from __future__ import annotations
 
 import argparse
-import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from txmill.operators.clean import FIELD_TYPES, clean_transactions
 from txmill.sources.tables import write_parquet
-from txmill.sources.text import find_header, header_columns, is_other_header, read_lines
+from txmill.sources.text import find_header, header_columns, other_headers, read_lines
 
 # Where the files lie in a bucket.
 INPUT_FORMAT = "s3a://{bucket}/input_data/*.txt"
@@ -36,23 +34,20 @@ def run(
     *,
     files: int | None = None,
     mode: str = "errorifexists",
-) -> int:
-    """Clean ``source`` into ``target``; returns how many lines look like a different header.
+    check_headers: bool = False,
+) -> None:
+    """Clean ``source`` into ``target``.
 
-    The first header found names the columns of every file. Other headers are counted while the
-    data is read for the write, without another pass, and lead to a warning.
+    The first header found names the columns of every file. ``check_headers`` reads the text once
+    more beforehand and refuses files that name other columns.
     """
     lines = read_lines(spark, source)
     header = find_header(lines)
-    seen = Observation("headers")
-    watched = lines.observe(
-        seen, F.count_if(is_other_header(header, len(FIELD_TYPES))).alias("others")
-    )
-    write_parquet(cleaned(watched, header), target, files=files, mode=mode)
-    others = seen.get["others"]
-    if others:
-        warnings.warn(f"{others} lines name other columns than {header!r}", stacklevel=2)
-    return others
+    if check_headers:
+        other = other_headers(lines, header, len(FIELD_TYPES)).first()
+        if other is not None:
+            raise ValueError(f"columns differ between files: {header!r} and {other['value']!r}")
+    write_parquet(cleaned(lines, header), target, files=files, mode=mode)
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -64,6 +59,9 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--mode", default="errorifexists", choices=["errorifexists", "overwrite", "append"]
     )
+    parser.add_argument(
+        "--check-headers", action="store_true", help="fail if files name different columns"
+    )
     args = parser.parse_args(argv)
     if args.bucket:
         args.input = args.input or INPUT_FORMAT.format(bucket=args.bucket)
@@ -77,7 +75,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("clean_transactions").getOrCreate()
     try:
-        run(spark, args.input, args.output, files=args.files, mode=args.mode)
+        run(
+            spark,
+            args.input,
+            args.output,
+            files=args.files,
+            mode=args.mode,
+            check_headers=args.check_headers,
+        )
     finally:
         spark.stop()
 

@@ -32,10 +32,10 @@ def header_columns(header: str, required: int) -> list[str]:
     return names[:required]
 
 
-def is_other_header(header: str, required: int):
-    """Condition: a ``#`` line that names as many columns as a header, but not the same ones."""
+def other_headers(lines: DataFrame, header: str, required: int) -> DataFrame:
+    """``#`` lines that name as many columns as a header, but not those of ``header``."""
     value = F.col("value")
-    return (
+    return lines.filter(
         value.startswith(COMMENT)
         & (F.size(F.split(value, r" \| ")) >= required)
         & (F.rtrim(value) != F.lit(header.rstrip()))
