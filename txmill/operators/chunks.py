@@ -1,13 +1,12 @@
 """Running totals over long ordered groups without one task per group.
 
 A window over one key puts the whole key into one task. Here an ordered group is cut into chunks,
-the window runs inside a chunk, and what earlier chunks add up to comes from one small row per
-chunk.
+the window runs inside a chunk, and what earlier chunks add up to comes from one row per chunk.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,25 +35,42 @@ def range_buckets(df: DataFrame, column: str, out: str, buckets: int | None = No
     return ranges.transform(df).withColumn(out, F.col(out).cast("int"))
 
 
-def earlier_chunks(
-    df: DataFrame, keys: Sequence[str], chunk: str, total: Column, combine, out: str
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    chunk: str,
+    order: Sequence[str],
+    value: Column,
+    combine: Callable[[str], Column],
+    out: str,
+    *,
+    inclusive: bool,
 ) -> DataFrame:
-    """Add ``out``: the aggregate ``total`` over all rows of the key in earlier chunks.
+    """Add ``out``: ``value`` combined over the rows before (and with ``inclusive`` up to) each row.
 
-    ``combine`` merges the totals of chunks (``F.sum``, ``F.max``); NULL where there is none.
-    Without keys the totals form one group, so the caller must bound the number of chunks.
+    Rows are ordered by ``chunk`` and inside it by ``order``; ``combine`` is ``F.sum`` or ``F.max``.
+    What all earlier chunks of a key add up to enters its chunk as one more row, ahead of the
+    others. So the rows are shuffled once, by key and chunk, and nothing is joined or broadcast.
+    Without keys the chunk totals form one group: the caller must bound the number of chunks.
     """
-    totals = df.groupBy(*keys, chunk).agg(total.alias("_total"))
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy(chunk)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumns({"_value": value, "_row": F.lit(1)})
+    earlier = (
+        Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     )
-    names = [*keys, chunk]
-    heads = totals.select(
-        *[F.col(n).alias(f"_{n}") for n in names], combine("_total").over(before).alias(out)
+    carried = (
+        rows.groupBy(*keys, chunk)
+        .agg(combine("_value").alias("_total"))
+        .select(*keys, chunk, combine("_total").over(earlier).alias("_value"), F.lit(0).alias("_row"))
+    )
+    end = Window.currentRow if inclusive else -1
+    in_chunk = (
+        Window.partitionBy(*keys, chunk)
+        .orderBy("_row", *order)
+        .rowsBetween(Window.unboundedPreceding, end)
+    )
+    return (
+        rows.unionByName(carried, allowMissingColumns=True)
+        .withColumn(out, combine("_value").over(in_chunk))
+        .filter(F.col("_row") == F.lit(1))
+        .drop("_value", "_row")
     )
-    same = F.lit(True)
-    for n in names:
-        same = same & F.col(n).eqNullSafe(F.col(f"_{n}"))
-    return df.join(heads, same, "left").drop(*[f"_{n}" for n in names])

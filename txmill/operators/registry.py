@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmill.operators.chunks import earlier_chunks, range_buckets
+from txmill.operators.chunks import range_buckets, running
 
 RUNS_SCHEMA = (
     "run_id string, run_name string, model_name string, recorded_at timestamp, "
@@ -53,12 +53,17 @@ def model_versions(registrations: DataFrame, buckets: int | None = None) -> Data
         "_at", F.unix_micros(F.col("recorded_at").cast("timestamp")).cast("double")
     )
     ranged = range_buckets(timed, "_at", "_range", buckets).drop("_at")
-    counted = earlier_chunks(ranged, ["model_name"], "_range", F.count("*"), F.sum, "_before")
-    inside = F.row_number().over(
-        Window.partitionBy("model_name", "_range").orderBy("recorded_at", "run_id")
+    numbered = running(
+        ranged,
+        ["model_name"],
+        "_range",
+        ["recorded_at", "run_id"],
+        F.lit(1),
+        F.sum,
+        "version",
+        inclusive=True,
     )
-    version = (F.coalesce(F.col("_before"), F.lit(0)) + inside).cast("int")
-    return counted.withColumn("version", version).drop("_range", "_before")
+    return numbered.withColumn("version", F.col("version").cast("int")).drop("_range")
 
 
 def version_history(registrations: DataFrame, runs: DataFrame) -> DataFrame:
@@ -78,26 +83,21 @@ def promotions(history: DataFrame, chunk: int = _VERSIONS_PER_CHUNK) -> DataFram
     without one never is. ``version`` is a whole number, unique per model, so a chunk of the
     history holds at most ``chunk`` rows of a model.
     """
-    numbered = history.withColumn(
-        "_chunk", F.floor(F.col("version") / F.lit(chunk)).cast("bigint")
-    )
-    best = F.max(_usable(F.col("auc")))
-    earlier = earlier_chunks(numbered, ["model_name"], "_chunk", best, F.max, "_before")
-    inside = best.over(
-        Window.partitionBy("model_name", "_chunk")
-        .orderBy("version")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    champion_auc = F.greatest(F.col("_before"), inside)
+    version = F.col("version")
+    chunked = history.withColumn("_chunk", version - F.pmod(version, F.lit(chunk)))
     auc = _usable(F.col("auc"))
-    promoted = auc.isNotNull() & (
-        F.col("champion_auc").isNull() | (auc > F.col("champion_auc"))
-    )
-    return (
-        earlier.withColumn("champion_auc", champion_auc)
-        .withColumn("promoted", promoted)
-        .drop("_chunk", "_before")
+    compared = running(
+        chunked,
+        ["model_name"],
+        "_chunk",
+        ["version"],
+        auc,
+        F.max,
+        "champion_auc",
+        inclusive=False,
     )
+    better = F.col("champion_auc").isNull() | (auc > F.col("champion_auc"))
+    return compared.withColumn("promoted", auc.isNotNull() & better).drop("_chunk")
 
 
 def improvement_pct(new: Column, old: Column) -> Column:

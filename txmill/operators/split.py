@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txmill.functions.hashing import HASH_RANGE, below_fraction, hash32
-from txmill.operators.chunks import earlier_chunks
+from txmill.operators.chunks import running
 
 # Share of the training part, and the seed.
 TRAIN_FRACTION = 0.8
@@ -123,9 +123,11 @@ def shuffled_position(
     Positions are counted inside a cell of the hash range and moved by the rows of earlier cells;
     there are at most ``cells`` such totals, and cells fill evenly because the key is unique.
     """
-    cell = (hash32(key, f"shuffle-{seed}") / F.lit(HASH_RANGE // cells)).cast("int")
-    hashed = df.withColumn("_hash", hash32(key, f"shuffle-{seed}")).withColumn("_cell", cell)
-    counted = earlier_chunks(hashed, [], "_cell", F.count("*"), F.sum, "_before")
-    inside = F.row_number().over(Window.partitionBy("_cell").orderBy("_hash", key))
-    place = F.coalesce(F.col("_before"), F.lit(0)) + inside - F.lit(1)
-    return counted.withColumn(out, place).drop("_hash", "_cell", "_before")
+    hashed = df.withColumn("_hash", hash32(key, f"shuffle-{seed}"))
+    celled = hashed.withColumn(
+        "_cell", (F.col("_hash") / F.lit(HASH_RANGE // cells)).cast("int")
+    )
+    placed = running(
+        celled, [], "_cell", ["_hash", key], F.lit(1), F.sum, out, inclusive=True
+    )
+    return placed.withColumn(out, F.col(out) - F.lit(1)).drop("_hash", "_cell")
