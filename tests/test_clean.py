@@ -1,0 +1,215 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from txmill.functions import to_date, to_float, to_int
+from txmill.operators import clean
+from txmill.plans import clean_job
+from txmill.sources import find_header, header_columns, read_parquet, write_parquet
+
+HEADER = (
+    "# tranaction_id | tx_datetime | customer_id | terminal_id | tx_amount"
+    " | tx_time_seconds | tx_time_days | tx_fraud | tx_fraud_scenario"
+)
+
+
+def lines_of(spark, *lines):
+    return spark.createDataFrame([(line,) for line in lines], "value string")
+
+
+def cleaned(spark, *lines):
+    rows = clean_job.cleaned(lines_of(spark, *lines), HEADER).collect()
+    return {r["transaction_id"]: r for r in rows}
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("12", 12), ("-12", -12), ("+5", 5), ("12.5", 12), ("-5.9", -5), (".5", 0), ("-.5", 0),
+        ("5.", 5), (".", 0), ("007", 7), (" 5 ", 5), ("\t7.9\r", 7), ("0", 0),
+        ("2147483647", 2147483647), ("2147483647.9", 2147483647), ("-2147483648.9", -2147483648),
+        ("2147483648", None), ("99999999999", None), ("", None), ("-", None), ("+.x", None),
+        ("abc", None), ("1e3", None), ("5.x", None), ("0x1", None), ("12L", None), ("1_0", None),
+        ("1 2", None), ("5..", None), ("--5", None), (None, None),
+    ],
+)
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_to_int(spark, text, expected, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        row = spark.createDataFrame([(text,)], "t string").select(to_int(F.col("t"))).first()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert row[0] == expected
+
+
+def test_to_int_equals_the_lenient_cast(spark):
+    """Without ANSI mode, Spark's own cast follows the rule that to_int spells out."""
+    parts = ["", "+", "-", " ", "\t", ".", "0", "7", "12", "2147483648", "e", "x", "\x7f"]
+    texts = [a + b + c + d for a in parts for b in parts for c in parts for d in (".", "3", " ")]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        rows = (
+            spark.createDataFrame([(t,) for t in texts], "t string")
+            .select("t", to_int(F.col("t")).alias("ours"), F.col("t").cast("int").alias("cast"))
+            .collect()
+        )
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert [r for r in rows if r["ours"] != r["cast"]] == []
+    assert sum(r["ours"] is not None for r in rows) > 100
+
+
+def test_to_float_and_date(spark):
+    rows = spark.createDataFrame(
+        [("1.5", "2019-08-22 24:00:00"), ("x", "2019-13-45"), ("", ""), ("1e3", "2019-08-22")],
+        "f string, d string",
+    ).select(to_float(F.col("f")), to_date(F.col("d")))
+    day = datetime.date(2019, 8, 22)
+    assert [tuple(r) for r in rows.collect()] == [(1.5, day), (None, None), (None, None), (1000.0, day)]
+
+
+@pytest.mark.parametrize(
+    ("line", "expected"),
+    [
+        ("1,2019-08-22 06:51:03,10,20,12.5,100,0,0,0", True),
+        ("1,2019-08-22 06:51:03,10,Err,12.5,100,0,0,0", False),
+        ("1,2019-08-22 06:51:03,10,7.9,12.5,100,0,0,0", True),
+        ("1,2019-08-22 06:51:03,10,20,NaN,100,0,0,0", False),
+        ("1,2019-08-22 06:51:03,10,20,,100,0,0,0", False),
+        ("5,bad", False),
+        ("", False),
+        ("1,2019-08-22 06:51:03,99999999999,20,12.5,100,0,0,0", False),
+        ("1,2019-08-22 24:00:00,10,20,12.5,100,0,0,0", True),
+        ("1,2019-13-45,10,20,12.5,100,0,0,0", False),
+        ("1,2019-08-22 06:51:03,10,20,12.5,100,0,0,0,tenth", True),
+        ("# another comment", False),
+        (HEADER, False),
+    ],
+)
+def test_edge_lines(spark, line, expected):
+    assert (len(cleaned(spark, line)) == 1) is expected
+
+
+def test_cleaned_schema_and_values(spark):
+    good = "1,2019-08-22 06:51:03,10,7.9,12.5,100,0,1,2"
+    df = clean_job.cleaned(lines_of(spark, good), HEADER)
+    assert dict(df.dtypes) == {
+        "transaction_id": "int", "tx_datetime": "date", "customer_id": "int",
+        "terminal_id": "int", "tx_amount": "float", "tx_time_seconds": "int",
+        "tx_time_days": "int", "tx_fraud": "int", "tx_fraud_scenario": "int",
+    }
+    assert tuple(df.first()) == (1, datetime.date(2019, 8, 22), 10, 7, 12.5, 100, 0, 1, 2)
+
+
+def test_one_step_equals_single_steps(spark):
+    lines = lines_of(
+        spark, HEADER, "1,2019-08-22,10,7.9,1,1,0,0,0", "2,x", "", "3,2019-08-23, 4 ,.5,NaN,1,1,1,1,x"
+    )
+    names = header_columns(HEADER, 9)
+    data = clean.drop_comments(lines)
+    single = clean.cast_fields(clean.split_fields(data, names))
+    assert [str(r) for r in clean.typed_fields(data, names).collect()] == [
+        str(r) for r in single.collect()
+    ]
+
+
+def test_records_are_parsed_once(spark, sf_dir, tmp_path):
+    spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("props AS value").write.text(
+        str(tmp_path / "t")
+    )
+    lines = spark.read.text(str(tmp_path / "t"))
+    typed = clean.drop_incomplete(clean.typed_fields(lines, list("abcdefghi")))
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(value") == 1
+    assert plan.count("try_cast(parts") == 9 and plan.count("regexp_replace(parts") == 7
+
+
+def test_smallest_row_survives_in_any_order(spark):
+    rows = [(1, 5, "b"), (1, 5, "a"), (1, 7, "a"), (2, None, "z"), (2, 1, "a")]
+    for data in (rows, rows[::-1]):
+        df = spark.createDataFrame(data, "k int, a int, b string").repartition(3)
+        kept = clean.keep_one_per_key(df, "k").orderBy("k").collect()
+        assert [tuple(r) for r in kept] == [(1, 5, "a"), (2, None, "z")]
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        (F.lit(30_000) - F.col("id")).alias("v"),
+    )
+    kept = clean.keep_one_per_key(df, "k")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("partial_min")
+    assert kept.count() == 20_001
+    assert kept.filter("k = -1").first()["v"] == 3
+
+
+def test_cleaning_is_idempotent(spark):
+    line = "1,2019-08-22 06:51:03,10,20,12.5,100,0,0,0"
+    once = clean_job.cleaned(lines_of(spark, line, line), HEADER)
+    again = clean.keep_one_per_key(clean.drop_incomplete(once), clean.KEY)
+    assert once.collect() == again.collect()
+
+
+def test_rename_is_a_no_op_without_the_raw_name(spark):
+    assert clean.rename_key(spark.range(1)).columns == ["id"]
+
+
+def test_header_errors(spark):
+    with pytest.raises(ValueError, match="no header"):
+        find_header(lines_of(spark, "1,2", ""))
+    with pytest.raises(ValueError, match="9 are needed"):
+        header_columns("# a | b", 9)
+
+
+def write_files(path, **files):
+    path.mkdir()
+    for name, lines in files.items():
+        (path / f"{name}.txt").write_text("\n".join(lines) + "\n")
+    return f"{path}/*.txt"
+
+
+def test_job_over_files(spark, tmp_path):
+    source = write_files(
+        tmp_path / "in",
+        one=[HEADER, "1,2019-08-22 06:51:03,10,20,12.5,100,0,0,0", "7,bad"],
+        two=[HEADER, "1,2019-08-22 06:51:03,10,19,12.5,100,0,0,0", "", "2,2019-08-23,1,2,3,4,5,1,1"],
+    )
+    target = str(tmp_path / "out")
+    clean_job.run(spark, source, target, files=2, check_headers=True)
+    first = sorted(map(tuple, read_parquet(spark, target).collect()))
+    assert [(r[0], r[3]) for r in first] == [(1, 19), (2, 2)]
+    assert len(list((tmp_path / "out").glob("part-*.parquet"))) == 2
+    with pytest.raises(Exception, match="(?i)already exists"):
+        clean_job.run(spark, source, target)
+    clean_job.run(spark, source, target, mode="overwrite")
+    assert sorted(map(tuple, read_parquet(spark, target).collect())) == first
+
+
+def test_job_refuses_other_headers_when_asked(spark, tmp_path):
+    good = "1,2019-08-22 06:51:03,10,20,12.5,100,0,0,0"
+    swapped = HEADER.replace("customer_id | terminal_id", "terminal_id | customer_id")
+    source = write_files(tmp_path / "in", a=[HEADER, "# note", good, HEADER], b=[swapped, good])
+    with pytest.raises(ValueError, match="columns differ"):
+        clean_job.run(spark, source, str(tmp_path / "no"), check_headers=True)
+    clean_job.run(spark, source, str(tmp_path / "yes"))
+    assert read_parquet(spark, str(tmp_path / "yes")).count() == 1
+
+
+def test_file_count(spark, tmp_path):
+    write_parquet(spark.range(100), str(tmp_path / "five"), files=5)
+    assert len(list((tmp_path / "five").glob("part-*.parquet"))) == 5
+
+
+def test_arguments():
+    args = clean_job.parse_args(["--bucket", "b"])
+    assert args.input == "s3a://b/input_data/*.txt"
+    assert args.output == "s3a://b/output_data/prepare_data.parquet"
+    args = clean_job.parse_args(["--input", "i", "--output", "o", "--files", "5"])
+    assert (args.input, args.output, args.files, args.mode) == ("i", "o", 5, "errorifexists")
+    with pytest.raises(SystemExit):
+        clean_job.parse_args(["--input", "i"])
