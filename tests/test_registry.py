@@ -1,0 +1,100 @@
+import datetime
+import random
+
+import pytest
+
+from txmill.operators import registry
+
+FIVE = [(1, 0.80), (2, 0.70), (3, 0.80), (4, 0.90), (5, 0.85)]
+
+
+def history(spark, rows, model="m"):
+    return spark.createDataFrame(
+        [(model, v, a) for v, a in rows], "model_name string, version int, auc double"
+    )
+
+
+def promoted(spark, rows, **options):
+    found = registry.promotions(history(spark, rows), **options)
+    return [r["version"] for r in found.filter("promoted").orderBy("version").collect()]
+
+
+def test_five_versions(spark):
+    assert promoted(spark, FIVE) == [1, 4]
+    found = {r["alias"]: r["version"] for r in registry.aliases(history(spark, FIVE)).collect()}
+    assert found == {"champion": 4, "challenger": 5}
+    assert registry.champions(history(spark, FIVE)).first()["version"] == 4
+    gains = {r["version"]: r["improvement_pct"] for r in registry.improvements(history(spark, FIVE)).collect()}
+    assert gains == {1: None, 4: pytest.approx(12.5)}
+
+
+@pytest.mark.parametrize(
+    ("rows", "expected"),
+    [
+        ([], []),
+        ([(1, 0.5)], [1]),
+        ([(1, None)], []),
+        ([(1, float("nan"))], []),
+        ([(1, None), (2, 0.1), (3, None), (4, 0.1), (5, 0.2)], [2, 5]),
+        ([(1, 0.0), (2, 0.3)], [1, 2]),
+    ],
+)
+def test_special_histories(spark, rows, expected):
+    assert promoted(spark, rows) == expected
+    best = registry.champions(history(spark, rows)).collect()
+    assert [r["version"] for r in best] == expected[-1:]
+
+
+def test_improvement_over_zero_is_undefined(spark):
+    found = registry.improvements(history(spark, [(1, 0.0), (2, 0.3)])).orderBy("version").collect()
+    assert [r["improvement_pct"] for r in found] == [None, None]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1_000_000])
+def test_long_history_equals_a_loop(spark, chunk):
+    draw = random.Random(chunk)
+    rows = [(v, None if draw.random() < 0.1 else draw.randrange(1000) / 1000) for v in range(1, 400)]
+    best, expected = None, []
+    for version, auc in rows:
+        if auc is not None and (best is None or auc > best):
+            best = auc
+            expected.append(version)
+    draw.shuffle(rows)
+    assert promoted(spark, rows, chunk=chunk) == expected
+    assert registry.champions(history(spark, rows)).first()["version"] == expected[-1]
+
+
+def test_versions_follow_time_then_run(spark):
+    start = datetime.datetime(2024, 1, 1)
+    rows = [("m", f"r{i:03}", start + datetime.timedelta(minutes=i // 2)) for i in range(100)]
+    rows += [("other", "x", start)]
+    draw = random.Random(3)
+    draw.shuffle(rows)
+    df = spark.createDataFrame(rows, "model_name string, run_id string, recorded_at timestamp")
+    for buckets in (2, 30):
+        found = registry.model_versions(df, buckets).collect()
+        assert {(r["model_name"], r["run_id"]): r["version"] for r in found} == {
+            **{("m", f"r{i:03}"): i + 1 for i in range(100)},
+            ("other", "x"): 1,
+        }
+
+
+def test_records_are_appended_and_joined(spark, tmp_path):
+    runs, kept = str(tmp_path / "runs"), str(tmp_path / "registrations")
+    for run_id, auc in (("a", 0.8), ("b", 0.9), ("c", None)):
+        registry.record_run(
+            spark,
+            runs,
+            {
+                "run_id": run_id, "run_name": "n", "model_name": "m",
+                "numTrees_options": [10, 20], "maxDepth_options": [5, 10],
+                "auc": auc, "accuracy": 0.5, "f1": 0.5, "best_numTrees": 10, "best_maxDepth": None,
+            },
+        )
+        if run_id != "a":
+            registry.register_run(spark, kept, "m", run_id)
+    stored = spark.read.parquet(runs)
+    assert stored.count() == 3
+    assert stored.schema.simpleString() == spark.createDataFrame([], registry.RUNS_SCHEMA).schema.simpleString()
+    found = registry.version_history(spark.read.parquet(kept), stored).orderBy("version").collect()
+    assert [(r["version"], r["run_id"], r["auc"]) for r in found] == [(1, "b", 0.9), (2, "c", None)]

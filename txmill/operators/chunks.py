@@ -31,8 +31,10 @@ def range_buckets(df: DataFrame, column: str, out: str, buckets: int | None = No
     edges = [float("-inf"), *[e for e in inner if abs(e) != float("inf")], float("inf")]
     if len(edges) < 3:
         edges.insert(1, 0.0)
-    ranges = Bucketizer(splits=edges, inputCol=column, outputCol=out, handleInvalid="keep")
-    return ranges.transform(df).withColumn(out, F.col(out).cast("int"))
+    ranges = Bucketizer(splits=edges, inputCol="_at", outputCol=out, handleInvalid="keep")
+    # Adding 0.0 turns -0.0, which the boundaries would tell apart, into 0.0.
+    placed = df.withColumn("_at", F.col(column).cast("double") + F.lit(0.0))
+    return ranges.transform(placed).withColumn(out, F.col(out).cast("int")).drop("_at")
 
 
 def running(

@@ -50,9 +50,9 @@ def model_versions(registrations: DataFrame, buckets: int | None = None) -> Data
     A pass over the times runs at once to cut long histories into ranges.
     """
     timed = registrations.withColumn(
-        "_at", F.unix_micros(F.col("recorded_at").cast("timestamp")).cast("double")
+        "_time", F.unix_micros(F.col("recorded_at").cast("timestamp")).cast("double")
     )
-    ranged = range_buckets(timed, "_at", "_range", buckets).drop("_at")
+    ranged = range_buckets(timed, "_time", "_range", buckets).drop("_time")
     numbered = running(
         ranged,
         ["model_name"],

@@ -73,7 +73,7 @@ def exact_sample_condition(
             "cell",
             (F.sum("rows").over(up_to) - F.col("rows")).alias("before"),
             F.sum("rows").over(up_to).alias("upto"),
-            F.round(F.sum("rows").over(everything) * F.lit(fraction)).cast("bigint").alias("size"),
+            F.bround(F.sum("rows").over(everything) * F.lit(fraction)).cast("bigint").alias("size"),
         )
         .filter((F.col("before") < F.col("size")) & (F.col("size") <= F.col("upto")))
         .select(F.struct("cell", (F.col("size") - F.col("before")).alias("wanted")).alias("at"))
