@@ -1,0 +1,194 @@
+import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from txmill.operators import features, registry, synth
+from txmill.operators import model as models
+from txmill.operators.split import hash_split
+from txmill.plans import retrain_job
+
+SMALL = models.Grid(num_trees=(3, 5), max_depth=(2,))
+
+
+@pytest.fixture(scope="module")
+def learnable(spark, tmp_path_factory):
+    """Transactions whose label follows from the amount and the terminal, with a little noise."""
+    path = str(tmp_path_factory.mktemp("train") / "tx.parquet")
+    made = synth.synthetic_transactions(
+        spark, anchor="2024-06-01 00:00:00", count=3_000, fraud_rate=0.3, shuffle=True
+    )
+    made.select(
+        F.substring("transaction_id", 4, 8).cast("int").alias("transaction_id"),
+        F.to_date("timestamp").alias("tx_datetime"),
+        F.col("hour_of_day").alias("customer_id"),
+        F.floor("distance_from_home").cast("int").alias("terminal_id"),
+        F.col("amount").cast("float").alias("tx_amount"),
+        F.floor(F.col("ratio_to_median_purchase_price") * 100).cast("int").alias("tx_time_seconds"),
+        F.col("day_of_week").alias("tx_time_days"),
+        F.col("fraud").alias("tx_fraud"),
+        F.col("fraud").alias("tx_fraud_scenario"),
+        F.lit("text").alias("note"),
+    ).write.parquet(path)
+    return path
+
+
+@pytest.fixture(scope="module")
+def trained(spark, learnable):
+    return retrain_job.train_and_evaluate(spark.read.parquet(learnable), grid=SMALL)
+
+
+def test_features_by_schema(spark, learnable):
+    schema = spark.read.parquet(learnable).schema
+    expected = [
+        "transaction_id", "customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_time_days",
+    ]
+    assert features.feature_columns(schema) == expected
+    assert features.feature_columns(schema, exclude=["transaction_id"]) == expected[1:]
+
+
+def test_assemble_rejects_nulls(spark):
+    df = spark.createDataFrame([(1, 2.0), (None, 1.0)], "a int, b double")
+    with pytest.raises(Exception, match="null"):
+        features.assemble(df, ["a", "b"]).collect()
+
+
+def test_standardize_constant_null_and_single_row(spark):
+    df = spark.createDataFrame([(1.0, 5.0, "x"), (3.0, 5.0, "y"), (None, 5.0, "z")], "a double, b double, c string")
+    rows = features.standardize(df, ["a", "b"]).orderBy("c").collect()
+    assert [r["a"] for r in rows] == [pytest.approx(-(0.5**0.5)), pytest.approx(0.5**0.5), None]
+    assert [r["b"] for r in rows] == [0.0, 0.0, 0.0]
+    assert [r["c"] for r in rows] == ["x", "y", "z"]
+    assert features.standardize(df.limit(1), ["a"]).first()["a"] == 0.0
+
+
+def test_standardize_reuses_one_aggregate_without_a_join(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_quantity", "l_tax")
+    scaled = features.standardize(df, ["l_quantity", "l_tax"])
+    scaled.collect()
+    plan = scaled._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Cartesian" not in plan
+    assert "ReusedSubquery" in plan
+
+
+def test_grid():
+    forest = models.build_classifier("rf")
+    grid = models.param_grid(forest)
+    found = {(p[forest.numTrees], p[forest.maxDepth]) for p in grid}
+    assert found == {(10, 5), (10, 10), (20, 5), (20, 10)}
+    assert forest.getNumTrees() == 10 and forest.getMaxDepth() == 5
+    assert models.param_grid(models.build_classifier("lr")) == [{}]
+    with pytest.raises(ValueError, match="'rf' or 'lr'"):
+        models.build_classifier("gbt")
+
+
+def test_report(trained, learnable, spark):
+    _, report = trained
+    train, test = hash_split(spark.read.parquet(learnable), "transaction_id")
+    assert report.rows == {"train": train.count(), "test": test.count()}
+    assert report.train_nulls == {}
+    assert report.auc > 0.9 and report.accuracy > 0.85 and report.f1 > 0.85
+    assert report.best_numTrees in (3, 5) and report.best_maxDepth == 2
+
+
+def test_train_nulls_are_reported(spark):
+    df = spark.createDataFrame([("train", None, 1), ("train", 1, 1), ("test", None, None)], "p string, a int, b int")
+    assert retrain_job.describe_parts(df, "p") == ({"train": 2, "test": 1}, {"a": 1})
+
+
+def test_training_repeats_itself_on_another_layout(spark, learnable, trained, tmp_path):
+    moved = spark.read.parquet(learnable).repartition(7, "tx_amount")
+    _, again = retrain_job.train_and_evaluate(moved, grid=SMALL)
+    assert again.rows == trained[1].rows
+    assert again.auc == pytest.approx(trained[1].auc, abs=0.02)
+
+
+def test_fold_training_never_sees_its_validation_rows(spark):
+    folded = models.with_fold(spark.range(300).withColumnRenamed("id", "transaction_id"), "transaction_id")
+    assert folded.select("fold").distinct().count() == 3
+    assert dict(folded.dtypes)["fold"] == "int"
+
+
+def test_reloaded_model_gives_equal_predictions(spark, learnable, trained, tmp_path):
+    model, _ = trained
+    path = str(tmp_path / "model")
+    models.save_model(model, path)
+    models.save_model(model, path)
+    df = spark.read.parquet(learnable)
+
+    def scores(m):
+        rows = models.score(m, df).select(
+            "transaction_id", vector_to_array("probability").alias("p"), "prediction"
+        )
+        return sorted(map(tuple, rows.collect()))
+
+    assert scores(models.load_model(path)) == scores(model)
+
+
+def test_evaluation_of_a_single_class_has_no_auc(spark, learnable, trained):
+    model, _ = trained
+    scored = models.score(model, spark.read.parquet(learnable).filter("tx_fraud = 0"))
+    found = models.evaluate(scored)
+    assert found["auc"] is None and 0 <= found["accuracy"] <= 1
+    assert BinaryClassificationEvaluator(labelCol="tx_fraud").evaluate(scored) in (0.0, 1.0)
+
+
+def test_logistic_regression(spark, learnable):
+    model, report = retrain_job.train_and_evaluate(spark.read.parquet(learnable), model_type="lr")
+    assert report.auc > 0.9
+    assert (report.best_numTrees, report.best_maxDepth) == (None, None)
+
+
+def test_layout_split(spark, learnable):
+    _, report = retrain_job.train_and_evaluate(
+        spark.read.parquet(learnable), model_type="lr", layout_split=True
+    )
+    assert sum(report.rows.values()) == 3_000 and report.auc > 0.9
+
+
+def test_identifiers_can_be_left_out(spark, learnable):
+    _, report = retrain_job.train_and_evaluate(
+        spark.read.parquet(learnable), model_type="lr", exclude=["transaction_id"]
+    )
+    assert "transaction_id" not in report.features
+
+
+def test_nothing_stays_cached(spark, trained):
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_cycle_keeps_the_better_model(spark, learnable, tmp_path):
+    kept, target = str(tmp_path / "registry"), str(tmp_path / "model")
+    weak = str(tmp_path / "weak.parquet")
+    spark.read.parquet(learnable).withColumn(
+        "tx_fraud", (F.hash("transaction_id") % 2 == 0).cast("int")
+    ).write.parquet(weak)
+    options = dict(
+        registry_path=kept, auto_register=True, grid=models.Grid(num_trees=(3,), max_depth=(2,))
+    )
+    first = retrain_job.retrain(spark, weak, target, **options)
+    better = retrain_job.retrain(spark, learnable, target, run_name="good", **options)
+    worse = retrain_job.retrain(spark, weak, target, **options)
+    unregistered = retrain_job.retrain(spark, learnable, target, registry_path=kept, grid=options["grid"])
+    assert [r["promoted"] for r in (first, better, worse, unregistered)] == [True, True, False, None]
+    assert first["run_name"] == "fraud_detection_rf_weak.parquet" and better["run_name"] == "good"
+    history = retrain_job.history_of(spark, kept)
+    assert [r["run_id"] for r in history.orderBy("version").collect()] == [
+        first["run_id"], better["run_id"], worse["run_id"],
+    ]
+    held = {r["alias"]: r["version"] for r in registry.aliases(history).collect()}
+    assert held == {"champion": 2, "challenger": 3}
+    runs = spark.read.parquet(f"{kept}/runs")
+    assert runs.count() == 4
+    assert runs.filter("run_name = 'good'").first()["numTrees_options"] == [3]
+    assert history.select("model_name").distinct().first()[0] == "fraud_detection_model"
+
+
+def test_arguments():
+    args = retrain_job.parse_args(["--input", "i", "--output", "o"])
+    assert (args.model_type, args.experiment_name, args.auto_register) == ("rf", "fraud_detection", False)
+    with pytest.raises(SystemExit):
+        retrain_job.parse_args(["--input", "i", "--output", "o", "--auto-register"])
+    with pytest.raises(SystemExit):
+        retrain_job.parse_args(["--output", "o"])
+    assert retrain_job.default_run_name("rf", "s3a://b/x/tx.parquet") == "fraud_detection_rf_tx.parquet"
