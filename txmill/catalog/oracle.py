@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from txmill.catalog.bindings import EPOCH, HEADER
 from txmill.operators.clean import FIELD_TYPES
-from txmill.operators.synth import DISTRIBUTIONS, FRAUD_RATE
+from txmill.operators.synth import DISTRIBUTIONS, FRAUD_RATE, SHAPES, first_slots
 
 ANCHOR = "2024-06-01 00:00:00"
 
+
+
+def _round(value: str, digits: int) -> str:
+    return f"floor(({value}) * 1e{digits}::DOUBLE + 0.5::DOUBLE) / 1e{digits}::DOUBLE"
+
+
 COLUMNS = [
     "transaction_id",
     "tx_datetime",
@@ -88,7 +94,7 @@ _TYPED_LIST = ", ".join(
     for i, (name, kind) in enumerate(zip(RAW_COLUMNS, FIELD_TYPES, strict=True))
 )
 _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in RAW_COLUMNS) + " AND NOT isnan(tx_amount)"
-_ROUNDED_AMOUNT = "round(CAST(tx_amount AS DOUBLE), 2) AS tx_amount"
+_ROUNDED_AMOUNT = f"{_round('CAST(tx_amount AS DOUBLE)', 2)} AS tx_amount"
 TYPED = f"{RAW}, typed AS (SELECT {_TYPED_LIST} FROM data)"
 COMPLETE = f"{TYPED}, complete AS (SELECT * FROM typed WHERE {_COMPLETE})"
 _CLEAN = f"""WITH {COMPLETE},
@@ -109,39 +115,36 @@ def _part(key: str, salt: object, names: tuple[str, str]) -> str:
     return f"CASE WHEN {_hash(key, salt)} < {limit} THEN '{names[0]}' ELSE '{names[1]}' END"
 
 
-def _uniform(salt: object) -> str:
-    return f"(({_hash('event_id', salt, 1, 13)} + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)"
+def _uniform(salt: object, slot: int = 0) -> str:
+    number = _hash("event_id", salt, 1 + 8 * slot, 8)
+    return f"(({number} + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
 
 
-def _normal(salt: object) -> str:
-    angle = f"({_hash('event_id', salt, 17, 13)} / 4503599627370496.0::DOUBLE)"
-    return f"(sqrt(-2.0 * ln({_uniform(salt)})) * cos(2.0 * pi() * {angle}))"
-
-
-def _drawn(column: str, kind: str, *parameters: float) -> str:
-    salt = f"{column}-42"
-    if kind == "lognormal":
-        return f"exp({parameters[0]}::DOUBLE + {parameters[1]}::DOUBLE * {_normal(salt)})"
-    if kind == "normal":
-        return f"{parameters[0]}::DOUBLE + {parameters[1]}::DOUBLE * {_normal(salt)}"
-    if kind == "exponential":
-        return f"-{parameters[0]}::DOUBLE * ln({_uniform(salt)})"
+def _column(column: str) -> str:
+    kind, usual, fraud = DISTRIBUTIONS[column]
+    first = first_slots()[column]
+    u = [
+        _uniform(f"row-42-{i // 4}", i % 4) for i in range(first, first + SHAPES[kind][0])
+    ]
+    p = [
+        f"CASE WHEN fraud = 1 THEN {b}::DOUBLE ELSE {a}::DOUBLE END"
+        for a, b in zip(usual, fraud, strict=True)
+    ]
     if kind == "integer":
-        return f"CAST(floor({_uniform(salt)} * {parameters[0]}) AS INTEGER)"
-    return f"CAST({_uniform(salt)} < {parameters[0]}::DOUBLE AS INTEGER)"
+        return f"CAST(floor({u[0]} * {p[0]}) AS INTEGER) AS {column}"
+    if kind == "bernoulli":
+        return f"CAST({u[0]} < {p[0]} AS INTEGER) AS {column}"
+    if kind == "exponential":
+        return f"{_round(f'-({p[0]}) * ln({u[0]})', 4)} AS {column}"
+    z = f"{p[0]} + {p[1]} * sqrt(-2.0 * ln({u[0]})) * cos(2.0 * pi() * {u[1]})"
+    return f"{_round(f'exp({z})' if kind == 'lognormal' else z, 4)} AS {column}"
 
 
-def _column(column: str) -> str:
-    usual, fraud = DISTRIBUTIONS[column]
-    value = (
-        f"CASE WHEN fraud = 1 THEN {_drawn(column, *fraud)} ELSE {_drawn(column, *usual)} END"
-    )
-    is_double = usual[0] in ("lognormal", "normal", "exponential")
-    return f"round({value}, 4) AS {column}" if is_double else f"{value} AS {column}"
+def _timestamp(uniform: str) -> str:
+    minutes = f"(1 + CAST(floor({uniform} * 43199) AS INTEGER))"
+    return f"TIMESTAMP '{ANCHOR}' - to_minutes({minutes}) AS timestamp"
 
 
-_MINUTES = f"(1 + CAST(floor({_uniform('timestamp-42')} * 43199) AS INTEGER))"
-_TIMESTAMP = f"TIMESTAMP '{ANCHOR}' - to_minutes({_MINUTES}) AS timestamp"
 _LABELLED = f"""labelled AS (
     SELECT event_id,
            CAST(event_id >= (SELECT CAST(floor(count(*) * {1 - FRAUD_RATE}) AS BIGINT) FROM events)
@@ -160,6 +163,12 @@ SCORED = """scored AS (
     FROM events)"""
 
 
+_AUC = (
+    "CAST(sum(CAST(pos AS HUGEINT) * CAST(2 * below + neg AS HUGEINT)) AS DOUBLE)"
+    " / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE))"
+)
+
+
 def _auc(source: str) -> str:
     return f"""WITH {source},
 ties AS (SELECT score, sum(label) AS pos, count(*) - sum(label) AS neg FROM scored GROUP BY score),
@@ -167,8 +176,7 @@ ranked AS (
     SELECT pos, neg, coalesce(sum(neg) OVER (
         ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
     FROM ties)
-SELECT round(CAST(sum(CAST(pos AS HUGEINT) * CAST(2 * below + neg AS HUGEINT)) AS DOUBLE)
-             / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 9) AS auc
+SELECT {_round(_AUC, 9)} AS auc
 FROM ranked"""
 
 
@@ -188,8 +196,9 @@ class_scores AS (
     FROM per_class)"""
 
 
-_ACCURACY = "(SELECT round(avg(CAST(label = prediction AS INTEGER)), 9) FROM scored) AS accuracy"
-_F1 = "round(sum(f1 * actual) / sum(actual), 9) AS f1"
+_HITS = _round("avg(CAST(label = prediction AS INTEGER))", 9)
+_ACCURACY = f"(SELECT {_HITS} FROM scored) AS accuracy"
+_F1 = f"{_round('sum(f1 * actual) / sum(actual)', 9)} AS f1"
 
 _MODEL = "CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE 'user_' || user_id END AS model_name"
 HISTORY = f"""history AS (
@@ -211,10 +220,8 @@ VERSIONS = f"""versions AS (
 
 
 def _z(column: str) -> str:
-    return (
-        f"round(coalesce(({column} - avg({column}) OVER ())"
-        f" / nullif(stddev_samp({column}) OVER (), 0), 0.0), 6) AS {column}"
-    )
+    z = f"({column} - avg({column}) OVER ()) / nullif(stddev_samp({column}) OVER (), 0)"
+    return f"{_round(f'coalesce({z}, 0.0)', 6)} AS {column}"
 
 
 _STANDARDIZED = f"""WITH {TX}
@@ -241,8 +248,8 @@ FROM names, (SELECT unnest(range(1, 10)) AS i)""",
     + ", ".join(f"{_field(i)} AS {c}" for i, c in enumerate(RAW_COLUMNS))
     + " FROM data",
     "typed_cast": f"""WITH {TYPED}
-SELECT * REPLACE (CASE WHEN NOT isnan(tx_amount) THEN round(CAST(tx_amount AS DOUBLE), 2) END
-                  AS tx_amount),
+SELECT * REPLACE (CASE WHEN NOT isnan(tx_amount)
+                       THEN {_round("CAST(tx_amount AS DOUBLE)", 2)} END AS tx_amount),
        coalesce(isnan(tx_amount), FALSE) AS amount_is_nan
 FROM typed""",
     "drop_incomplete": f"WITH {COMPLETE} SELECT * REPLACE ({_ROUNDED_AMOUNT}) FROM complete",
@@ -281,7 +288,7 @@ SELECT {_part("customer_id", 42, ("train", "test"))} AS split, count(*) AS rows,
     "first_rows": f"WITH {TX} SELECT {_REPORT} FROM tx ORDER BY tx_amount, transaction_id LIMIT 5",
     "label_summary": f"""WITH {TX}
 SELECT count(*) AS rows, CAST(sum(tx_fraud) AS BIGINT) AS positives,
-       round(avg(tx_fraud) * 100, 6) AS positive_pct
+       {_round("avg(tx_fraud) * 100", 6)} AS positive_pct
 FROM tx""",
     "hash_split": f"""WITH {TX}
 SELECT transaction_id, {_part("transaction_id", 42, ("train", "test"))} AS part FROM tx""",
@@ -299,9 +306,9 @@ SELECT CAST({_hash("transaction_id", "fold-42")} % 3 AS INTEGER) AS fold, count(
 FROM tx GROUP BY 1""",
     "format_ids": f"SELECT event_id, {_id('event_id')} AS transaction_id FROM events",
     "reorder_columns": f"WITH {TX} SELECT tx_fraud, tx_amount, terminal_id, transaction_id FROM tx",
-    "random_minutes": f"SELECT event_id, {_TIMESTAMP} FROM events",
+    "random_minutes": f"SELECT event_id, {_timestamp(_uniform('minutes'))} FROM events",
     "synth_transactions": f"""WITH {_LABELLED}
-SELECT {_id("event_id")} AS transaction_id, {_TIMESTAMP},
+SELECT {_id("event_id")} AS transaction_id, {_timestamp(_uniform("row-42-0"))},
        {", ".join(_column(c) for c in DISTRIBUTIONS)}, fraud
 FROM labelled""",
     "synth_shuffled": f"""WITH {_LABELLED},
@@ -327,7 +334,8 @@ SELECT {_id("place")} AS transaction_id, fraud, {_column("hour_of_day")} FROM pl
     "auc_evaluator": _auc(SCORED),
     "accuracy": f"WITH {SCORED} SELECT {_ACCURACY}",
     "f1_weighted": f"""WITH {_classes(SCORED)}
-SELECT {_ACCURACY}, {_F1}, round(max(CASE WHEN class = 1 THEN f1 END), 9) AS f1_positive
+SELECT {_ACCURACY}, {_F1},
+       {_round("max(CASE WHEN class = 1 THEN f1 END)", 9)} AS f1_positive
 FROM class_scores""",
     "f1_evaluator": f"WITH {_classes(SCORED)} SELECT {_ACCURACY}, {_F1} FROM class_scores",
     "confusion": f"""WITH {SCORED}
@@ -337,9 +345,9 @@ FROM scored GROUP BY 1, 2""",
     + _classes(
         "scored AS (SELECT l_linenumber AS label, 1 + l_suppkey % 8 AS prediction FROM lineitem)"
     )
-    + """
-SELECT class, actual, predicted, hits, round(precision, 9) AS precision,
-       round(recall, 9) AS recall, round(f1, 9) AS f1
+    + f"""
+SELECT class, actual, predicted, hits, {_round("precision", 9)} AS precision,
+       {_round("recall", 9)} AS recall, {_round("f1", 9)} AS f1
 FROM class_scores""",
     "model_versions": f"WITH {VERSIONS} SELECT model_name, run_id, version FROM versions",
     "version_history": f"""WITH {VERSIONS},
@@ -360,7 +368,7 @@ SELECT model_name, CASE WHEN promoted THEN 'champion' ELSE 'challenger' END AS a
 FROM decided GROUP BY 1, 2""",
     "improvement_pct": f"""WITH {HISTORY}
 SELECT model_name, version, auc, champion_auc,
-       round((auc - champion_auc) / nullif(champion_auc, 0) * 100, 6) AS improvement_pct
+       {_round("(auc - champion_auc) / nullif(champion_auc, 0) * 100", 6)} AS improvement_pct
 FROM decided WHERE promoted""",
     "model_reload": f"""WITH {TX}
 SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txmill.catalog import bindings
+from txmill.functions import hash32, uniform
 from txmill.operators import clean, features, metrics, profile, registry, split, synth
 from txmill.operators import model as models
 from txmill.plans import clean_job, retrain_job
@@ -26,7 +27,11 @@ REPORT_COLUMNS = ["transaction_id", "customer_id", "terminal_id", "tx_amount"]
 
 
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
+    """Columns to that many digits. Plain arithmetic, because round() goes through decimal text."""
+    scale = F.lit(10.0**digits)
+    return df.withColumns(
+        {c: F.floor(F.col(c).cast("double") * scale + F.lit(0.5)) / scale for c in columns}
+    )
 
 
 def _names(lines: DataFrame) -> list[str]:
@@ -221,7 +226,8 @@ def reorder_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def random_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     anchor = F.lit(ANCHOR).cast("timestamp_ntz")
     return bindings.table(spark, sf_dir, "events").select(
-        "event_id", synth.minutes_back(anchor, "event_id", "timestamp-42").alias("timestamp")
+        "event_id",
+        synth.minutes_back(anchor, uniform(hash32("event_id", "minutes"))).alias("timestamp"),
     )
 
 
@@ -405,7 +411,7 @@ def _scores(df: DataFrame) -> DataFrame:
     return df.select(
         KEY,
         features.LABEL,
-        F.round(F.get(vector_to_array("probability"), F.lit(1)), 6).alias("fraud_probability"),
+        F.get(vector_to_array("probability"), F.lit(1)).alias("fraud_probability"),
         "prediction",
     )
 

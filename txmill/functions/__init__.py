@@ -1,14 +1,26 @@
 """Column-level helpers: tolerant casts and reproducible hashes."""
 
 from txmill.functions.casts import FIELD_CASTS, to_date, to_float, to_int
-from txmill.functions.hashing import below_fraction, fold_of, hash32, normal, uniform
+from txmill.functions.hashing import (
+    SLOTS,
+    below_fraction,
+    digest,
+    fold_of,
+    hash32,
+    normal,
+    slot,
+    uniform,
+)
 
 __all__ = [
     "FIELD_CASTS",
+    "SLOTS",
     "below_fraction",
+    "digest",
     "fold_of",
     "hash32",
     "normal",
+    "slot",
     "to_date",
     "to_float",
     "to_int",

@@ -13,22 +13,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HASH_RANGE = 1 << 32
-_UNIFORM_HEX = 13
-_UNIFORM_RANGE = 1 << (4 * _UNIFORM_HEX)
+_SLOT_HEX = 8
+SLOTS = 4
 
 
-def _digest(key: str | Sequence[str], salt: object) -> Column:
+def digest(key: str | Sequence[str], salt: object) -> Column:
+    """MD5 of the key columns and a salt, in hex. It has room for four independent numbers."""
     names = [key] if isinstance(key, str) else list(key)
     return F.md5(F.concat_ws("|", F.lit(str(salt)), *[F.col(n).cast("string") for n in names]))
 
 
-def _hex_to_long(digest: Column, start: int, length: int) -> Column:
-    return F.conv(F.substring(digest, start, length), 16, 10).cast("bigint")
+def slot(hexadecimal: Column, number: int = 0) -> Column:
+    """One of the four integers in [0, 2**32) that a digest holds."""
+    part = F.substring(hexadecimal, 1 + _SLOT_HEX * number, _SLOT_HEX)
+    return F.conv(part, 16, 10).cast("bigint")
 
 
 def hash32(key: str | Sequence[str], salt: object = 42) -> Column:
     """Integer in [0, 2**32) from the key columns and a salt."""
-    return _hex_to_long(_digest(key, salt), 1, 8)
+    return slot(digest(key, salt))
 
 
 def below_fraction(key: str | Sequence[str], fraction: float, salt: object = 42) -> Column:
@@ -41,16 +44,11 @@ def fold_of(key: str | Sequence[str], folds: int, salt: object = 42) -> Column:
     return (hash32(key, f"fold-{salt}") % F.lit(folds)).cast("int")
 
 
-def uniform(key: str | Sequence[str], salt: object) -> Column:
-    """Uniform double in (0, 1)."""
-    return (_hex_to_long(_digest(key, salt), 1, _UNIFORM_HEX) + F.lit(0.5)) / F.lit(
-        float(_UNIFORM_RANGE)
-    )
+def uniform(number: Column) -> Column:
+    """Uniform double in (0, 1) from an integer in [0, 2**32)."""
+    return (number + F.lit(0.5)) / F.lit(float(HASH_RANGE))
 
 
-def normal(key: str | Sequence[str], salt: object) -> Column:
-    """Standard normal double (Box-Muller on the two halves of one digest)."""
-    digest = _digest(key, salt)
-    radius = (_hex_to_long(digest, 1, _UNIFORM_HEX) + F.lit(0.5)) / F.lit(float(_UNIFORM_RANGE))
-    angle = _hex_to_long(digest, 17, _UNIFORM_HEX) / F.lit(float(_UNIFORM_RANGE))
-    return F.sqrt(F.lit(-2.0) * F.ln(radius)) * F.cos(F.lit(2.0 * math.pi) * angle)
+def normal(first: Column, second: Column) -> Column:
+    """Standard normal double from two uniform ones (Box-Muller)."""
+    return F.sqrt(F.lit(-2.0) * F.ln(first)) * F.cos(F.lit(2.0 * math.pi) * second)

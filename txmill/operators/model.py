@@ -79,6 +79,12 @@ def with_fold(df: DataFrame, key: str, folds: int = FOLDS, seed: int = SEED) ->
     return df.withColumn("fold", fold_of(key, folds, seed))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition only if there are fewer partitions than cores, as with a few small files."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cross_validate(
     train: DataFrame,
     columns: Sequence[str],
@@ -106,7 +112,7 @@ def cross_validate(
         seed=seed,
         parallelism=parallelism,
     )
-    folded = with_fold(train, key, folds, seed).select(*columns, label, "fold").persist()
+    folded = spread(with_fold(train, key, folds, seed).select(*columns, label, "fold")).persist()
     try:
         return validator.fit(folded)
     finally:

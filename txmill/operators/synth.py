@@ -3,33 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txmill.functions.hashing import normal, uniform
+from txmill.functions.hashing import SLOTS, digest, normal, slot, uniform
 from txmill.operators.split import SEED, shuffled_position
 
 # Size, share of fraud, id format, and how far timestamps go back.
 ROWS = 100_000
 FRAUD_RATE = 0.05
-ID_FORMAT = "tx_%08d"
+ID_PREFIX = "tx_"
+ID_DIGITS = 8
 FIRST_MINUTE = 1
 END_MINUTE = 43_200
 
-# Distribution of each column for normal and for fraudulent transactions.
-DISTRIBUTIONS: dict[str, tuple[tuple, tuple]] = {
-    "amount": (("lognormal", 5.0, 1.0), ("lognormal", 6.0, 2.0)),
-    "hour_of_day": (("integer", 24), ("integer", 24)),
-    "day_of_week": (("integer", 7), ("integer", 7)),
-    "distance_from_home": (("exponential", 30.0), ("exponential", 100.0)),
-    "distance_from_last_transaction": (("exponential", 20.0), ("exponential", 100.0)),
-    "ratio_to_median_purchase_price": (("normal", 1.0, 0.5), ("normal", 3.0, 1.0)),
-    "repeat_retailer": (("integer", 2), ("bernoulli", 0.2)),
-    "used_chip": (("bernoulli", 0.9), ("bernoulli", 0.2)),
-    "used_pin_number": (("bernoulli", 0.8), ("bernoulli", 0.2)),
-    "online_order": (("bernoulli", 0.4), ("bernoulli", 0.8)),
+# Distribution of each column, with its parameters for normal and for fraudulent
+# transactions.
+DISTRIBUTIONS: dict[str, tuple[str, tuple, tuple]] = {
+    "amount": ("lognormal", (5.0, 1.0), (6.0, 2.0)),
+    "hour_of_day": ("integer", (24,), (24,)),
+    "day_of_week": ("integer", (7,), (7,)),
+    "distance_from_home": ("exponential", (30.0,), (100.0,)),
+    "distance_from_last_transaction": ("exponential", (20.0,), (100.0,)),
+    "ratio_to_median_purchase_price": ("normal", (1.0, 0.5), (3.0, 1.0)),
+    "repeat_retailer": ("bernoulli", (0.5,), (0.2,)),
+    "used_chip": ("bernoulli", (0.9,), (0.2,)),
+    "used_pin_number": ("bernoulli", (0.8,), (0.2,)),
+    "online_order": ("bernoulli", (0.4,), (0.8,)),
 }
 
 # Order of the columns.
@@ -49,25 +51,27 @@ COLUMN_ORDER = (
     "fraud",
 )
 
-# Type of a column and how its value follows from a uniform (u) or standard normal (z) number.
-_SHAPES: dict[str, tuple[str, str, Callable[..., Column]]] = {
-    "lognormal": ("double", "z", lambda z, mu, sigma: F.exp(mu + sigma * z)),
-    "normal": ("double", "z", lambda z, mu, sigma: mu + sigma * z),
-    "exponential": ("double", "u", lambda u, scale: -scale * F.ln(u)),
-    "integer": ("int", "u", lambda u, count: F.floor(u * count)),
-    "bernoulli": ("int", "u", lambda u, p: (u < p).cast("int")),
+# How many uniform numbers a value takes, its type, and how it follows from them.
+SHAPES: dict[str, tuple[int, str, Callable[..., Column]]] = {
+    "lognormal": (2, "double", lambda u, v, mu, sigma: F.exp(mu + sigma * normal(u, v))),
+    "normal": (2, "double", lambda u, v, mu, sigma: mu + sigma * normal(u, v)),
+    "exponential": (1, "double", lambda u, scale: -scale * F.ln(u)),
+    "integer": (1, "int", lambda u, count: F.floor(u * count)),
+    "bernoulli": (1, "int", lambda u, p: u < p),
 }
 
 
 def format_ids(number: Column) -> Column:
     """``tx_`` and the number in at least 8 digits."""
-    return F.format_string(ID_FORMAT, number)
+    digits = number.cast("string")
+    width = F.greatest(F.lit(ID_DIGITS), F.length(digits))
+    return F.concat(F.lit(ID_PREFIX), F.lpad(digits, width, F.lit("0")))
 
 
-def minutes_back(anchor: Column, key: str, salt: object) -> Column:
+def minutes_back(anchor: Column, u: Column) -> Column:
     """``anchor`` less a whole number of minutes, from 1 up to but not including 43200."""
     span = F.lit(END_MINUTE - FIRST_MINUTE)
-    minutes = F.lit(FIRST_MINUTE) + F.floor(uniform(key, salt) * span).cast("int")
+    minutes = F.lit(FIRST_MINUTE) + F.floor(u * span).cast("int")
     return anchor - F.make_dt_interval(mins=minutes)
 
 
@@ -75,19 +79,21 @@ def reorder_columns(df: DataFrame, columns=COLUMN_ORDER) -> DataFrame:
     return df.select(*columns)
 
 
-def _draw(column: str, key: str, seed: int) -> Column:
-    kinds = DISTRIBUTIONS[column]
-    sources = {
-        "u": partial(uniform, key, f"{column}-{seed}"),
-        "z": partial(normal, key, f"{column}-{seed}"),
-    }
+def first_slots() -> dict[str, int]:
+    """Number of the first uniform number each column takes; the timestamp takes number 0."""
+    used = [1, *[SHAPES[kind][0] for kind, _, _ in DISTRIBUTIONS.values()]]
+    return dict(zip(DISTRIBUTIONS, accumulate(used), strict=False))
 
-    def value(kind: str, *parameters: float) -> Column:
-        dtype, source, shape = _SHAPES[kind]
-        return shape(sources[source](), *[F.lit(p) for p in parameters]).cast(dtype)
 
-    usual, fraud = (value(*k) for k in kinds)
-    return F.when(F.col("fraud") == F.lit(1), fraud).otherwise(usual).alias(column)
+def _draw(column: str, uniforms: list[Column]) -> Column:
+    kind, usual, fraud = DISTRIBUTIONS[column]
+    takes, dtype, shape = SHAPES[kind]
+    first = first_slots()[column]
+    by_class = [
+        F.when(F.col("fraud") == F.lit(1), F.lit(f)).otherwise(F.lit(u))
+        for u, f in zip(usual, fraud, strict=True)
+    ]
+    return shape(*uniforms[first : first + takes], *by_class).cast(dtype).alias(column)
 
 
 def transactions_for(
@@ -101,17 +107,18 @@ def transactions_for(
     """
     normal_rows = int(count * (1 - fraud_rate))
     number = "position" if "position" in rows.columns else key
-    labelled = rows.select(
-        F.col(key),
+    numbers = 1 + sum(SHAPES[kind][0] for kind, _, _ in DISTRIBUTIONS.values())
+    digests = [f"_digest{i}" for i in range(-(-numbers // SLOTS))]
+    drawn = rows.select(
         F.col(number).alias("_number"),
         (F.col(key) >= F.lit(normal_rows)).cast("int").alias("fraud"),
+        *[digest(key, f"row-{seed}-{i}").alias(name) for i, name in enumerate(digests)],
     )
-    made = labelled.select(
+    uniforms = [uniform(slot(F.col(digests[i // SLOTS]), i % SLOTS)) for i in range(numbers)]
+    made = drawn.select(
         format_ids(F.col("_number")).alias("transaction_id"),
-        minutes_back(
-            F.lit(anchor).cast("timestamp_ntz"), key, f"timestamp-{seed}"
-        ).alias("timestamp"),
-        *[_draw(c, key, seed) for c in DISTRIBUTIONS],
+        minutes_back(F.lit(anchor).cast("timestamp_ntz"), uniforms[0]).alias("timestamp"),
+        *[_draw(c, uniforms) for c in DISTRIBUTIONS],
         "fraud",
     )
     return reorder_columns(made)
