@@ -227,6 +227,7 @@ def _z(column: str) -> str:
 _STANDARDIZED = f"""WITH {TX}
 SELECT transaction_id, {_z("terminal_id")}, {_z("tx_amount")}, {_z("tx_time_seconds")} FROM tx"""
 
+_FEATURES = [c for c in COLUMNS if c not in ("tx_datetime", "tx_fraud", "tx_fraud_scenario")]
 _REPORT = "transaction_id, customer_id, terminal_id, tx_amount"
 
 
@@ -292,6 +293,8 @@ SELECT count(*) AS rows, CAST(sum(tx_fraud) AS BIGINT) AS positives,
 FROM tx""",
     "hash_split": f"""WITH {TX}
 SELECT transaction_id, {_part("transaction_id", 42, ("train", "test"))} AS part FROM tx""",
+    "random_split_totals": f"""WITH {TX}
+SELECT count(*) AS rows, count(DISTINCT transaction_id) AS transactions FROM tx""",
     "sample_complement": f"""WITH {TX}
 SELECT transaction_id, {_part("transaction_id", 7, ("sample", "rest"))} AS part FROM tx""",
     "sample_exact": f"""WITH {TX},
@@ -317,11 +320,7 @@ placed AS (
     FROM labelled)
 SELECT {_id("place")} AS transaction_id, fraud, {_column("hour_of_day")} FROM placed""",
     "assemble": f"WITH {TX} SELECT "
-    + ", ".join(
-        f"CAST({c} AS DOUBLE) AS {c}"
-        for c in COLUMNS
-        if c not in ("tx_datetime", "tx_fraud", "tx_fraud_scenario")
-    )
+    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _FEATURES)
     + " FROM tx",
     "standardize": _STANDARDIZED,
     "standardize_ml": _STANDARDIZED,
@@ -373,4 +372,9 @@ FROM decided WHERE promoted""",
     "model_reload": f"""WITH {TX}
 SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different
 FROM tx WHERE {_part("transaction_id", 42, ("train", "test"))} = 'test'""",
+    "retrain_report": f"""WITH {TX},
+parts AS (SELECT {_part("transaction_id", 42, ("train", "test"))} AS part FROM tx)
+SELECT count(*) FILTER (part = 'train') AS train_rows, count(*) FILTER (part = 'test') AS test_rows,
+       '{",".join(_FEATURES)}' AS features, CAST(1 AS BIGINT) AS version, TRUE AS promoted
+FROM parts""",
 }

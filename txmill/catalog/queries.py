@@ -194,6 +194,13 @@ def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(train, test, ("train", "test"))
 
 
+def random_split_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whatever rows the random split draws, both parts together hold each row once."""
+    return random_split(spark, sf_dir).agg(
+        F.count("*").alias("rows"), F.countDistinct(KEY).alias("transactions")
+    )
+
+
 def sample_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept, rest = split.sample_and_rest(bindings.transactions(spark, sf_dir), KEY, seed=7)
     return _tagged(kept, rest, ("sample", "rest"))
@@ -402,9 +409,17 @@ def improvement_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Models
 
 
-def _fit(df: DataFrame, model_type: str):
-    columns = _feature_columns(df)
-    return models.build_stages(columns, models.build_classifier(model_type)).fit(df)
+def _train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return split.hash_split(models.spread(bindings.transactions(spark, sf_dir)), KEY)
+
+
+def _fit(train: DataFrame, model_type: str):
+    columns = _feature_columns(train)
+    needed = train.select(*columns, features.LABEL).persist()
+    try:
+        return models.build_stages(columns, models.build_classifier(model_type)).fit(needed)
+    finally:
+        needed.unpersist()
 
 
 def _scores(df: DataFrame) -> DataFrame:
@@ -417,18 +432,18 @@ def _scores(df: DataFrame) -> DataFrame:
 
 
 def score_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = split.hash_split(bindings.transactions(spark, sf_dir), KEY)
+    train, test = _train_and_test(spark, sf_dir)
     return _scores(models.score(_fit(train, "rf"), test))
 
 
 def score_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = split.hash_split(bindings.transactions(spark, sf_dir), KEY)
+    train, test = _train_and_test(spark, sf_dir)
     return _scores(models.score(_fit(train, "lr"), test))
 
 
 def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows, and how many a saved and loaded model scores differently."""
-    train, test = split.hash_split(bindings.transactions(spark, sf_dir), KEY)
+    train, test = _train_and_test(spark, sf_dir)
     fitted = _fit(train, "rf")
     path = scratch_path(spark, "model")
     models.save_model(fitted, path)
@@ -443,7 +458,7 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean AUC over the folds for each combination of a small grid."""
-    rows = bindings.transactions(spark, sf_dir)
+    rows = models.spread(bindings.transactions(spark, sf_dir))
     grid = models.Grid(num_trees=(5, 10), max_depth=(3,))
     tuned = models.cross_validate(rows, _feature_columns(rows), KEY, grid=grid)
     found = [
@@ -472,6 +487,19 @@ def retrain_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def retrain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the retrain job says about its data and its decision, for logistic regression."""
+    source, target, kept = (scratch_path(spark, n) for n in ("train", "model", "registry"))
+    tables.write_parquet(bindings.transactions(spark, sf_dir), source)
+    done = retrain_job.retrain(
+        spark, source, target, registry_path=kept, auto_register=True, model_type="lr"
+    )
+    version = retrain_job.history_of(spark, kept).first()["version"]
+    row = (done["rows"]["train"], done["rows"]["test"], ",".join(done["features"]), version)
+    names = ["train_rows", "test_rows", "features", "version", "promoted"]
+    return tables.rows_to_table(spark, [(*row, done["promoted"])], names)
+
+
 _QUERIES: tuple[Query, ...] = (
     scan_lines,
     header_columns,
@@ -495,6 +523,7 @@ _QUERIES: tuple[Query, ...] = (
     label_summary,
     hash_split,
     random_split,
+    random_split_totals,
     sample_complement,
     sample_exact,
     fold_counts,
@@ -525,6 +554,7 @@ _QUERIES: tuple[Query, ...] = (
     model_reload,
     grid_search,
     retrain_cycle,
+    retrain_report,
 )
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in _QUERIES}

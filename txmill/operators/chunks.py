@@ -27,7 +27,7 @@ def range_buckets(df: DataFrame, column: str, out: str, buckets: int | None = No
     """
     count = buckets or default_buckets(df.sparkSession)
     steps = [i / count for i in range(1, count)]
-    inner = sorted(set(df.approxQuantile(column, steps, 1.0 / (4 * count))))
+    inner = sorted(set(df.approxQuantile(column, steps, 1.0 / (2 * count))))
     edges = [float("-inf"), *[e for e in inner if abs(e) != float("inf")], float("inf")]
     if len(edges) < 3:
         edges.insert(1, 0.0)

@@ -79,10 +79,13 @@ def with_fold(df: DataFrame, key: str, folds: int = FOLDS, seed: int = SEED) ->
     return df.withColumn("fold", fold_of(key, folds, seed))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition only if there are fewer partitions than cores, as with a few small files."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(scan: DataFrame) -> DataFrame:
+    """Repartition a plain scan that has fewer partitions than there are cores.
+
+    A few small files would otherwise be fitted on a few cores. Large tables pass unchanged.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def cross_validate(
@@ -112,7 +115,7 @@ def cross_validate(
         seed=seed,
         parallelism=parallelism,
     )
-    folded = spread(with_fold(train, key, folds, seed).select(*columns, label, "fold")).persist()
+    folded = with_fold(train, key, folds, seed).select(*columns, label, "fold").persist()
     try:
         return validator.fit(folded)
     finally:

@@ -129,7 +129,7 @@ def retrain(
     model_name = registry.MODEL_NAME_FORMAT.format(experiment=experiment)
 
     best, report = train_and_evaluate(
-        read_parquet(spark, source), model_type=model_type, grid=grid, **options
+        models.spread(read_parquet(spark, source)), model_type=model_type, grid=grid, **options
     )
     if registry_path:
         registry.record_run(
