@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("TEST_TIME_ZONE", "UTC"))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.driver.memory", "4g")
         .getOrCreate()

@@ -32,14 +32,15 @@ def test_clean_then_retrain(spark, tmp_path):
     table = str(tmp_path / "clean")
     assert run("txmill.plans.clean_job", "--input", str(tmp_path / "*.txt"), "--output", table) == 0
     assert read_parquet(spark, table).count() == 200
-    assert run("txmill.plans.clean_job", "--input", str(tmp_path / "*.txt"), "--output", table) != 0
     code = run(
         "txmill.plans.retrain_job",
-        *("--input", table, "--output", str(tmp_path / "model"), "--model-type", "lr"),
+        *("--input", table, "--output", str(tmp_path / "model"), "--run-name", "nightly"),
         *("--registry", str(tmp_path / "registry"), "--auto-register"),
     )
     assert code == 0
-    assert read_parquet(spark, str(tmp_path / "registry/runs")).first()["auc"] == 1.0
+    run_made = read_parquet(spark, str(tmp_path / "registry/runs")).first()
+    assert run_made["auc"] == 1.0 and run_made["run_name"] == "nightly"
+    assert run_made["best_numTrees"] in (10, 20) and run_made["best_maxDepth"] in (5, 10)
 
 
 def test_failed_training_exits_with_1(tmp_path):

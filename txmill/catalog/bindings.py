@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txmill.functions import wall_clock_seconds
+
 HEADER = (
     "# tranaction_id | tx_datetime | customer_id | terminal_id | tx_amount"
     " | tx_time_seconds | tx_time_days | tx_fraud | tx_fraud_scenario"
@@ -16,15 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _seconds(ts: Column) -> Column:
-    return (
-        F.datediff(F.to_date(ts), F.lit(EPOCH).cast("date")) * F.lit(86400)
-        + F.hour(ts) * F.lit(3600)
-        + F.minute(ts) * F.lit(60)
-        + F.second(ts)
-    )
-
-
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a typed transaction."""
     ts, error = F.col("ts"), F.col("event_type") == F.lit("error")
@@ -34,7 +27,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("customer_id"),
         F.get_json_object("props", "$.k").cast("int").alias("terminal_id"),
         F.col("value").alias("tx_amount"),
-        _seconds(ts).alias("tx_time_seconds"),
+        wall_clock_seconds(ts, EPOCH).cast("int").alias("tx_time_seconds"),
         F.datediff(F.to_date(ts), F.lit(EPOCH).cast("date")).alias("tx_time_days"),
         error.cast("int").alias("tx_fraud"),
         F.when(error, F.lit(1) + F.col("user_id") % F.lit(3))
@@ -71,7 +64,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(each(23), F.lit(""))
         .when(each(29), F.lit("NaN"))
         .otherwise(F.col("value").cast("decimal(12,2)").cast("string")),
-        _seconds(ts).cast("string"),
+        wall_clock_seconds(ts, EPOCH).cast("string"),
         day.cast("string"),
         error.cast("int").cast("string"),
         F.when(error, F.lit(1) + F.col("user_id") % F.lit(3)).otherwise(F.lit(0)).cast("string"),

@@ -11,6 +11,7 @@ from txmill.functions.hashing import (
     slot,
     uniform,
 )
+from txmill.functions.times import wall_clock_seconds
 
 __all__ = [
     "FIELD_CASTS",
@@ -25,4 +26,5 @@ __all__ = [
     "to_float",
     "to_int",
     "uniform",
+    "wall_clock_seconds",
 ]

@@ -10,7 +10,9 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
+from txmill.functions.times import wall_clock_seconds
 from txmill.operators.chunks import range_buckets, running
 
 RUNS_SCHEMA = (
@@ -49,9 +51,15 @@ def model_versions(registrations: DataFrame, buckets: int | None = None) -> Data
 
     A pass over the times runs at once to cut long histories into ranges.
     """
-    timed = registrations.withColumn(
-        "_time", F.unix_micros(F.col("recorded_at").cast("timestamp")).cast("double")
+    at = F.col("recorded_at")
+    zoneless = isinstance(registrations.schema["recorded_at"].dataType, TimestampNTZType)
+    fraction = F.extract(F.lit("SECOND"), at) % F.lit(1)
+    place = (
+        wall_clock_seconds(at).cast("double") + fraction.cast("double")
+        if zoneless
+        else F.unix_micros(at).cast("double")
     )
+    timed = registrations.withColumn("_time", place)
     ranged = range_buckets(timed, "_time", "_range", buckets).drop("_time")
     numbered = running(
         ranged,
