@@ -73,4 +73,4 @@ def test_entry(spark):
     rows = contract.entry(spark).collect()
     ids = [r["transaction_id"] for r in rows]
     assert rows and len(set(ids)) == len(ids)
-    assert all(isinstance(r["tx_datetime"], datetime.date) for r in rows)
+    assert all(datetime.date.fromisoformat(r["tx_datetime"]) for r in rows)

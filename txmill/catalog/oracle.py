@@ -94,14 +94,17 @@ _TYPED_LIST = ", ".join(
     for i, (name, kind) in enumerate(zip(RAW_COLUMNS, FIELD_TYPES, strict=True))
 )
 _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in RAW_COLUMNS) + " AND NOT isnan(tx_amount)"
-_ROUNDED_AMOUNT = f"{_round('CAST(tx_amount AS DOUBLE)', 2)} AS tx_amount"
+_SHOWN = (
+    f"{_round('CAST(tx_amount AS DOUBLE)', 2)} AS tx_amount, "
+    "CAST(tx_datetime AS VARCHAR) AS tx_datetime"
+)
 TYPED = f"{RAW}, typed AS (SELECT {_TYPED_LIST} FROM data)"
 COMPLETE = f"{TYPED}, complete AS (SELECT * FROM typed WHERE {_COMPLETE})"
 _CLEAN = f"""WITH {COMPLETE},
 numbered AS (
     SELECT *, row_number() OVER (PARTITION BY tranaction_id ORDER BY {", ".join(RAW_COLUMNS[1:])}) AS n
     FROM complete)
-SELECT * EXCLUDE (n, tranaction_id) REPLACE ({_ROUNDED_AMOUNT}), tranaction_id AS transaction_id
+SELECT * EXCLUDE (n, tranaction_id) REPLACE ({_SHOWN}), tranaction_id AS transaction_id
 FROM numbered WHERE n = 1"""
 
 
@@ -249,13 +252,13 @@ FROM names, (SELECT unnest(range(1, 10)) AS i)""",
     + ", ".join(f"{_field(i)} AS {c}" for i, c in enumerate(RAW_COLUMNS))
     + " FROM data",
     "typed_cast": f"""WITH {TYPED}
-SELECT * REPLACE (CASE WHEN NOT isnan(tx_amount)
-                       THEN {_round("CAST(tx_amount AS DOUBLE)", 2)} END AS tx_amount),
+SELECT {", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in RAW_COLUMNS if c != "tx_amount")},
+       CASE WHEN NOT isnan(tx_amount) THEN {_round("CAST(tx_amount AS DOUBLE)", 2)} END AS tx_amount,
        coalesce(isnan(tx_amount), FALSE) AS amount_is_nan
 FROM typed""",
-    "drop_incomplete": f"WITH {COMPLETE} SELECT * REPLACE ({_ROUNDED_AMOUNT}) FROM complete",
+    "drop_incomplete": f"WITH {COMPLETE} SELECT * REPLACE ({_SHOWN}) FROM complete",
     "rename_key": f"""WITH {COMPLETE}
-SELECT * EXCLUDE (tranaction_id) REPLACE ({_ROUNDED_AMOUNT}), tranaction_id AS transaction_id
+SELECT * EXCLUDE (tranaction_id) REPLACE ({_SHOWN}), tranaction_id AS transaction_id
 FROM complete""",
     "dedup_by_key": _smallest(
         "l_orderkey", "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"

@@ -34,6 +34,13 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     )
 
 
+def _shown(df: DataFrame) -> DataFrame:
+    """Transactions in the form that is compared: amounts to 2 digits, dates as text."""
+    return _rounded(df, 2, "tx_amount").withColumn(
+        "tx_datetime", F.col("tx_datetime").cast("string")
+    )
+
+
 def _names(lines: DataFrame) -> list[str]:
     return text.header_columns(text.find_header(lines), len(clean.FIELD_TYPES))
 
@@ -67,16 +74,20 @@ def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values after the cast; all but the amount are shown as text, because many are NULL."""
     typed = clean.cast_fields(split_fields(spark, sf_dir))
     amount = F.col("tx_amount")
     known = typed.withColumn("amount_is_nan", F.isnan(amount)).withColumn(
         "tx_amount", F.when(~F.isnan(amount), amount)
     )
-    return _rounded(known, 2, "tx_amount")
+    texts = [c for c in typed.columns if c != "tx_amount"]
+    return _rounded(known, 2, "tx_amount").withColumns(
+        {c: F.col(c).cast("string") for c in texts}
+    )
 
 
 def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(clean.drop_incomplete(_typed(spark, sf_dir)), 2, "tx_amount")
+    return _shown(clean.drop_incomplete(_typed(spark, sf_dir)))
 
 
 def rename_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +118,7 @@ def dedup_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = bindings.raw_lines(spark, sf_dir)
-    return _rounded(clean.clean_transactions(lines, _names(lines)), 2, "tx_amount")
+    return _shown(clean.clean_transactions(lines, _names(lines)))
 
 
 def clean_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +127,7 @@ def clean_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     bindings.raw_lines(spark, sf_dir).write.text(source)
     clean_job.run(spark, f"{source}/*.txt", target)
     clean_job.run(spark, f"{source}/*.txt", target, mode="overwrite", files=5)
-    return _rounded(tables.read_parquet(spark, target), 2, "tx_amount")
+    return _shown(tables.read_parquet(spark, target))
 
 
 # Sources and sinks
@@ -488,11 +499,16 @@ def retrain_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retrain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the retrain job says about its data and its decision, for logistic regression."""
+    """What the retrain job says about its data and its decision."""
     source, target, kept = (scratch_path(spark, n) for n in ("train", "model", "registry"))
     tables.write_parquet(bindings.transactions(spark, sf_dir), source)
     done = retrain_job.retrain(
-        spark, source, target, registry_path=kept, auto_register=True, model_type="lr"
+        spark,
+        source,
+        target,
+        registry_path=kept,
+        auto_register=True,
+        grid=models.Grid(num_trees=(3,), max_depth=(2,)),
     )
     version = retrain_job.history_of(spark, kept).first()["version"]
     row = (done["rows"]["train"], done["rows"]["test"], ",".join(done["features"]), version)

@@ -9,6 +9,7 @@ def s3a_settings(
     """Settings for the session builder; empty unless all three values are given."""
     if not (endpoint and access_key and secret_key):
         return {}
+    # Names of the settings.
     return {
         "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
         "spark.hadoop.fs.s3a.endpoint": endpoint,
