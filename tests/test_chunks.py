@@ -49,7 +49,8 @@ def test_rows_are_shuffled_once_and_never_joined(history):
 
 @pytest.mark.parametrize("buckets", [2, 5, 40])
 def test_ranges_keep_the_order(spark, buckets):
-    values = [float(v) for v in (3, 1, 1, 1, 1, 7, -2, 9, 1e300, -1e300)] + [float("inf"), float("-inf"), float("nan")]
+    special = [float("inf"), float("-inf"), float("nan")]
+    values = [3.0, 1.0, 1.0, 1.0, 1.0, 7.0, -2.0, 9.0, 1e300, -1e300, *special]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     rows = range_buckets(df, "x", "b", buckets).orderBy("x").collect()
     found = [r["b"] for r in rows]
@@ -64,7 +65,8 @@ def test_both_zeros_share_a_range(spark):
 
 
 def test_ranges_of_constant_and_empty_columns(spark):
-    for df in (spark.createDataFrame([(2.0,)] * 5, "x double"), spark.createDataFrame([], "x double")):
+    for rows in ([(2.0,)] * 5, []):
+        df = spark.createDataFrame(rows, "x double")
         assert range_buckets(df, "x", "b").select("b").distinct().count() <= 1
 
 

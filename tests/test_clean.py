@@ -69,7 +69,8 @@ def test_to_float_and_date(spark):
         "f string, d string",
     ).select(to_float(F.col("f")), to_date(F.col("d")))
     day = datetime.date(2019, 8, 22)
-    assert [tuple(r) for r in rows.collect()] == [(1.5, day), (None, None), (None, None), (1000.0, day)]
+    expected = [(1.5, day), (None, None), (None, None), (1000.0, day)]
+    assert [tuple(r) for r in rows.collect()] == expected
 
 
 @pytest.mark.parametrize(
@@ -107,7 +108,12 @@ def test_cleaned_schema_and_values(spark):
 
 def test_one_step_equals_single_steps(spark):
     lines = lines_of(
-        spark, HEADER, "1,2019-08-22,10,7.9,1,1,0,0,0", "2,x", "", "3,2019-08-23, 4 ,.5,NaN,1,1,1,1,x"
+        spark,
+        HEADER,
+        "1,2019-08-22,10,7.9,1,1,0,0,0",
+        "2,x",
+        "",
+        "3,2019-08-23, 4 ,.5,NaN,1,1,1,1,x",
     )
     names = header_columns(HEADER, 9)
     data = clean.drop_comments(lines)
@@ -177,7 +183,12 @@ def test_job_over_files(spark, tmp_path):
     source = write_files(
         tmp_path / "in",
         one=[HEADER, "1,2019-08-22 06:51:03,10,20,12.5,100,0,0,0", "7,bad"],
-        two=[HEADER, "1,2019-08-22 06:51:03,10,19,12.5,100,0,0,0", "", "2,2019-08-23,1,2,3,4,5,1,1"],
+        two=[
+            HEADER,
+            "1,2019-08-22 06:51:03,10,19,12.5,100,0,0,0",
+            "",
+            "2,2019-08-23,1,2,3,4,5,1,1",
+        ],
     )
     target = str(tmp_path / "out")
     clean_job.run(spark, source, target, files=2, check_headers=True)

@@ -6,6 +6,10 @@ from pathlib import Path
 from txmill.sources import read_parquet
 
 ROOT = str(Path(__file__).resolve().parents[1])
+SUBMIT = (
+    "--master local[4] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=4"
+    " pyspark-shell"
+)
 HEADER = (
     "# tranaction_id | tx_datetime | customer_id | terminal_id | tx_amount"
     " | tx_time_seconds | tx_time_days | tx_fraud | tx_fraud_scenario"
@@ -16,7 +20,7 @@ def run(module, *arguments):
     return subprocess.run(
         [sys.executable, "-m", module, *arguments],
         cwd=ROOT,
-        env={**os.environ, "PYTHONPATH": ROOT, "SPARK_LOCAL_IP": "127.0.0.1"},
+        env={**os.environ, "PYTHONPATH": ROOT, "PYSPARK_SUBMIT_ARGS": SUBMIT},
         capture_output=True,
         timeout=300,
         check=False,
@@ -24,10 +28,10 @@ def run(module, *arguments):
 
 
 def test_clean_then_retrain(spark, tmp_path):
-    lines = [HEADER] + [
-        f"{i},2019-08-{1 + i % 28:02d},{i % 9},{i % 5},{(i % 4) * 10}.5,{i},{i % 28},{int(i % 4 == 3)},0"
-        for i in range(200)
-    ]
+    lines = [HEADER]
+    for i in range(200):
+        day, amount, fraud = 1 + i % 28, (i % 4) * 10 + 0.5, int(i % 4 == 3)
+        lines.append(f"{i},2019-08-{day:02d},{i % 9},{i % 5},{amount},{i},{day},{fraud},0")
     (tmp_path / "in.txt").write_text("\n".join(lines))
     table = str(tmp_path / "clean")
     assert run("txmill.plans.clean_job", "--input", str(tmp_path / "*.txt"), "--output", table) == 0

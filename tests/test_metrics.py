@@ -59,16 +59,19 @@ def test_perfect_and_reversed(spark):
 def test_pairs_beyond_a_bigint(spark):
     """Two scores, each with 4e9 rows' worth of weight, would overflow 64 bits when multiplied."""
     big = spark.createDataFrame([(4_000_000_000_000,)], "n bigint").select(
-        (F.col("n").cast("decimal(18,0)") * (F.lit(2) * F.col("n")).cast("decimal(19,0)")).alias("p")
+        F.col("n").cast("decimal(18,0)").alias("a"),
+        (F.lit(2) * F.col("n")).cast("decimal(19,0)").alias("b"),
     )
-    assert int(big.first()["p"]) == 2 * 4_000_000_000_000**2
+    assert int(big.select(F.col("a") * F.col("b")).first()[0]) == 2 * 4_000_000_000_000**2
 
 
 @pytest.mark.parametrize("classes", [2, 5])
 def test_accuracy_and_f1_equal_spark_ml(spark, classes):
     draw = random.Random(7)
     pairs = [(draw.randrange(classes), draw.randrange(classes + 1)) for _ in range(500)]
-    rows = spark.createDataFrame([(float(a), float(b)) for a, b in pairs], "label double, prediction double")
+    rows = spark.createDataFrame(pairs, "label int, prediction int").selectExpr(
+        "double(label) AS label", "double(prediction) AS prediction"
+    )
     found = metrics.classification_metrics(rows).first()
     for name in ("accuracy", "f1"):
         expected = MulticlassClassificationEvaluator(metricName=name).evaluate(rows)

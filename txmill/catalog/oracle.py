@@ -102,7 +102,8 @@ TYPED = f"{RAW}, typed AS (SELECT {_TYPED_LIST} FROM data)"
 COMPLETE = f"{TYPED}, complete AS (SELECT * FROM typed WHERE {_COMPLETE})"
 _CLEAN = f"""WITH {COMPLETE},
 numbered AS (
-    SELECT *, row_number() OVER (PARTITION BY tranaction_id ORDER BY {", ".join(RAW_COLUMNS[1:])}) AS n
+    SELECT *, row_number() OVER (
+        PARTITION BY tranaction_id ORDER BY {", ".join(RAW_COLUMNS[1:])}) AS n
     FROM complete)
 SELECT * EXCLUDE (n, tranaction_id) REPLACE ({_SHOWN}), tranaction_id AS transaction_id
 FROM numbered WHERE n = 1"""
@@ -303,7 +304,8 @@ SELECT transaction_id, {_part("transaction_id", 7, ("sample", "rest"))} AS part
     "sample_exact": f"""WITH {TX},
 placed AS (
     SELECT transaction_id, count(*) OVER () AS n,
-           row_number() OVER (ORDER BY {_hash("transaction_id", "sample-42")}, transaction_id) AS place
+           row_number() OVER (
+               ORDER BY {_hash("transaction_id", "sample-42")}, transaction_id) AS place
     FROM tx)
 SELECT transaction_id, CASE WHEN place <= round(n * 0.8) THEN 'sample' ELSE 'rest' END AS part
 FROM placed""",
@@ -377,7 +379,8 @@ SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different
 FROM tx WHERE {_part("transaction_id", 42, ("train", "test"))} = 'test'""",
     "retrain_report": f"""WITH {TX},
 parts AS (SELECT {_part("transaction_id", 42, ("train", "test"))} AS part FROM tx)
-SELECT count(*) FILTER (part = 'train') AS train_rows, count(*) FILTER (part = 'test') AS test_rows,
+SELECT count(*) FILTER (part = 'train') AS train_rows,
+       count(*) FILTER (part = 'test') AS test_rows,
        '{",".join(_FEATURES)}' AS features, CAST(1 AS BIGINT) AS version, TRUE AS promoted
 FROM parts""",
 }

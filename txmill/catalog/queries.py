@@ -260,14 +260,7 @@ DOUBLES = (
 def synth_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generated transaction per event, whose ids are row numbers from 0."""
     ids = bindings.table(spark, sf_dir, "events").select("event_id")
-    made = synth.transactions_for(
-        ids,
-        "event_id",
-        count=ids.count(),
-        fraud_rate=synth.FRAUD_RATE,
-        seed=synth.SEED,
-        anchor=ANCHOR,
-    )
+    made = synth.transactions_for(ids, "event_id", count=ids.count(), anchor=ANCHOR)
     return _rounded(made, 4, *DOUBLES)
 
 
@@ -278,9 +271,8 @@ def synth_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
         split.shuffled_position(ids, "event_id"),
         "event_id",
         count=ids.count(),
-        fraud_rate=synth.FRAUD_RATE,
-        seed=synth.SEED,
         anchor=ANCHOR,
+        number="position",
     )
     return made.select("transaction_id", "fraud", "hour_of_day")
 

@@ -13,9 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+# More ranges than this would make the pass that places them the larger part of the work.
+_MOST_BUCKETS = 10_000
+
+
 def default_buckets(spark: SparkSession) -> int:
-    """As many ranges as the session uses for a shuffle."""
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """As many ranges as the session uses partitions in a shuffle, within limits."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(2, partitions), _MOST_BUCKETS)
 
 
 def range_buckets(df: DataFrame, column: str, out: str, buckets: int | None = None) -> DataFrame:
@@ -62,7 +67,12 @@ def running(
     carried = (
         rows.groupBy(*keys, chunk)
         .agg(combine("_value").alias("_total"))
-        .select(*keys, chunk, combine("_total").over(earlier).alias("_value"), F.lit(0).alias("_row"))
+        .select(
+            *keys,
+            chunk,
+            combine("_total").over(earlier).alias("_value"),
+            F.lit(0).alias("_row"),
+        )
     )
     end = Window.currentRow if inclusive else -1
     in_chunk = (

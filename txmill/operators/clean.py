@@ -42,9 +42,8 @@ def split_fields(lines: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def cast_fields(df: DataFrame, types: Sequence[str] = FIELD_TYPES) -> DataFrame:
     """Cast text columns by position; text that does not fit its type becomes NULL."""
-    return df.select(
-        *[FIELD_CASTS[t](F.col(name)).alias(name) for name, t in zip(df.columns, types, strict=True)]
-    )
+    typed = zip(df.columns, types, strict=True)
+    return df.select(*[FIELD_CASTS[t](F.col(name)).alias(name) for name, t in typed])
 
 
 def typed_fields(

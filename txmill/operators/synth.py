@@ -97,20 +97,26 @@ def _draw(column: str, uniforms: list[Column]) -> Column:
 
 
 def transactions_for(
-    rows: DataFrame, key: str, *, count: int, fraud_rate: float, seed: int, anchor: str
+    rows: DataFrame,
+    key: str,
+    *,
+    count: int,
+    anchor: str,
+    fraud_rate: float = FRAUD_RATE,
+    seed: int = SEED,
+    number: str | None = None,
 ) -> DataFrame:
     """One transaction per row of ``rows``, whose ``key`` holds each of 0..count-1 once.
 
     ``int(count * (1 - fraud_rate))`` keys, the lowest, are normal and the rest fraudulent. All
-    values hang on the key, so any partitioning gives the same table. A ``position`` column in
-    ``rows`` numbers the ids instead of the key.
+    values hang on the key, so any partitioning gives the same table. Ids are numbered by the
+    column ``number``, or else by the key.
     """
     normal_rows = int(count * (1 - fraud_rate))
-    number = "position" if "position" in rows.columns else key
     numbers = 1 + sum(SHAPES[kind][0] for kind, _, _ in DISTRIBUTIONS.values())
     digests = [f"_digest{i}" for i in range(-(-numbers // SLOTS))]
     drawn = rows.select(
-        F.col(number).alias("_number"),
+        F.col(number or key).alias("_number"),
         (F.col(key) >= F.lit(normal_rows)).cast("int").alias("fraud"),
         *[digest(key, f"row-{seed}-{i}").alias(name) for i, name in enumerate(digests)],
     )
@@ -142,5 +148,11 @@ def synthetic_transactions(
         cells = min(1 << 16, max(1, 1 << (count // 1_000_000).bit_length()))
         rows = shuffled_position(rows, "id", seed, cells=cells)
     return transactions_for(
-        rows, "id", count=count, fraud_rate=fraud_rate, seed=seed, anchor=anchor
+        rows,
+        "id",
+        count=count,
+        anchor=anchor,
+        fraud_rate=fraud_rate,
+        seed=seed,
+        number="position" if shuffle else None,
     )

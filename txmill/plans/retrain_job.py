@@ -1,7 +1,7 @@
 """Retrain job: Parquet transactions in, a tuned model out, and a decision on the champion.
 
-    spark-submit txmill/plans/retrain_job.py --input s3a://bucket/clean --output s3a://bucket/model \
-        --registry s3a://bucket/registry --auto-register
+    spark-submit txmill/plans/retrain_job.py --input s3a://bucket/clean \
+        --output s3a://bucket/model --registry s3a://bucket/registry --auto-register
 """
 
 from __future__ import annotations
