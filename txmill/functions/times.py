@@ -8,10 +8,5 @@ from pyspark.sql import functions as F
 
 def wall_clock_seconds(ts: Column, epoch: str = "1970-01-01") -> Column:
     """Whole seconds from the start of ``epoch`` to what the clock of a zone-less time shows."""
-    days = F.datediff(F.to_date(ts), F.lit(epoch).cast("date")).cast("bigint")
-    return (
-        days * F.lit(86_400)
-        + F.hour(ts) * F.lit(3_600)
-        + F.minute(ts) * F.lit(60)
-        + F.second(ts)
-    )
+    since = ts.cast("timestamp_ntz") - F.lit(epoch).cast("timestamp_ntz")
+    return since.cast("interval second").cast("bigint")

@@ -53,12 +53,7 @@ def model_versions(registrations: DataFrame, buckets: int | None = None) -> Data
     """
     at = F.col("recorded_at")
     zoneless = isinstance(registrations.schema["recorded_at"].dataType, TimestampNTZType)
-    fraction = F.extract(F.lit("SECOND"), at) % F.lit(1)
-    place = (
-        wall_clock_seconds(at).cast("double") + fraction.cast("double")
-        if zoneless
-        else F.unix_micros(at).cast("double")
-    )
+    place = wall_clock_seconds(at) if zoneless else F.unix_micros(at)
     timed = registrations.withColumn("_time", place)
     ranged = range_buckets(timed, "_time", "_range", buckets).drop("_time")
     numbered = running(
