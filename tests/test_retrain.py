@@ -190,6 +190,10 @@ def test_cycle_keeps_the_better_model(spark, learnable, tmp_path):
     ]
     held = {r["alias"]: r["version"] for r in registry.aliases(history).collect()}
     assert held == {"champion": 2, "challenger": 3}
+    champion = retrain_job.load_champion(spark, kept)
+    scored = models.score(champion, hash_split(spark.read.parquet(learnable), "transaction_id")[1])
+    assert models.evaluate(scored)["auc"] == pytest.approx(better["auc"])
+    assert retrain_job.load_champion(spark, kept, "another") is None
     runs = spark.read.parquet(f"{kept}/runs")
     assert runs.count() == 4
     assert runs.filter("run_name = 'good'").first()["numTrees_options"] == [3]

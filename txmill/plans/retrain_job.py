@@ -120,7 +120,8 @@ def retrain(
 ) -> dict:
     """Train on ``source``, save the model to ``target``, record the run and maybe register it.
 
-    Runs and registrations are the tables ``runs`` and ``registrations`` under ``registry_path``.
+    Runs and registrations are the tables ``runs`` and ``registrations`` under ``registry_path``,
+    and ``models`` keeps the model of every run, because the next training replaces ``target``.
     Returns the report, the run's id and name, and whether the run became the champion.
     """
     options_tried = grid or models.Grid()
@@ -132,6 +133,7 @@ def retrain(
         models.spread(read_parquet(spark, source)), model_type=model_type, grid=grid, **options
     )
     if registry_path:
+        models.save_model(best, run_model_path(registry_path, run_id))
         registry.record_run(
             spark,
             f"{registry_path}/runs",
@@ -152,10 +154,14 @@ def retrain(
     promoted = None
     if auto_register and registry_path:
         registry.register_run(spark, f"{registry_path}/registrations", model_name, run_id)
-        promoted = is_champion(spark, registry_path, model_name, run_id)
+        promoted = champion_run(spark, registry_path, model_name) == run_id
     return {**asdict(report), "run_id": run_id, "run_name": name, "promoted": promoted}
 
 
+def run_model_path(registry_path: str, run_id: str) -> str:
+    return f"{registry_path}/models/{run_id}"
+
+
 def history_of(spark: SparkSession, registry_path: str) -> DataFrame:
     """All registered versions with their metrics."""
     return registry.version_history(
@@ -164,13 +170,20 @@ def history_of(spark: SparkSession, registry_path: str) -> DataFrame:
     )
 
 
-def is_champion(spark: SparkSession, registry_path: str, model_name: str, run_id: str) -> bool:
-    """Whether this run now holds the champion alias of the model."""
-    history = history_of(spark, registry_path).filter(
-        F.col("model_name") == F.lit(model_name)
-    )
+def champion_run(spark: SparkSession, registry_path: str, model_name: str) -> str | None:
+    """Run whose version holds the champion alias of the model, if any does."""
+    history = history_of(spark, registry_path).filter(F.col("model_name") == F.lit(model_name))
     current = registry.champions(history).select("run_id").first()
-    return current is not None and current["run_id"] == run_id
+    return current["run_id"] if current else None
+
+
+def load_champion(
+    spark: SparkSession, registry_path: str, experiment: str = EXPERIMENT
+) -> PipelineModel | None:
+    """The champion of an experiment, ready to score."""
+    model_name = registry.MODEL_NAME_FORMAT.format(experiment=experiment)
+    run_id = champion_run(spark, registry_path, model_name)
+    return models.load_model(run_model_path(registry_path, run_id)) if run_id else None
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
