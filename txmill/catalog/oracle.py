@@ -217,9 +217,9 @@ decided AS (
     FROM compared)"""
 VERSIONS = f"""versions AS (
     SELECT {_MODEL}, CAST(event_id AS VARCHAR) AS run_id, value AS auc,
-           CAST(row_number() OVER (
+           row_number() OVER (
                PARTITION BY CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE 'user_' || user_id END
-               ORDER BY ts, CAST(event_id AS VARCHAR)) AS INTEGER) AS version
+               ORDER BY ts, CAST(event_id AS VARCHAR)) AS version
     FROM events)"""
 
 

@@ -56,7 +56,7 @@ def model_versions(registrations: DataFrame, buckets: int | None = None) -> Data
     place = wall_clock_seconds(at) if zoneless else F.unix_micros(at)
     timed = registrations.withColumn("_time", place)
     ranged = range_buckets(timed, "_time", "_range", buckets).drop("_time")
-    numbered = running(
+    return running(
         ranged,
         ["model_name"],
         "_range",
@@ -65,8 +65,7 @@ def model_versions(registrations: DataFrame, buckets: int | None = None) -> Data
         F.sum,
         "version",
         inclusive=True,
-    )
-    return numbered.withColumn("version", F.col("version").cast("int")).drop("_range")
+    ).drop("_range")
 
 
 def version_history(registrations: DataFrame, runs: DataFrame) -> DataFrame:
