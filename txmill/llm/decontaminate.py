@@ -25,7 +25,7 @@ from txmill.llm import tokens
 from txmill.llm.common import per_text
 
 MATCH = 5
-COVERAGE = 0.8
+COVERAGE = 0.6
 #: Bound of one block of the benchmark, in characters; a longer item is a block of its own.
 BLOCK_CHARACTERS = 8_000_000
 
