@@ -3,21 +3,49 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from txmill.llm import decontaminate, exact_dedup, near_dedup, packing, quality
+from txmill.llm import (
+    decontaminate,
+    exact_dedup,
+    licenses,
+    near_dedup,
+    packing,
+    quality,
+    secrets,
+    token_files,
+    url_filter,
+    warc,
+)
 from txmill.llm.common import table
+from txmill.llm.url_filter import Rule
+from txmill.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Fixed values of the URL query.
+RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -28,22 +56,50 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    known = url_filter.labelled(url_filter.parsed(pages, "page_id", "url", RULES))
+    return url_filter.judge(pages, RULES, url_filter.train(known))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.resolved(warc.read(spark, path))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    tokenizer = import_module("public_tokenizers").path(TOKENIZER)
+    token_files.write(table(spark, sf_dir, "documents"), path, tokenizer)
+    return token_files.read(spark, path)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_quality_classifier,
+        op2_license_scan,
         op3_benchmark_decontamination,
         op4_packing,
+        op5_url_filter,
         op6_exact_dedup,
+        op7_warc_revisits,
+        op8_token_files,
         op9_simhash_near_dedup,
+        op10_secret_scan,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -60,6 +116,23 @@ select doc_id,
        coalesce(row_number() over (partition by content order by doc_id) = 1, false) as kept,
        sha256(content) as text_sha256
 from d
+""",
+    "op7_warc_revisits": r"""
+with p as (
+  select page_id, encode(coalesce(html, '')) as payload, coalesce(html, '') as html from pages
+), g as (
+  select page_id, octet_length(payload) as payload_bytes, sha1(html) as h,
+         min(page_id) over (partition by html) as first
+  from p
+)
+select page_id, payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::bigint >> (15 - 5 * (i % 4))) & 31)::int, 1)),
+         'string_agg', '') as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id = first then null else first end as refers_to
+from g
 """,
 }
 if corpus_pipeline.ORACLE_SQL:
