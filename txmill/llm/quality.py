@@ -51,7 +51,7 @@ _CLASSES = np.stack(
 
 
 def statistics(text: str) -> list[float]:
-    """Numbers that describe a text; all are zero for an empty one."""
+    """Numbers that describe a text. An empty one has one empty line and no words."""
     data = text.encode("utf-8", "replace")
     counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     size = max(len(data), 1)
