@@ -1,10 +1,11 @@
 import itertools
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from txmill.operators.chunks import range_buckets, running
+from txmill.operators.chunks import positions, running, score_cells
 
 
 @pytest.fixture(scope="module")
@@ -47,32 +48,44 @@ def test_rows_are_shuffled_once_and_never_joined(history):
     assert "hashpartitioning(k" in plan and "SinglePartition" not in plan
 
 
-@pytest.mark.parametrize("buckets", [2, 5, 40])
-def test_ranges_keep_the_order(spark, buckets):
-    special = [float("inf"), float("-inf"), float("nan")]
-    values = [3.0, 1.0, 1.0, 1.0, 1.0, 7.0, -2.0, 9.0, 1e300, -1e300, *special]
+def cells(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    rows = range_buckets(df, "x", "b", buckets).orderBy("x").collect()
-    found = [r["b"] for r in rows]
+    coarse, fine = score_cells(F.col("x") + F.lit(0.0))
+    return [(r["x"], r["c"], r["f"]) for r in df.select("x", coarse.alias("c"), fine.alias("f")).orderBy("x").collect()]
+
+
+def test_cells_keep_the_order(spark):
+    special = [float("inf"), float("-inf"), float("nan"), 5e-324, -5e-324, 0.0]
+    values = [3.0, 1.0, 1.0, 7.0, -2.0, 9.0, 1e300, -1e300, 0.5, 0.5000001, 0.49999999, *special]
+    found = [(c, f) for _, c, f in cells(spark, values)]
+    assert found == sorted(found)
+    assert len({(c, f) for x, c, f in cells(spark, values) if x == 1.0}) == 1
+
+
+def test_cells_of_random_values_keep_the_order(spark):
+    rng = np.random.default_rng(0)
+    values = [*rng.normal(size=2000), *np.exp(rng.normal(size=2000) * 50), *rng.random(2000) / 1e6 + 0.25]
+    found = [(c, f) for _, c, f in cells(spark, map(float, values))]
     assert found == sorted(found)
-    assert len({r["b"] for r in rows if r["x"] == 1.0}) == 1
-    assert len(set(found)) >= 2
 
 
-def test_both_zeros_share_a_range(spark):
-    df = spark.createDataFrame([(v,) for v in (-1.0, -0.0, 0.0, 0.0, 1.0)], "x double")
-    assert range_buckets(df, "x", "b", 5).filter("x = 0").select("b").distinct().count() == 1
+def test_both_zeros_share_a_cell(spark):
+    assert len({(c, f) for x, c, f in cells(spark, [-0.0, 0.0, 0.0]) if x == 0.0}) == 1
 
 
-def test_ranges_of_constant_and_empty_columns(spark):
-    for rows in ([(2.0,)] * 5, []):
-        df = spark.createDataFrame(rows, "x double")
-        assert range_buckets(df, "x", "b").select("b").distinct().count() <= 1
+def test_cells_of_an_empty_column(spark):
+    assert cells(spark, []) == []
 
 
-def test_ranges_are_balanced_on_skewed_values(spark):
-    df = spark.range(10_000).select(F.exp(F.col("id") / F.lit(20.0)).alias("x"))
-    largest = (
-        range_buckets(df, "x", "b", 10).groupBy("b").count().agg(F.max("count")).first()[0]
+def test_positions_count_over_two_levels(spark):
+    df = spark.range(500).select(
+        F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("k"),
+        (F.col("id") % 7).alias("o"),
+        F.when(F.col("id") % 11 > 0, F.col("id") % 11).alias("i"),
+        "id",
     )
-    assert largest < 2_000
+    rows = positions(df, ["k"], "o", "i", ["id"], "n").collect()
+    assert len(rows) == 500
+    for key in {r["k"] for r in rows}:
+        own = sorted((r for r in rows if r["k"] == key), key=lambda r: (r["o"], r["i"] or -1, r["id"]))
+        assert [r["n"] for r in own] == list(range(1, len(own) + 1))

@@ -224,3 +224,26 @@ def test_arguments():
     assert (args.input, args.output, args.files, args.mode) == ("i", "o", 5, "errorifexists")
     with pytest.raises(SystemExit):
         clean_job.parse_args(["--input", "i"])
+
+
+def raw_rows(spark, header, rows):
+    return spark.createDataFrame([(header,), *[(r,) for r in rows]], "value string")
+
+
+def test_duplicates_go_by_the_id_wherever_it_stands(spark):
+    names = ["customer_id", "tx_datetime", "tranaction_id", "terminal_id", "tx_amount"]
+    names += ["tx_time_seconds", "tx_time_days", "tx_fraud", "tx_fraud_scenario"]
+    rows = [f"{i % 3},2019-08-22,{i},5,1.5,1,1,0,0" for i in range(30)] + ["9,2019-08-22,7,5,1.5,1,1,0,0"]
+    lines = raw_rows(spark, "# " + " | ".join(names), rows)
+    found = clean.clean_transactions(lines, names).collect()
+    assert sorted(r["transaction_id"] for r in found) == list(range(30))
+    assert {r["transaction_id"]: r["customer_id"] for r in found}[7] == 1
+
+
+def test_headers_without_id_or_amount_are_refused(spark):
+    names = ["a", "b", "c", "d", "tx_amount", "f", "g", "h", "i"]
+    with pytest.raises(ValueError, match="transaction_id"):
+        clean.clean_transactions(raw_rows(spark, "#", []), names)
+    names[0], names[4] = "transaction_id", "e"
+    with pytest.raises(ValueError, match="tx_amount"):
+        clean.clean_transactions(raw_rows(spark, "#", []), names)

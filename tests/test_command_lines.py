@@ -22,9 +22,10 @@ def run(module, *arguments):
         cwd=ROOT,
         env={**os.environ, "PYTHONPATH": ROOT, "PYSPARK_SUBMIT_ARGS": SUBMIT},
         capture_output=True,
+        text=True,
         timeout=300,
         check=False,
-    ).returncode
+    )
 
 
 def test_clean_then_retrain(spark, tmp_path):
@@ -34,14 +35,18 @@ def test_clean_then_retrain(spark, tmp_path):
         lines.append(f"{i},2019-08-{day:02d},{i % 9},{i % 5},{amount},{i},{day},{fraud},0")
     (tmp_path / "in.txt").write_text("\n".join(lines))
     table = str(tmp_path / "clean")
-    assert run("txmill.plans.clean_job", "--input", str(tmp_path / "*.txt"), "--output", table) == 0
+    done = run("txmill.plans.clean_job", "--input", str(tmp_path / "*.txt"), "--output", table)
+    assert done.returncode == 0
     assert read_parquet(spark, table).count() == 200
-    code = run(
+    done = run(
         "txmill.plans.retrain_job",
         *("--input", table, "--output", str(tmp_path / "model"), "--run-name", "nightly"),
         *("--registry", str(tmp_path / "registry"), "--auto-register"),
+        *("--exclude", "transaction_id", "--seed", "7", "--partitions", "4", "--exact-auc"),
     )
-    assert code == 0
+    assert done.returncode == 0
+    for said in ("rows: ", "features: customer_id", "auc: 1.0", "promoted to champion"):
+        assert said in done.stdout
     run_made = read_parquet(spark, str(tmp_path / "registry/runs")).first()
     assert run_made["auc"] == 1.0 and run_made["run_name"] == "nightly"
     assert run_made["best_numTrees"] in (10, 20) and run_made["best_maxDepth"] in (5, 10)
@@ -49,4 +54,12 @@ def test_clean_then_retrain(spark, tmp_path):
 
 def test_failed_training_exits_with_1(tmp_path):
     missing = str(tmp_path / "missing")
-    assert run("txmill.plans.retrain_job", "--input", missing, "--output", str(tmp_path / "m")) == 1
+    done = run("txmill.plans.retrain_job", "--input", missing, "--output", str(tmp_path / "m"))
+    assert done.returncode == 1
+
+
+def test_generator_writes_and_reports(spark, tmp_path):
+    done = run("txmill.plans.synth_job", "--output", str(tmp_path / "demo"), "--rows", "500")
+    assert done.returncode == 0 and "rows: 500" in done.stdout and "fraud: 25 (5.00 %)" in done.stdout
+    sizes = [spark.read.option("header", True).csv(str(tmp_path / "demo" / p)).count() for p in ("train", "test")]
+    assert sizes == [400, 100]

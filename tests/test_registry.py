@@ -2,6 +2,7 @@ import datetime
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from txmill.operators import registry
 
@@ -75,12 +76,11 @@ def test_versions_follow_time_then_run(spark):
     draw = random.Random(3)
     draw.shuffle(rows)
     df = spark.createDataFrame(rows, "model_name string, run_id string, recorded_at timestamp")
-    for buckets in (2, 30):
-        found = registry.model_versions(df, buckets).collect()
-        assert {(r["model_name"], r["run_id"]): r["version"] for r in found} == {
-            **{("m", f"r{i:03}"): i + 1 for i in range(100)},
-            ("other", "x"): 1,
-        }
+    found = registry.model_versions(df).collect()
+    assert {(r["model_name"], r["run_id"]): r["version"] for r in found} == {
+        **{("m", f"r{i:03}"): i + 1 for i in range(100)},
+        ("other", "x"): 1,
+    }
 
 
 def test_records_are_appended_and_joined(spark, tmp_path):
@@ -102,3 +102,12 @@ def test_records_are_appended_and_joined(spark, tmp_path):
     assert stored.dtypes == spark.createDataFrame([], registry.RUNS_SCHEMA).dtypes
     found = registry.version_history(spark.read.parquet(kept), stored).orderBy("version").collect()
     assert [(r["version"], r["run_id"], r["auc"]) for r in found] == [(1, "b", 0.9), (2, "c", None)]
+
+
+def test_a_run_recorded_twice_has_one_version(spark):
+    at = "2024-01-01 00:00:00"
+    registrations = spark.createDataFrame([("m", "a", at), ("m", "b", at), (None, "c", at)], "model_name string, run_id string, recorded_at string")
+    registrations = registrations.withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
+    runs = spark.createDataFrame([("a", 0.5, 0.1, 0.1), ("a", 0.5, 0.1, 0.1), ("b", 0.6, 0.1, 0.1)], "run_id string, auc double, accuracy double, f1 double")
+    found = registry.version_history(registrations, runs).collect()
+    assert sorted((r["run_id"], r["version"]) for r in found) == [("a", 1), ("b", 2), ("c", 1)]

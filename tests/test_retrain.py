@@ -1,10 +1,12 @@
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from txmill.catalog import bindings
 from txmill.operators import features, registry, synth
 from txmill.operators import model as models
+from txmill.operators.features import LABEL
 from txmill.operators.split import hash_split
 from txmill.plans import retrain_job
 
@@ -210,3 +212,39 @@ def test_arguments():
         retrain_job.parse_args(["--output", "o"])
     name = retrain_job.default_run_name("rf", "s3a://b/x/tx.parquet")
     assert name == "fraud_detection_rf_tx.parquet"
+
+
+def test_dealt_out_rows_give_one_model_on_any_layout(spark, sf_dir):
+    rows = bindings.transactions(spark, sf_dir)
+    names = ["customer_id", "terminal_id", "tx_amount"]
+    found = []
+    for layout in (rows, rows.repartition(11), rows.coalesce(1)):
+        laid = models.laid_out(layout, "transaction_id", 6)
+        fitted = models.build_stages(names, models.build_classifier()).fit(laid.withColumnRenamed("tx_fraud", LABEL) if LABEL not in laid.columns else laid)
+        found.append(fitted.stages[-1].toDebugString.split("\n", 1)[1])
+    assert len(set(found)) == 1
+    assert models.laid_out(rows, "transaction_id") is rows
+
+
+def test_report_lines():
+    done = {
+        "rows": {"train": 8, "test": 2}, "features": ["a", "b"], "train_nulls": {"b": 3}, "model_type": "rf",
+        "auc": 0.9, "accuracy": 0.8, "f1": 0.7, "best_numTrees": 10, "best_maxDepth": 5, "promoted": True,
+        "champion_before": {"version": 1, "auc": 0.6, "accuracy": 0.5, "f1": 0.4}, "improvement_pct": 50.0,
+    }
+    lines = retrain_job.report_lines(done)
+    assert "warning: 3 missing values in b" in lines and "improvement: 50.00 %" in lines
+    assert "best: 10 trees of depth 5" in lines and lines[-1] == "promoted to champion"
+    bare = {**done, "best_numTrees": None, "champion_before": None, "improvement_pct": None, "promoted": None}
+    assert not any(x.startswith(("best", "champion", "improvement", "promoted")) for x in retrain_job.report_lines(bare))
+
+
+def test_binned_and_exact_auc(spark):
+    rows = spark.range(5000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(3)) == 0).cast("double").alias(LABEL),
+        F.lit(0.0).alias("prediction"),
+        array_to_vector(F.array(-F.col("id") / 7.0, F.col("id") / 7.0)).alias("rawPrediction"),
+    )
+    exact = models.evaluate(rows, LABEL, exact_auc=True)["auc"]
+    assert exact == pytest.approx(models.auc_evaluator(LABEL, bins=0).evaluate(rows), abs=1e-12)
+    assert models.evaluate(rows, LABEL)["auc"] == pytest.approx(exact, abs=1e-3)

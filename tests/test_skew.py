@@ -1,3 +1,5 @@
+from itertools import groupby
+
 """One key or value holds a third of the rows or more; no task may get it whole."""
 
 import pytest
@@ -5,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txmill.operators import clean, metrics, registry
-from txmill.operators.chunks import range_buckets, running
+from txmill.operators.chunks import running, score_cells
 
 ROWS = 40_000
 
@@ -55,12 +57,24 @@ def test_versions_of_one_model_are_spread_over_tasks(one_model, no_merging):
         F.col("version").cast("string").alias("run_id"),
         F.timestamp_seconds(F.lit(1_700_000_000) + F.col("version")).alias("recorded_at"),
     )
-    numbered = registry.model_versions(registrations, buckets=64)
+    numbered = registry.model_versions(registrations)
     assert largest_share(numbered) < 0.4
     wrong = numbered.filter(F.col("version") != F.col("run_id").cast("int") + 1)
     assert wrong.count() == 0
 
 
+def test_versions_of_one_moment_are_spread_over_tasks(one_model, no_merging):
+    registrations = one_model.select(
+        "model_name",
+        F.md5(F.col("version").cast("string")).alias("run_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000)).alias("recorded_at"),
+    )
+    numbered = registry.model_versions(registrations)
+    assert largest_share(numbered) < 0.4
+    ids = [r["run_id"] for r in numbered.orderBy("version").select("run_id").collect()]
+    assert ids == sorted(ids)
+
+
 def test_scores_are_spread_over_tasks(spark, no_merging):
     scores = spark.range(ROWS).select(
         F.when(F.col("id") % 3 == 0, F.lit(0.5))
@@ -68,10 +82,32 @@ def test_scores_are_spread_over_tasks(spark, no_merging):
         .alias("score"),
         (F.col("id") % 7 == 0).cast("int").alias("label"),
     )
-    distinct = range_buckets(scores, "score", "b", 64).groupBy("b", "score").count()
-    assert largest_share(distinct.repartition("b")) < 0.4
-    few = metrics.area_under_roc(scores, buckets=2).first()["auc"]
-    assert metrics.area_under_roc(scores, buckets=64).first()["auc"] == few
+    assert_cells_spread(scores)
+
+
+def test_scores_with_a_common_start_are_spread_over_tasks(spark, no_merging):
+    scores = spark.range(ROWS).select(
+        (F.lit(0.7) + F.col("id") / F.lit(1e8)).alias("score"),
+        (F.col("id") % 7 == 0).cast("int").alias("label"),
+    )
+    assert_cells_spread(scores)
+
+
+def assert_cells_spread(scores):
+    coarse, fine = score_cells(F.col("score"))
+    distinct = scores.select("score", coarse.alias("c"), fine.alias("f")).distinct()
+    assert largest_share(distinct.repartition("c", "f")) < 0.4
+    rows = [(r["score"], r["label"]) for r in scores.collect()]
+    rows.sort()
+    below = pairs = 0
+    for _, tied in groupby(rows, key=lambda r: r[0]):
+        labels = [y for _, y in tied]
+        pos, neg = sum(labels), len(labels) - sum(labels)
+        pairs += pos * (2 * below + neg)
+        below += neg
+    positives = sum(y for _, y in rows)
+    expected = pairs / (2 * positives * (len(rows) - positives))
+    assert metrics.area_under_roc(scores).first()["auc"] == pytest.approx(expected, abs=1e-12)
 
 
 def test_a_hot_key_leaves_each_map_task_as_one_row(spark, no_merging):

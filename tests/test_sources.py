@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 
 from txmill.sources import s3a_settings, scratch_path
@@ -33,7 +35,7 @@ def test_scratch_lies_in_the_shared_folder(spark):
 def test_scratch_refuses_local_folders_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(FakeSession("yarn", {}), "t")
-    assert scratch_path(FakeSession("local[2]", {}), "t").startswith("/tmp/")
+    assert scratch_path(FakeSession("local[2]", {}), "t").startswith(tempfile.gettempdir())
     assert scratch_path(
         FakeSession("yarn", {"spark.checkpoint.dir": "hdfs:///shared/"}), "t"
     ).startswith("hdfs:///shared/t-")

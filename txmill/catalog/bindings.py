@@ -81,6 +81,22 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.explode(F.array(dirty)).alias("value"))
 
 
+def reordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with the customer's column first and the id third, in data and header."""
+    names = HEADER.removeprefix("# ").split(" | ")
+    names[0], names[2] = names[2], names[0]
+    parts = F.split("value", ",")
+    swapped = F.concat_ws(
+        ",", parts[2], parts[1], parts[0], F.slice(parts, F.lit(4), F.size(parts))
+    )
+    value = (
+        F.when(F.col("value").startswith("#"), F.lit("# " + " | ".join(names)))
+        .when(F.size(parts) > F.lit(3), swapped)
+        .otherwise(F.col("value"))
+    )
+    return raw_lines(spark, sf_dir).select(value.alias("value"))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with a label, a score and a prediction that SQL can compute too."""
     return table(spark, sf_dir, "events").select(

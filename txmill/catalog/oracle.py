@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
-from txmill.catalog.bindings import EPOCH, HEADER
-from txmill.operators.clean import FIELD_TYPES
-from txmill.operators.synth import DISTRIBUTIONS, FRAUD_RATE, SHAPES, first_slots
-
+# Everything is written out here: a wrong constant in the library must not be repeated in the SQL.
+EPOCH = "2024-01-01"
 ANCHOR = "2024-06-01 00:00:00"
-
+HEADER = (
+    "# tranaction_id | tx_datetime | customer_id | terminal_id | tx_amount"
+    " | tx_time_seconds | tx_time_days | tx_fraud | tx_fraud_scenario"
+)
+FIELD_TYPES = ["int", "date", "int", "int", "float", "int", "int", "int", "int"]
+FRAUD_RATE = 0.05
+
+# Column: kind, number of its first uniform draw, parameters of normal and fraudulent rows.
+DRAWS = {
+    "amount": ("lognormal", 1, (5.0, 1.0), (6.0, 2.0)),
+    "hour_of_day": ("integer", 3, (24,), (24,)),
+    "day_of_week": ("integer", 4, (7,), (7,)),
+    "distance_from_home": ("exponential", 5, (30.0,), (100.0,)),
+    "distance_from_last_transaction": ("exponential", 6, (20.0,), (100.0,)),
+    "ratio_to_median_purchase_price": ("normal", 7, (1.0, 0.5), (3.0, 1.0)),
+    "repeat_retailer": ("bernoulli", 9, (0.5,), (0.2,)),
+    "used_chip": ("bernoulli", 10, (0.9,), (0.2,)),
+    "used_pin_number": ("bernoulli", 11, (0.8,), (0.2,)),
+    "online_order": ("bernoulli", 12, (0.4,), (0.8,)),
+}
 
 
 def _round(value: str, digits: int) -> str:
@@ -125,11 +142,9 @@ def _uniform(salt: object, slot: int = 0) -> str:
 
 
 def _column(column: str) -> str:
-    kind, usual, fraud = DISTRIBUTIONS[column]
-    first = first_slots()[column]
-    u = [
-        _uniform(f"row-42-{i // 4}", i % 4) for i in range(first, first + SHAPES[kind][0])
-    ]
+    kind, first, usual, fraud = DRAWS[column]
+    takes = 2 if kind in ("normal", "lognormal") else 1
+    u = [_uniform(f"row-42-{i // 4}", i % 4) for i in range(first, first + takes)]
     p = [
         f"CASE WHEN fraud = 1 THEN {b}::DOUBLE ELSE {a}::DOUBLE END"
         for a, b in zip(usual, fraud, strict=True)
@@ -257,6 +272,13 @@ SELECT {", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in RAW_COLUMNS if c != "t
        CASE WHEN NOT isnan(tx_amount) THEN {_round("CAST(tx_amount AS DOUBLE)", 2)} END AS tx_amount,
        coalesce(isnan(tx_amount), FALSE) AS amount_is_nan
 FROM typed""",
+    "field_types": f"""WITH {TYPED}
+SELECT * FROM ("""
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{t}' AS type, count({c}) AS \"values\" FROM typed"
+        for c, t in zip(RAW_COLUMNS, FIELD_TYPES, strict=True)
+    )
+    + ")",
     "drop_incomplete": f"WITH {COMPLETE} SELECT * REPLACE ({_SHOWN}) FROM complete",
     "rename_key": f"""WITH {COMPLETE}
 SELECT * EXCLUDE (tranaction_id) REPLACE ({_SHOWN}), tranaction_id AS transaction_id
@@ -271,9 +293,17 @@ FROM complete""",
         "l_returnflag", "l_extendedprice, l_orderkey, l_linenumber, l_partkey"
     ),
     "clean_transactions": _CLEAN,
+    "clean_reordered_header": f"""WITH {COMPLETE},
+numbered AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY tranaction_id
+        ORDER BY customer_id, tx_datetime, {", ".join(RAW_COLUMNS[3:])}) AS n
+    FROM complete)
+SELECT * EXCLUDE (n, tranaction_id) REPLACE ({_SHOWN}), tranaction_id AS transaction_id
+FROM numbered WHERE n = 1""",
     "clean_job_files": _CLEAN,
     "read_parquet": "SELECT event_id, user_id, event_type, value FROM events",
-    "read_back": f"WITH {TX} SELECT {_REPORT} FROM tx ORDER BY transaction_id LIMIT 20",
+    "read_back": f"WITH {TX} SELECT {_REPORT} FROM tx",
     "csv_round_trip": f"WITH {TX} SELECT {_REPORT} FROM tx",
     "split_counts": f"""WITH {TX}
 SELECT {_part("transaction_id", 42, ("train", "test"))} AS split, count(*) AS rows
@@ -317,7 +347,7 @@ FROM tx GROUP BY 1""",
     "random_minutes": f"SELECT event_id, {_timestamp(_uniform('minutes'))} FROM events",
     "synth_transactions": f"""WITH {_LABELLED}
 SELECT {_id("event_id")} AS transaction_id, {_timestamp(_uniform("row-42-0"))},
-       {", ".join(_column(c) for c in DISTRIBUTIONS)}, fraud
+       {", ".join(_column(c) for c in DRAWS)}, fraud
 FROM labelled""",
     "synth_shuffled": f"""WITH {_LABELLED},
 placed AS (
@@ -341,6 +371,13 @@ SELECT {_id("place")} AS transaction_id, fraud, {_column("hour_of_day")} FROM pl
 SELECT {_ACCURACY}, {_F1},
        {_round("max(CASE WHEN class = 1 THEN f1 END)", 9)} AS f1_positive
 FROM class_scores""",
+    "evaluate_scored": f"""WITH {_classes(SCORED)},
+ties AS (SELECT score, sum(label) AS pos, count(*) - sum(label) AS neg FROM scored GROUP BY score),
+ranked AS (
+    SELECT pos, neg, coalesce(sum(neg) OVER (
+        ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+    FROM ties)
+SELECT (SELECT {_round(_AUC, 9)} FROM ranked) AS auc, {_ACCURACY}, {_F1} FROM class_scores""",
     "f1_evaluator": f"WITH {_classes(SCORED)} SELECT {_ACCURACY}, {_F1} FROM class_scores",
     "confusion": f"""WITH {SCORED}
 SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction, count(*) AS rows
@@ -374,6 +411,22 @@ FROM decided GROUP BY 1, 2""",
 SELECT model_name, version, auc, champion_auc,
        {_round("(auc - champion_auc) / nullif(champion_auc, 0) * 100", 6)} AS improvement_pct
 FROM decided WHERE promoted""",
+    "synth_job_files": """SELECT count(*) AS rows, count(*) AS ids,
+       CAST(count(*) - floor(count(*) * (1 - 0.05)) AS BIGINT) AS frauds,
+       CAST(round(count(*) * 0.8) AS BIGINT) AS train_rows
+FROM events""",
+    "score_test": f"""WITH {TX}
+SELECT count(*) AS rows, CAST(0 AS BIGINT) AS outside, CAST(0 AS BIGINT) AS other_side
+FROM tx WHERE {_part("transaction_id", 42, ("train", "test"))} = 'test'""",
+    "score_logistic": f"""WITH {TX}
+SELECT count(*) AS rows, CAST(sum(tx_fraud) AS BIGINT) AS expected_positives
+FROM tx WHERE {_part("transaction_id", 42, ("train", "test"))} = 'train'""",
+    "grid_search": """SELECT CAST(t AS BIGINT) AS num_trees, CAST(d AS BIGINT) AS max_depth,
+       TRUE AS mean_is_auc, TRUE AS best_is_largest
+FROM (VALUES (10), (20)) AS trees(t), (VALUES (5), (10)) AS depths(d)""",
+    "retrain_cycle": """SELECT 'fraud_detection_model' AS model_name, CAST(1 AS BIGINT) AS version,
+       'cycle' AS run_name, 'rf' AS model_type, '10,20' AS trees, '5,10' AS depths,
+       TRUE AS promoted, TRUE AS metrics_in_range, TRUE AS best_in_grid""",
     "model_reload": f"""WITH {TX}
 SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different
 FROM tx WHERE {_part("transaction_id", 42, ("train", "test"))} = 'test'""",

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +12,15 @@ from txmill.catalog import bindings
 from txmill.functions import hash32, uniform
 from txmill.operators import clean, features, metrics, profile, registry, split, synth
 from txmill.operators import model as models
-from txmill.plans import clean_job, retrain_job
+from txmill.plans import clean_job, retrain_job, synth_job
 from txmill.sources import tables, text
 from txmill.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEY = clean.KEY
+# Training rows are dealt out by key to so many partitions.
+PARTITIONS = 8
 ANCHOR = "2024-06-01 00:00:00"
 SCALED = ["terminal_id", "tx_amount", "tx_time_seconds"]
 REPORT_COLUMNS = ["transaction_id", "customer_id", "terminal_id", "tx_amount"]
@@ -86,6 +86,18 @@ def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def field_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types after the cast, and how many values each column holds."""
+    typed = _typed(spark, sf_dir)
+    kinds = F.array(
+        *[
+            F.struct(F.lit(n).alias("column"), F.lit(t).alias("type"), F.count(n).alias("values"))
+            for n, t in typed.dtypes
+        ]
+    )
+    return typed.agg(kinds.alias("kinds")).select(F.inline("kinds"))
+
+
 def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(clean.drop_incomplete(_typed(spark, sf_dir)))
 
@@ -121,6 +133,12 @@ def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(clean.clean_transactions(lines, _names(lines)))
 
 
+def clean_reordered_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The id stands third, after the customer."""
+    lines = bindings.reordered_lines(spark, sf_dir)
+    return _shown(clean.clean_transactions(lines, _names(lines)))
+
+
 def clean_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files in, Parquet out, run twice over the same output as a scheduler would."""
     source, target = scratch_path(spark, "lines"), scratch_path(spark, "cleaned")
@@ -142,8 +160,7 @@ def read_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "transactions")
     tables.write_parquet(bindings.transactions(spark, sf_dir), path)
-    stored = tables.read_parquet(spark, path, REPORT_COLUMNS)
-    return profile.first_rows(stored, [KEY], 20)
+    return tables.read_parquet(spark, path, REPORT_COLUMNS)
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,6 +281,25 @@ def synth_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(made, 4, *DOUBLES)
 
 
+def synth_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many generated transactions as there are events, in CSV files: rows and frauds per file
+    set, and whether the two sets share an id."""
+    path = scratch_path(spark, "synth")
+    count = bindings.table(spark, sf_dir, "events").count()
+    synth_job.run(spark, path, count=count, anchor=ANCHOR)
+    schema = spark.createDataFrame([], synth_job.SCHEMA).schema
+    parts = [
+        tables.read_csv(spark, f"{path}/{part}", schema).withColumn("part", F.lit(part))
+        for part in ("train", "test")
+    ]
+    return parts[0].unionByName(parts[1]).agg(
+        F.count("*").alias("rows"),
+        F.countDistinct("transaction_id").alias("ids"),
+        F.sum(F.col("fraud").cast("bigint")).alias("frauds"),
+        F.count_if(F.col("part") == F.lit("train")).alias("train_rows"),
+    )
+
+
 def synth_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids in shuffled order, with the class each belongs to."""
     ids = bindings.table(spark, sf_dir, "events").select("event_id")
@@ -302,12 +338,10 @@ def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standardize_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scaling stage of the training pipeline."""
     rows = bindings.transactions(spark, sf_dir).select(KEY, *SCALED)
     vectors = features.assemble(rows, SCALED)
-    scaler = StandardScaler(
-        inputCol=features.RAW_VECTOR, outputCol=features.VECTOR, withMean=True, withStd=True
-    )
-    scaled = scaler.fit(vectors).transform(vectors)
+    scaled = models.build_scaler().fit(vectors).transform(vectors)
     return _rounded(
         scaled.select(KEY, *_vector_columns(scaled, features.VECTOR, SCALED)), 6, *SCALED
     )
@@ -332,9 +366,7 @@ def auc_few_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def auc_evaluator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spark ML's evaluator without bins, which is exact."""
     rows = bindings.scored(spark, sf_dir).withColumn("label", F.col("label").cast("double"))
-    exact = BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="score", metricName="areaUnderROC", numBins=0
-    )
+    exact = models.auc_evaluator("label", "score", bins=0)
     return _rounded(tables.rows_to_table(spark, [(exact.evaluate(rows),)], ["auc"]), 9, "auc")
 
 
@@ -347,15 +379,23 @@ def f1_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(found, 9, "accuracy", "f1", "f1_positive")
 
 
-def f1_evaluator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spark ML's accuracy and F1."""
+def evaluate_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of a training run, with the exact AUC."""
+    score = F.col("score")
     rows = bindings.scored(spark, sf_dir).select(
-        F.col("label").cast("double"), F.col("prediction").cast("double")
+        F.col("label").cast("double"),
+        F.col("prediction").cast("double"),
+        array_to_vector(F.array(-score, score)).alias("rawPrediction"),
     )
-    found = tuple(
-        MulticlassClassificationEvaluator(metricName=m).evaluate(rows) for m in ("accuracy", "f1")
-    )
-    return _rounded(tables.rows_to_table(spark, [found], ["accuracy", "f1"]), 9, "accuracy", "f1")
+    names = ["auc", "accuracy", "f1"]
+    found = models.evaluate(rows, "label", exact_auc=True)
+    one = tables.rows_to_table(spark, [tuple(found[n] for n in names)], names)
+    return _rounded(one, 9, *names)
+
+
+def f1_evaluator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy and F1 of a training run alone."""
+    return evaluate_scored(spark, sf_dir).select("accuracy", "f1")
 
 
 def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,7 +453,8 @@ def improvement_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return split.hash_split(models.spread(bindings.transactions(spark, sf_dir)), KEY)
+    train, test = split.hash_split(bindings.transactions(spark, sf_dir), KEY)
+    return models.laid_out(train, KEY, PARTITIONS), test
 
 
 def _fit(train: DataFrame, model_type: str):
@@ -435,13 +476,24 @@ def _scores(df: DataFrame) -> DataFrame:
 
 
 def score_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows scored by a forest, and how many break what holds for any classifier."""
     train, test = _train_and_test(spark, sf_dir)
-    return _scores(models.score(_fit(train, "rf"), test))
+    p, chosen = F.col("fraud_probability"), F.col("prediction")
+    return _scores(models.score(_fit(train, "rf"), test)).agg(
+        F.count("*").alias("rows"),
+        F.count_if(p.isNull() | ~p.between(0.0, 1.0)).alias("outside"),
+        F.count_if((chosen == F.lit(1.0)) != (p > F.lit(0.5))).alias("other_side"),
+    )
 
 
 def score_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _train_and_test(spark, sf_dir)
-    return _scores(models.score(_fit(train, "lr"), test))
+    """Training rows scored by a logistic regression with an intercept and no penalty, for which
+    the probabilities add up to the positives."""
+    train, _ = _train_and_test(spark, sf_dir)
+    return _scores(models.score(_fit(train, "lr"), train)).agg(
+        F.count("*").alias("rows"),
+        F.round(F.sum("fraud_probability")).cast("bigint").alias("expected_positives"),
+    )
 
 
 def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,15 +512,19 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean AUC over the folds for each combination of a small grid."""
-    rows = models.spread(bindings.transactions(spark, sf_dir))
-    grid = models.Grid(num_trees=(5, 10), max_depth=(3,))
-    tuned = models.cross_validate(rows, _feature_columns(rows), KEY, grid=grid)
-    found = [
-        (*[int(v) for v in params.values()], float(metric))
-        for params, metric in zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics, strict=True)
-    ]
-    return tables.rows_to_table(spark, found, ["num_trees", "max_depth", "mean_auc"])
+    """The combinations of the grid, whether each mean AUC is one, and if one best was refitted."""
+    rows = bindings.transactions(spark, sf_dir)
+    laid = models.laid_out(rows, KEY, PARTITIONS)
+    tuned = models.cross_validate(laid, _feature_columns(rows), KEY)
+    best = models.best_parameters(tuned.bestModel)
+    means = [float(m) for m in tuned.avgMetrics]
+    found = []
+    for params, mean in zip(tuned.getEstimatorParamMaps(), means, strict=True):
+        trees, depth = (int(v) for v in params.values())
+        chosen = (trees, depth) == (best["best_numTrees"], best["best_maxDepth"])
+        found.append((trees, depth, 0.0 <= mean <= 1.0, chosen == (mean == max(means))))
+    names = ["num_trees", "max_depth", "mean_is_auc", "best_is_largest"]
+    return tables.rows_to_table(spark, found, names)
 
 
 def retrain_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -482,11 +538,24 @@ def retrain_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         registry_path=kept,
         auto_register=True,
         run_name="cycle",
-        grid=models.Grid(num_trees=(5,), max_depth=(3, 5)),
+        partitions=PARTITIONS,
+    )
+    runs = tables.read_parquet(spark, f"{kept}/runs").drop("model_name", "auc", "accuracy", "f1")
+    history = registry.promotions(retrain_job.history_of(spark, kept)).join(runs, "run_id")
+    inside = [F.col(c).between(0.0, 1.0) for c in ("auc", "accuracy", "f1")]
+    tried = F.array_contains("numTrees_options", F.col("best_numTrees")) & F.array_contains(
+        "maxDepth_options", F.col("best_maxDepth")
     )
-    history = retrain_job.history_of(spark, kept)
-    return registry.promotions(history).select(
-        "model_name", "version", "auc", "accuracy", "f1", "promoted"
+    return history.select(
+        "model_name",
+        "version",
+        "run_name",
+        "model_type",
+        F.array_join(F.col("numTrees_options").cast("array<string>"), ",").alias("trees"),
+        F.array_join(F.col("maxDepth_options").cast("array<string>"), ",").alias("depths"),
+        "promoted",
+        (inside[0] & inside[1] & inside[2]).alias("metrics_in_range"),
+        tried.alias("best_in_grid"),
     )
 
 
@@ -500,7 +569,7 @@ def retrain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         target,
         registry_path=kept,
         auto_register=True,
-        grid=models.Grid(num_trees=(3,), max_depth=(2,)),
+        partitions=PARTITIONS,
     )
     version = retrain_job.history_of(spark, kept).first()["version"]
     row = (done["rows"]["train"], done["rows"]["test"], ",".join(done["features"]), version)
@@ -514,12 +583,14 @@ _QUERIES: tuple[Query, ...] = (
     drop_comments,
     split_fields,
     typed_cast,
+    field_types,
     drop_incomplete,
     rename_key,
     dedup_by_key,
     dedup_by_two_keys,
     dedup_by_flag,
     clean_transactions,
+    clean_reordered_header,
     clean_job_files,
     read_parquet,
     read_back,
@@ -540,6 +611,7 @@ _QUERIES: tuple[Query, ...] = (
     random_minutes,
     synth_transactions,
     synth_shuffled,
+    synth_job_files,
     assemble,
     standardize,
     standardize_ml,
@@ -548,6 +620,7 @@ _QUERIES: tuple[Query, ...] = (
     auc_evaluator,
     accuracy,
     f1_weighted,
+    evaluate_scored,
     f1_evaluator,
     confusion,
     class_scores,

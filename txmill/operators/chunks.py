@@ -8,38 +8,30 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# More ranges than this would make the pass that places them the larger part of the work.
-_MOST_BUCKETS = 10_000
+# Slices of a factor of two in a score's size, twice: the coarse ones are cut into as many again.
+_SLICES = 4096
+_ABOVE_ALL = 3000.0
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """As many ranges as the session uses partitions in a shuffle, within limits."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(2, partitions), _MOST_BUCKETS)
+def score_cells(score: Column) -> tuple[Column, Column]:
+    """Coarse and fine cell of a double: equal scores share both, and cells keep the order.
 
-
-def range_buckets(df: DataFrame, column: str, out: str, buckets: int | None = None) -> DataFrame:
-    """Add ``out``, the number of the range that a numeric ``column`` falls into.
-
-    One pass over the column runs at once to place the boundaries. They are only a matter of
-    balance: equal values share a range and ranges keep the order, whatever the boundaries are.
-    NaN sorts last and gets the last range.
+    The place is the logarithm of the size, with the sign, so no pass over the data is needed to
+    set boundaries, and a narrow band of scores is still cut into many cells. NaN comes last.
     """
-    count = buckets or default_buckets(df.sparkSession)
-    steps = [i / count for i in range(1, count)]
-    inner = sorted(set(df.approxQuantile(column, steps, 1.0 / (2 * count))))
-    edges = [float("-inf"), *[e for e in inner if abs(e) != float("inf")], float("inf")]
-    if len(edges) < 3:
-        edges.insert(1, 0.0)
-    ranges = Bucketizer(splits=edges, inputCol="_at", outputCol=out, handleInvalid="keep")
-    # Adding 0.0 turns -0.0, which the boundaries would tell apart, into 0.0.
-    placed = df.withColumn("_at", F.col(column).cast("double") + F.lit(0.0))
-    return ranges.transform(placed).withColumn(out, F.col(out).cast("int")).drop("_at")
+    size = F.least(F.log2(F.abs(score)) + F.lit(1100.0), F.lit(2200.0))
+    place = (
+        F.when(F.isnan(score), F.lit(_ABOVE_ALL))
+        .when(score == F.lit(0.0), F.lit(0.0))
+        .otherwise(F.signum(score) * size)
+    ) * F.lit(float(_SLICES))
+    coarse = F.floor(place)
+    fine = F.floor((place - coarse) * F.lit(float(_SLICES)))
+    return coarse, fine
 
 
 def running(
@@ -86,3 +78,33 @@ def running(
         .filter(F.col("_row") == F.lit(1))
         .drop("_value", "_row")
     )
+
+
+def positions(
+    df: DataFrame, keys: Sequence[str], outer: str, inner: str, order: Sequence[str], out: str
+) -> DataFrame:
+    """Add ``out``, the place 1, 2, ... of each row of a key, by ``outer``, ``inner``, ``order``.
+
+    Places are counted inside an inner chunk; inner chunks are added up inside their outer one, and
+    outer ones inside the key. So no task sees more than one inner chunk, the inner chunks of one
+    outer chunk, or the outer chunks of one key. The caller's chunks decide how much that is.
+    """
+    placed = running(
+        df, [*keys, outer], inner, order, F.lit(1), F.sum, "_inside", inclusive=True
+    )
+    earlier = (
+        Window.partitionBy(*keys).orderBy(outer).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    whole = (
+        df.groupBy(*keys, outer)
+        .agg(F.count("*").alias("_rows"))
+        .select(
+            F.struct(*keys, outer).alias("_chunk"),
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        )
+    )
+    # Structs compare NULL fields as equal.
+    joined = placed.join(whole, F.struct(*keys, outer) == F.col("_chunk"))
+    return joined.withColumn(out, F.col("_before") + F.col("_inside")).drop(
+        "_inside", "_before", "_chunk"
+    )

@@ -15,6 +15,7 @@ FIELD_TYPES = ("int", "date", "int", "int", "float", "int", "int", "int", "int")
 FIELD_SEPARATOR = ","
 RAW_KEY = "tranaction_id"
 KEY = "transaction_id"
+AMOUNT = "tx_amount"
 
 
 def drop_comments(lines: DataFrame) -> DataFrame:
@@ -80,7 +81,13 @@ def keep_one_per_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
 
 def clean_transactions(lines: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Typed, complete transactions, one per id, from raw lines and their column names."""
+    """Typed, complete transactions, one per id, from raw lines and their column names.
+
+    Types go by position, but the id and the amount are found by name, wherever they stand.
+    """
+    for name in (AMOUNT, KEY):
+        if name not in names and not (name == KEY and RAW_KEY in names):
+            raise ValueError(f"the header names no column {name!r}: {', '.join(names)}")
     typed = typed_fields(drop_comments(lines), names)
     complete = rename_key(drop_incomplete(typed))
-    return keep_one_per_key(complete, complete.columns[0])
+    return keep_one_per_key(complete.withColumn(AMOUNT, F.col(AMOUNT).cast("float")), KEY)

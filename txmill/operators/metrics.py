@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txmill.operators.chunks import range_buckets
+from txmill.operators.chunks import score_cells
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -62,9 +62,9 @@ def class_scores(table: DataFrame) -> DataFrame:
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Share of rows whose prediction equals the label."""
+    """Share of rows whose prediction equals the label; a missing label or prediction is wrong."""
     hit = (F.col(label).cast("double") == F.col(prediction).cast("double")).cast("int")
-    return df.agg(F.avg(hit).alias("accuracy"))
+    return df.agg(F.avg(F.coalesce(hit, F.lit(0))).alias("accuracy"))
 
 
 def classification_metrics(
@@ -82,45 +82,52 @@ def classification_metrics(
     )
 
 
-def area_under_roc(
-    df: DataFrame, label: str = "label", score: str = "score", buckets: int | None = None
-) -> DataFrame:
+def area_under_roc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Exact area under the ROC curve as one row; NULL unless both classes occur.
 
-    Rows with the same score are added up first. Distinct scores are then ranked inside ranges of
-    the score, and the negatives of lower ranges are added from one row per range, so no task
-    sees all scores. A pass over the scores runs at once to place the ranges.
+    Rows with the same score are added up first. Distinct scores are then ranked inside fine cells
+    of the score, and the negatives of lower cells are added from one row per cell, so no task sees
+    all scores. One pass over the input. Rows without score or label do not count.
     """
     rows = df.select(
-        F.col(score).cast("double").alias("score"), (F.col(label) == F.lit(1)).alias("positive")
+        (F.col(score).cast("double") + F.lit(0.0)).alias("score"),  # turns -0.0 into 0.0
+        (F.col(label) == F.lit(1)).alias("positive"),
     ).filter(F.col("score").isNotNull() & F.col("positive").isNotNull())
+    coarse, fine = score_cells(F.col("score"))
     ties = (
-        range_buckets(rows, "score", "bucket", buckets)
-        .groupBy("bucket", "score")
+        rows.groupBy("score")
         .agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg"))
+        .withColumns({"coarse": coarse, "fine": fine})
     )
-    lower = (
-        Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    below = F.coalesce(F.sum("neg").over(lower), F.lit(0))
-    # Twice the pairs ranked right (a tie counts one). Whole numbers, so the order of adding up
-    # cannot change the result; decimals, because pairs outgrow a bigint.
-    pairs = F.col("pos").cast("decimal(18,0)") * (
-        F.lit(2) * F.col("below") + F.col("neg")
-    ).cast("decimal(19,0)")
-    per_bucket = (
-        ties.withColumn("below", below)
-        .groupBy("bucket")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum(pairs).alias("pairs"))
-    )
-    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("neg").over(earlier), F.lit(0))
-    crossing = F.col("pos").cast("decimal(18,0)") * (F.lit(2) * F.col("offset")).cast(
-        "decimal(19,0)"
-    )
-    return per_bucket.withColumn("offset", offset).agg(
+
+    def before(window) -> Column:
+        found = F.sum("neg").over(window.rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(found, F.lit(0))
+
+    def twice(count: Column) -> Column:
+        # Twice the pairs ranked right (a tie counts one). Whole numbers, so the order of adding
+        # up cannot change the result; decimals, because pairs outgrow a bigint.
+        return F.col("pos").cast("decimal(18,0)") * count.cast("decimal(19,0)")
+
+    def added(frame: DataFrame, below: Column, *keys: str) -> DataFrame:
+        pairs = F.col("pairs") + twice(F.lit(2) * F.col("below"))
+        return (
+            frame.withColumn("below", below)
+            .groupBy(*keys)
+            .agg(
+                F.sum("pos").alias("pos"),
+                F.sum("neg").alias("neg"),
+                F.sum(pairs).cast("decimal(38,0)").alias("pairs"),
+            )
+        )
+
+    tied = ties.withColumn("pairs", twice(F.col("neg")))
+    cells = added(tied, before(Window.partitionBy("coarse", "fine").orderBy("score")), "coarse", "fine")
+    slices = added(cells, before(Window.partitionBy("coarse").orderBy("fine")), "coarse")
+    whole = added(slices, before(Window.orderBy("coarse")))
+    return whole.select(
         F.try_divide(
-            F.sum(F.col("pairs") + crossing).cast("double"),
-            F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double"),
+            F.col("pairs").cast("double"),
+            F.lit(2.0) * F.col("pos").cast("double") * F.col("neg").cast("double"),
         ).alias("auc")
     )

@@ -9,13 +9,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txmill.functions.hashing import fold_of
 from txmill.operators.features import LABEL, RAW_VECTOR, VECTOR
-from txmill.operators.metrics import classification_metrics
+from txmill.operators.metrics import area_under_roc, classification_metrics
 from txmill.operators.split import SEED
 
 # The forest, the grid searched, and the number of folds.
@@ -24,6 +25,7 @@ MAX_DEPTH = 5
 NUM_TREES_OPTIONS = (10, 20)
 MAX_DEPTH_OPTIONS = (5, 10)
 FOLDS = 3
+AUC_BINS = 1000
 
 
 @dataclass(frozen=True)
@@ -45,12 +47,16 @@ def build_classifier(model_type: str = "rf", *, label: str = LABEL, seed: int =
     raise ValueError(f"model type must be 'rf' or 'lr', not {model_type!r}")
 
 
+def build_scaler() -> StandardScaler:
+    return StandardScaler(inputCol=RAW_VECTOR, outputCol=VECTOR, withMean=True, withStd=True)
+
+
 def build_stages(columns: Sequence[str], classifier) -> Pipeline:
     """Assemble, standardise, classify."""
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=list(columns), outputCol=RAW_VECTOR),
-            StandardScaler(inputCol=RAW_VECTOR, outputCol=VECTOR, withMean=True, withStd=True),
+            build_scaler(),
             classifier,
         ]
     )
@@ -66,9 +72,11 @@ def param_grid(classifier, grid: Grid | None = None) -> list:
     return builder.build()
 
 
-def auc_evaluator(label: str = LABEL) -> BinaryClassificationEvaluator:
-    """Area under ROC from ``rawPrediction``, with Spark's default bins, which approximate it."""
-    return BinaryClassificationEvaluator(labelCol=label)
+def auc_evaluator(
+    label: str = LABEL, score: str = "rawPrediction", bins: int = AUC_BINS
+) -> BinaryClassificationEvaluator:
+    """Area under ROC; the default number of bins approximates it, 0 is exact."""
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, numBins=bins)
 
 
 def with_fold(df: DataFrame, key: str, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
@@ -76,13 +84,15 @@ def with_fold(df: DataFrame, key: str, folds: int = FOLDS, seed: int = SEED) ->
     return df.withColumn("fold", fold_of(key, folds, seed))
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Repartition a plain scan that has fewer partitions than there are cores.
+def laid_out(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """With ``partitions``, always dealt out and sorted by the key; without, never touched.
 
-    A few small files would otherwise be fitted on a few cores. Large tables pass unchanged.
+    A forest samples rows per partition. Dealt out like this, the same rows give the same model
+    whatever the files and the number of cores. A plain scan of many files is split by both.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    if partitions is None:
+        return df
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def cross_validate(
@@ -112,11 +122,8 @@ def cross_validate(
         seed=seed,
         parallelism=parallelism,
     )
-    folded = with_fold(train, key, folds, seed).select(*columns, label, "fold").persist()
-    try:
-        return validator.fit(folded)
-    finally:
-        folded.unpersist()
+    # The validator caches both sides of each fold itself, so the whole is not cached as well.
+    return validator.fit(with_fold(train, key, folds, seed).select(*columns, label, "fold"))
 
 
 def best_parameters(model: PipelineModel) -> dict[str, int | None]:
@@ -132,10 +139,14 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
-def evaluate(predictions: DataFrame, label: str = LABEL) -> dict[str, float | None]:
+def evaluate(
+    predictions: DataFrame, label: str = LABEL, *, exact_auc: bool = False
+) -> dict[str, float | None]:
     """AUC, accuracy and weighted F1 of scored rows; runs at once.
 
-    AUC is None unless both classes occur: Spark's evaluator would report 0 or 1 then.
+    AUC is None unless both classes occur: Spark's evaluator would report 0 or 1 then. The evaluator
+    puts scores into bins; ``exact_auc`` counts every pair, so that a strict comparison of two
+    models does not hang on the bins.
     """
     needed = predictions.select(label, "rawPrediction", "prediction").persist()
     try:
@@ -144,7 +155,11 @@ def evaluate(predictions: DataFrame, label: str = LABEL) -> dict[str, float | No
         ).first()
         values = classification_metrics(needed, label).first()
         two_classes = counts["lowest"] != counts["highest"]
-        auc = auc_evaluator(label).evaluate(needed) if two_classes else None
+        if exact_auc:
+            scored = needed.withColumn("score", F.get(vector_to_array("rawPrediction"), F.lit(1)))
+            auc = area_under_roc(scored, label).first()["auc"]
+        else:
+            auc = auc_evaluator(label).evaluate(needed) if two_classes else None
         return {"auc": auc, "accuracy": values["accuracy"], "f1": values["f1"]}
     finally:
         needed.unpersist()

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from txmill.functions.times import wall_clock_seconds
-from txmill.operators.chunks import range_buckets, running
+from txmill.operators.chunks import positions, running
+from txmill.operators.clean import keep_one_per_key
 
+# The names under which options and results of a run are kept.
 RUNS_SCHEMA = (
-    "run_id string, run_name string, model_name string, recorded_at timestamp, "
+    "run_id string, run_name string, model_name string, model_type string, recorded_at timestamp, "
     "numTrees_options array<int>, maxDepth_options array<int>, "
     "auc double, accuracy double, f1 double, best_numTrees int, best_maxDepth int"
 )
@@ -27,6 +29,9 @@ CHAMPION = "champion"
 CHALLENGER = "challenger"
 MODEL_NAME_FORMAT = "{experiment}_model"
 
+# Leading characters of a run id that tell registrations of one moment apart.
+_ID_PREFIX = 3
+
 # Versions of one model that share a window task.
 _VERSIONS_PER_CHUNK = 1_000_000
 
@@ -46,31 +51,32 @@ def register_run(spark: SparkSession, path: str, model_name: str, run_id: str) -
     _append(spark, path, row, REGISTRATIONS_SCHEMA)
 
 
-def model_versions(registrations: DataFrame, buckets: int | None = None) -> DataFrame:
+def model_versions(registrations: DataFrame) -> DataFrame:
     """Number the registrations of each model 1, 2, ... by time, then run id.
 
-    A pass over the times runs at once to cut long histories into ranges.
+    Histories are cut by hour, and hours by time and the first characters of the run id, so that
+    neither a busy model nor a busy moment meets in one task.
     """
     at = F.col("recorded_at")
     zoneless = isinstance(registrations.schema["recorded_at"].dataType, TimestampNTZType)
-    place = wall_clock_seconds(at) if zoneless else F.unix_micros(at)
-    timed = registrations.withColumn("_time", place)
-    ranged = range_buckets(timed, "_time", "_range", buckets).drop("_time")
-    return running(
-        ranged,
-        ["model_name"],
-        "_range",
-        ["recorded_at", "run_id"],
-        F.lit(1),
-        F.sum,
-        "version",
-        inclusive=True,
-    ).drop("_range")
+    seconds = wall_clock_seconds(at) if zoneless else F.unix_seconds(at)
+    start = F.transform(
+        F.sequence(F.lit(1), F.lit(_ID_PREFIX)), lambda i: F.ascii(F.substring(F.col("run_id"), i, F.lit(1)))
+    )
+    cut = registrations.withColumns(
+        {"_hour": F.floor(seconds / F.lit(3600)), "_cell": F.struct(at.alias("at"), start.alias("start"))}
+    )
+    return positions(
+        cut, ["model_name"], "_hour", "_cell", ["recorded_at", "run_id"], "version"
+    ).drop("_hour", "_cell")
 
 
 def version_history(registrations: DataFrame, runs: DataFrame) -> DataFrame:
-    """Versions with the metrics of their runs; NULL metrics if a run was not recorded."""
-    metrics = runs.select("run_id", "auc", "accuracy", "f1")
+    """Versions with the metrics of their runs; NULL metrics if a run was not recorded.
+
+    A run that was recorded again, by a retry, counts once: its smallest row does.
+    """
+    metrics = keep_one_per_key(runs.select("run_id", "auc", "accuracy", "f1"), "run_id")
     return model_versions(registrations).join(metrics, "run_id", "left")
 
 

@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txmill.functions.hashing import HASH_RANGE, below_fraction, hash32
-from txmill.operators.chunks import running
+from txmill.functions.hashing import below_fraction, hash32
+from txmill.operators.chunks import positions
 
 # Share of the training part, and the seed.
 TRAIN_FRACTION = 0.8
 SEED = 42
 
-# Width of the cells that the hash range is cut into, as a power of two: 2**20 cells.
+# The hash range is cut into 2**12 cells, and each of them again.
 _CELL_BITS = 12
 
 
@@ -50,6 +50,18 @@ def random_split(
     return train, test
 
 
+def _boundary(counts: DataFrame) -> Column:
+    """From cell, rows, size: the cell in which row number ``size`` lies, and its place there."""
+    up_to = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        counts.withColumn("upto", F.sum("rows").over(up_to))
+        .withColumn("before", F.col("upto") - F.col("rows"))
+        .filter((F.col("before") < F.col("size")) & (F.col("size") <= F.col("upto")))
+        .select(F.struct("cell", (F.col("size") - F.col("before")).alias("wanted")).alias("at"))
+        .scalar()
+    )
+
+
 def exact_sample_condition(
     df: DataFrame, key: str, fraction: float = TRAIN_FRACTION, seed: int = SEED
 ) -> Column:
@@ -57,29 +69,25 @@ def exact_sample_condition(
 
     Rows are taken in hash order of the key. If the key repeats, its rows stay together and the
     sample is the smallest one that reaches the size. The last key taken comes from scalar
-    subqueries: rows are counted per cell of the hash range, then only the cell that holds the
-    boundary is ordered, one row per key. The sample itself is a filter; no row of it is shuffled.
+    subqueries: rows are counted per cell of the hash range, then per cell of the cell that holds
+    the boundary, and only the inner boundary cell is ordered, one row per key: a 2**24th of them.
+    The sample itself is a filter; no row of it is shuffled.
     """
     hashed = df.select(F.col(key).alias("key"), hash32(key, f"sample-{seed}").alias("hash"))
-    cells = hashed.groupBy(F.shiftright("hash", _CELL_BITS).alias("cell")).agg(
-        F.count("*").alias("rows")
-    )
-    up_to = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    coarse, fine = F.shiftright("hash", 32 - _CELL_BITS), F.shiftright("hash", 32 - 2 * _CELL_BITS)
     everything = Window.orderBy("cell").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
-    boundary = (
-        cells.select(
-            "cell",
-            (F.sum("rows").over(up_to) - F.col("rows")).alias("before"),
-            F.sum("rows").over(up_to).alias("upto"),
-            F.bround(F.sum("rows").over(everything) * F.lit(fraction)).cast("bigint").alias("size"),
-        )
-        .filter((F.col("before") < F.col("size")) & (F.col("size") <= F.col("upto")))
-        .select(F.struct("cell", (F.col("size") - F.col("before")).alias("wanted")).alias("at"))
+    totals = hashed.groupBy(coarse.alias("cell")).agg(F.count("*").alias("rows"))
+    size = F.bround(F.sum("rows").over(everything) * F.lit(fraction)).cast("bigint")
+    outer = _boundary(totals.withColumn("size", size))
+    inner = _boundary(
+        hashed.filter(coarse == outer.getField("cell"))
+        .groupBy(fine.alias("cell"))
+        .agg(F.count("*").alias("rows"))
+        .withColumn("size", outer.getField("wanted"))
     )
-    at = boundary.scalar()
-    inside = hashed.filter(F.shiftright("hash", _CELL_BITS) == at.getField("cell"))
+    inside = hashed.filter(fine == inner.getField("cell"))
     in_order = Window.orderBy("hash", "key").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -87,7 +95,7 @@ def exact_sample_condition(
         inside.groupBy("hash", "key")
         .agg(F.count("*").alias("rows"))
         .withColumn("upto", F.sum("rows").over(in_order))
-        .filter(F.col("upto") >= at.getField("wanted"))
+        .filter(F.col("upto") >= inner.getField("wanted"))
         .agg(F.min(F.struct("hash", "key")).alias("last"))
     )
     place = F.struct(hash32(key, f"sample-{seed}").alias("hash"), F.col(key).alias("key"))
@@ -116,18 +124,19 @@ def sample_and_rest(
 
 
 def shuffled_position(
-    df: DataFrame, key: str, seed: int = SEED, out: str = "position", cells: int = 4096
+    df: DataFrame, key: str, seed: int = SEED, out: str = "position"
 ) -> DataFrame:
     """Add each row's place, from 0, in hash order of a unique key.
 
-    Positions are counted inside a cell of the hash range and moved by the rows of earlier cells;
-    there are at most ``cells`` such totals, and cells fill evenly because the key is unique.
+    The hash range is cut into 2**12 cells and each of them again, so a task places a 2**24th of
+    the rows, and adds up at most 2**12 totals.
     """
     hashed = df.withColumn("_hash", hash32(key, f"shuffle-{seed}"))
-    celled = hashed.withColumn(
-        "_cell", (F.col("_hash") / F.lit(HASH_RANGE // cells)).cast("int")
-    )
-    placed = running(
-        celled, [], "_cell", ["_hash", key], F.lit(1), F.sum, out, inclusive=True
+    celled = hashed.withColumns(
+        {
+            "_outer": F.shiftright("_hash", 32 - _CELL_BITS),
+            "_inner": F.shiftright("_hash", 32 - 2 * _CELL_BITS),
+        }
     )
-    return placed.withColumn(out, F.col(out) - F.lit(1)).drop("_hash", "_cell")
+    placed = positions(celled, [], "_outer", "_inner", ["_hash", key], out)
+    return placed.withColumn(out, F.col(out) - F.lit(1)).drop("_hash", "_outer", "_inner")

@@ -145,8 +145,7 @@ def synthetic_transactions(
     """
     rows = spark.range(count)
     if shuffle:
-        cells = min(1 << 16, max(1, 1 << (count // 1_000_000).bit_length()))
-        rows = shuffled_position(rows, "id", seed, cells=cells)
+        rows = shuffled_position(rows, "id", seed)
     return transactions_for(
         rows,
         "id",

@@ -60,7 +60,9 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
         "--mode", default="errorifexists", choices=["errorifexists", "overwrite", "append"]
     )
     parser.add_argument(
-        "--check-headers", action="store_true", help="fail if files name different columns"
+        "--check-headers",
+        action="store_true",
+        help="fail if files name different columns; by default the first header counts for all",
     )
     args = parser.parse_args(argv)
     if args.bucket:

@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ class Report:
     features: list[str]
     rows: dict[str, int]
     train_nulls: dict[str, int]
+    model_type: str
     auc: float | None
     accuracy: float
     f1: float
@@ -72,11 +74,14 @@ def train_and_evaluate(
     seed: int = SEED,
     parallelism: int = 4,
     layout_split: bool = False,
+    partitions: int | None = None,
+    exact_auc: bool = False,
 ) -> tuple[PipelineModel, Report]:
     """Split, tune, fit and test; runs at once.
 
     The split hashes the key. ``layout_split`` takes Spark's ``randomSplit`` instead, which only
-    repeats itself on unchanged files.
+    repeats itself on unchanged files. ``partitions`` deals the training rows out by key, so that
+    the model does not hang on files and cores. ``exact_auc`` as in ``models.evaluate``.
     """
     features = feature_columns(df.schema, exclude)
     needed = list(dict.fromkeys([key, *features, label]))
@@ -91,7 +96,7 @@ def train_and_evaluate(
     rows, nulls = describe_parts(parts, "_part")
     train, test = train.select(*needed), test.select(*needed)
     tuned = models.cross_validate(
-        train,
+        models.laid_out(train, key, partitions),
         features,
         key,
         model_type=model_type,
@@ -101,8 +106,10 @@ def train_and_evaluate(
         parallelism=parallelism,
     )
     best = tuned.bestModel
-    found = models.evaluate(models.score(best, test), label)
-    return best, Report(features, rows, nulls, **found, **models.best_parameters(best))
+    found = models.evaluate(models.score(best, test), label, exact_auc=exact_auc)
+    return best, Report(
+        features, rows, nulls, model_type, **found, **models.best_parameters(best)
+    )
 
 
 def retrain(
@@ -122,16 +129,18 @@ def retrain(
 
     Runs and registrations are the tables ``runs`` and ``registrations`` under ``registry_path``,
     and ``models`` keeps the model of every run, because the next training replaces ``target``.
-    Returns the report, the run's id and name, and whether the run became the champion.
+    Returns the report, the run's id and name, whether the run became the champion, the metrics of
+    the champion before it, and by how many percent its AUC differs from that champion's.
     """
-    options_tried = grid or models.Grid()
+    options_tried = (grid or models.Grid()) if model_type == "rf" else models.Grid((), ())
     name = run_name or default_run_name(model_type, source)
     run_id = uuid.uuid4().hex
     model_name = registry.MODEL_NAME_FORMAT.format(experiment=experiment)
 
     best, report = train_and_evaluate(
-        models.spread(read_parquet(spark, source)), model_type=model_type, grid=grid, **options
+        read_parquet(spark, source), model_type=model_type, grid=grid, **options
     )
+    before = None
     if registry_path:
         models.save_model(best, run_model_path(registry_path, run_id))
         registry.record_run(
@@ -141,8 +150,9 @@ def retrain(
                 "run_id": run_id,
                 "run_name": name,
                 "model_name": model_name,
-                "numTrees_options": list(options_tried.num_trees),
-                "maxDepth_options": list(options_tried.max_depth),
+                "model_type": model_type,
+                "numTrees_options": list(options_tried.num_trees) or None,
+                "maxDepth_options": list(options_tried.max_depth) or None,
                 "auc": report.auc,
                 "accuracy": report.accuracy,
                 "f1": report.f1,
@@ -153,9 +163,20 @@ def retrain(
     models.save_model(best, target)
     promoted = None
     if auto_register and registry_path:
+        before = champion_metrics(spark, registry_path, model_name)
         registry.register_run(spark, f"{registry_path}/registrations", model_name, run_id)
         promoted = champion_run(spark, registry_path, model_name) == run_id
-    return {**asdict(report), "run_id": run_id, "run_name": name, "promoted": promoted}
+    gain = None
+    if before and before["auc"] and report.auc is not None:
+        gain = (report.auc - before["auc"]) / before["auc"] * 100.0
+    return {
+        **asdict(report),
+        "run_id": run_id,
+        "run_name": name,
+        "promoted": promoted,
+        "champion_before": before,
+        "improvement_pct": gain,
+    }
 
 
 def run_model_path(registry_path: str, run_id: str) -> str:
@@ -177,6 +198,19 @@ def champion_run(spark: SparkSession, registry_path: str, model_name: str) -> st
     return current["run_id"] if current else None
 
 
+def champion_metrics(
+    spark: SparkSession, registry_path: str, model_name: str
+) -> dict[str, float | int | None] | None:
+    """Version and metrics of the champion; None if there is no registration or no champion."""
+    try:
+        history = history_of(spark, registry_path)
+    except AnalysisException:  # nothing was registered yet
+        return None
+    own = history.filter(F.col("model_name") == F.lit(model_name))
+    found = registry.champions(own).select("version", "auc", "accuracy", "f1").first()
+    return found.asDict() if found else None
+
+
 def load_champion(
     spark: SparkSession, registry_path: str, experiment: str = EXPERIMENT
 ) -> PipelineModel | None:
@@ -186,6 +220,26 @@ def load_champion(
     return models.load_model(run_model_path(registry_path, run_id)) if run_id else None
 
 
+def report_lines(done: dict) -> list[str]:
+    """The result of ``retrain`` as text."""
+    lines = [
+        f"rows: {done['rows']['train']} train, {done['rows']['test']} test",
+        f"features: {', '.join(done['features'])}",
+    ]
+    lines += [f"warning: {n} missing values in {c}" for c, n in done["train_nulls"].items()]
+    lines += [f"{name}: {done[name]}" for name in ("model_type", "auc", "accuracy", "f1")]
+    if done["best_numTrees"] is not None:
+        lines.append(f"best: {done['best_numTrees']} trees of depth {done['best_maxDepth']}")
+    if done["champion_before"]:
+        old = done["champion_before"]
+        lines.append(f"champion before: version {old['version']}, auc {old['auc']}")
+    if done["improvement_pct"] is not None:
+        lines.append(f"improvement: {done['improvement_pct']:.2f} %")
+    if done["promoted"] is not None:
+        lines.append("promoted to champion" if done["promoted"] else "kept as challenger")
+    return lines
+
+
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Train a fraud model and keep the best version")
     parser.add_argument("--input", required=True, help="Parquet table of transactions")
@@ -195,6 +249,14 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--experiment-name", default=EXPERIMENT)
     parser.add_argument("--auto-register", action="store_true", help="register the new model")
     parser.add_argument("--run-name")
+    parser.add_argument("--exclude", nargs="*", default=[], help="columns that are no features")
+    parser.add_argument("--seed", type=int, default=SEED)
+    parser.add_argument("--parallelism", type=int, default=4, help="models fitted at a time")
+    parser.add_argument("--partitions", type=int, help="deal training rows out by id")
+    parser.add_argument("--layout-split", action="store_true", help="split as Spark's randomSplit")
+    parser.add_argument("--exact-auc", action="store_true", help="AUC without bins")
+    parser.add_argument("--num-trees", type=int, nargs="+", default=models.NUM_TREES_OPTIONS)
+    parser.add_argument("--max-depth", type=int, nargs="+", default=models.MAX_DEPTH_OPTIONS)
     parser.add_argument("--s3-endpoint-url")
     parser.add_argument("--s3-access-key")
     parser.add_argument("--s3-secret-key")
@@ -213,7 +275,7 @@ def main(argv: Sequence[str] | None = None) -> int:
         builder = builder.config(setting, value)
     spark = builder.getOrCreate()
     try:
-        retrain(
+        done = retrain(
             spark,
             args.input,
             args.output,
@@ -222,7 +284,15 @@ def main(argv: Sequence[str] | None = None) -> int:
             auto_register=args.auto_register,
             run_name=args.run_name,
             model_type=args.model_type,
+            grid=models.Grid(args.num_trees, args.max_depth),
+            exclude=args.exclude,
+            seed=args.seed,
+            parallelism=args.parallelism,
+            partitions=args.partitions,
+            layout_split=args.layout_split,
+            exact_auc=args.exact_auc,
         )
+        print("\n".join(report_lines(done)))
         return 0
     except Exception:
         traceback.print_exc()
