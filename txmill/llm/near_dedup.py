@@ -9,10 +9,14 @@ positions contain one of them. Every pair that reaches the minimum meets under s
 eight positional bytes are tallied, pairs below the minimum go, and the rest is verified by
 counting the differing bits.
 
-Only different fingerprints are indexed; copies share one. A long posting list is cut into blocks
-that are compared two at a time in different tasks, and a task returns links that connect the same
-fingerprints as all its pairs would, at most one per fingerprint. So nothing is cut off, and neither
-one task nor the number of links grows with the square of a group.
+Only different fingerprints are indexed; copies share one. From a posting list a task returns links
+that connect the same fingerprints as all its pairs would, at most one per fingerprint.
+
+Comparing the pairs of a list takes the square of its length, so lists above ``LONG`` are handled
+another way that is exact as well: two fingerprints are within four bits if, and only if, some value
+is within two bits of both. Each fingerprint of a long list lists all values within half of
+``max_bits``, and fingerprints with a common value are linked. That takes 2081 values per
+fingerprint, however many there are, and no value has more than 2081 fingerprints.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from txmill.llm.common import per_text, stored
 
@@ -32,8 +37,8 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 BYTES = 8
-#: Fingerprints of one posting list that are compared in one piece.
-BLOCK = 1024
+#: Fingerprints of a posting list up to which its pairs are compared.
+LONG = 8192
 _SHINGLES_AT_ONCE = 8192
 
 
@@ -126,57 +131,72 @@ def _connect(group: np.ndarray, prints: np.ndarray, max_bits: int) -> tuple[np.n
     return prints[rest], prints[label[rest]]
 
 
-def _links_of_groups(max_bits: int):
-    """Arrow function over rows sorted by ``part``: holds one batch and the group at its end."""
+def _links_of_lists(max_bits: int):
+    """Arrow function over rows sorted by ``key``: holds one batch and the list at its end."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, prints = np.empty(0, np.int64), np.empty(0, np.uint64)
+        keys, prints = np.empty(0, np.int64), np.empty(0, np.uint64)
 
         def found(upto: int) -> pa.RecordBatch:
-            u, v = _connect(part[:upto], prints[:upto], max_bits)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
+            ends = _connect(keys[:upto], prints[:upto], max_bits)
+            return pa.RecordBatch.from_arrays([pa.array(e.view(np.int64)) for e in ends], ["u", "v"])
 
         for batch in batches:
-            key = batch.column("key").to_numpy().astype(np.int64)
-            first, second = (batch.column(c).to_numpy().astype(np.int64) for c in ("i", "j"))
-            mixed = np.stack((key, first, second), axis=1)
-            new = np.ones(len(key), bool)
-            new[1:] = (mixed[1:] != mixed[:-1]).any(axis=1)
-            if len(part) and len(key) and tuple(mixed[0]) == at:
-                new[0] = False
-            number = (part[-1] if len(part) else 0) + np.cumsum(new)
-            if len(key):
-                at = tuple(mixed[-1])
-            part = np.concatenate((part, number))
-            prints = np.concatenate((prints, batch.column("fp").to_numpy().astype(np.int64).view(np.uint64)))
-            done = int(np.searchsorted(part, part[-1])) if len(part) else 0
+            keys = np.concatenate((keys, batch.column("key").to_numpy()))
+            prints = np.concatenate((prints, batch.column("fp").to_numpy().view(np.uint64)))
+            done = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
             if done:
                 yield found(done)
-                part, prints = part[done:], prints[done:]
-        if len(part):
-            yield found(len(part))
+                keys, prints = keys[done:], prints[done:]
+        if len(keys):
+            yield found(len(keys))
 
     return links
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+def _short_links(index: DataFrame, max_bits: int) -> DataFrame:
+    ordered = index.repartition("key").sortWithinPartitions("key", "fp")
+    return ordered.mapInArrow(_links_of_lists(max_bits), "u bigint, v bigint")
+
+
+def _flips(bits: int) -> Column:
+    """All values with at most ``bits`` of 64 bits set."""
+    values = [0]
+    layer = [0]
+    for _ in range(bits):
+        layer = [v | 1 << b for v in layer for b in range(v.bit_length(), 64)]
+        values += layer
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    return F.from_json(F.lit(str(signed)), "array<bigint>")
+
+
+def _long_links(prints: DataFrame, max_bits: int) -> DataFrame:
+    """If ``max_bits`` is odd, one side may be a bit further from the common value than the other."""
+    near, far = _flips(max_bits // 2), _flips(max_bits - max_bits // 2)
+    meeting = prints.select("fp", F.explode(near).alias("flip"), F.lit(True).alias("near"))
+    if max_bits % 2:
+        meeting = meeting.unionByName(
+            prints.select("fp", F.explode(far).alias("flip"), F.lit(False).alias("near"))
+        )
+    # At most one fingerprint per flip shares a value, so no group is larger than their number.
+    value = Window.partitionBy("value")
+    met = meeting.select("fp", "near", F.col("fp").bitwiseXOR(F.col("flip")).alias("value"))
+    least = met.withColumn("v", F.min(F.when(F.col("near"), F.col("fp"))).over(value))
+    return least.filter("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
+
+
+def links(prints: DataFrame, max_bits: int = MAX_BITS, long: int = LONG) -> DataFrame:
     """Links (u, v) between different fingerprints ``fp`` that connect all within ``max_bits`` bits."""
     index = _postings(prints, BYTES - max_bits)
-    long_lists = (
-        index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
-    )
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    placed = index.join(long_lists, "key", "left").withColumn("blocks", F.coalesce(blocks, F.lit(1)))
-    own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("blocks")).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: other != F.col("own"))
-    pieces = placed.withColumn("own", own).withColumn(
-        "other", F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(others))
-    )
-    pieces = pieces.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp"
+    long_keys = stored(
+        index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > long).select("key"),
+        "long-lists",
     )
-    sorted_pieces = pieces.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "fp")
-    return sorted_pieces.mapInArrow(_links_of_groups(max_bits), "u bigint, v bigint")
+    short = _short_links(index.join(long_keys, "key", "left_anti"), max_bits)
+    if long_keys.isEmpty():
+        return short
+    crowded = index.join(long_keys, "key", "left_semi").select("fp").distinct()
+    return short.unionByName(_long_links(crowded, max_bits))
 
 
 def components(edges: DataFrame) -> DataFrame:
