@@ -21,8 +21,9 @@ from txmill.llm.common import stored, whole
 
 #: Payloads of fewer bytes are always written in full.
 LEAST_BYTES = 0
-#: Records that an archive has at most, so that one can be read into memory.
-ARCHIVE_RECORDS = 4096
+#: Records that an archive has at most. An archive is read as one value, so a task needs some three
+#: times this number of mean payloads.
+ARCHIVE_RECORDS = 1024
 DATE = "2024-01-01T00:00:00Z"
 
 # Fixed values of the format.
