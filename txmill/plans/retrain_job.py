@@ -241,6 +241,7 @@ def report_lines(done: dict) -> list[str]:
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
+    # The names of the first ten options, the interface of the job.
     parser = argparse.ArgumentParser(description="Train a fraud model and keep the best version")
     parser.add_argument("--input", required=True, help="Parquet table of transactions")
     parser.add_argument("--output", required=True, help="path to save the model to")
