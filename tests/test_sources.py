@@ -17,10 +17,11 @@ def test_s3a_settings_need_all_three_values():
 
 
 class FakeSession:
-    def __init__(self, master, conf):
+    def __init__(self, master, conf, session=()):
         self.sparkContext = self
         self.master = master
         self._conf = conf
+        self.conf = dict(session)
 
     def getConf(self):
         return self._conf
@@ -39,3 +40,5 @@ def test_scratch_refuses_local_folders_on_a_cluster():
     assert scratch_path(
         FakeSession("yarn", {"spark.checkpoint.dir": "hdfs:///shared/"}), "t"
     ).startswith("hdfs:///shared/t-")
+    late = FakeSession("yarn", {}, {"spark.checkpoint.dir": "hdfs:///late"})
+    assert scratch_path(late, "t").startswith("hdfs:///late/t-")
