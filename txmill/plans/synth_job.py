@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from txmill.operators.profile import label_summary
 from txmill.operators.split import SEED, TRAIN_FRACTION, sample_and_rest
 from txmill.operators.synth import FRAUD_RATE, ROWS, synthetic_transactions
+from txmill.sources.scratch import scratch_path
 from txmill.sources.tables import write_csv
 
 KEY, LABEL = "transaction_id", "fraud"
@@ -44,9 +45,12 @@ def run(
     default now; all else depends on the seed only.
     """
     end = anchor or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    rows = synthetic_transactions(
+    # Stored once: counting for the exact sample and both parts would generate the rows anew.
+    stored = scratch_path(spark, "generated")
+    synthetic_transactions(
         spark, anchor=end, count=count, fraud_rate=fraud_rate, seed=seed, shuffle=True
-    )
+    ).write.parquet(stored)
+    rows = spark.read.parquet(stored)
     train, test = sample_and_rest(rows, KEY, fraction, seed, exact=True)
     write_csv(train, f"{target}/train", mode=mode)
     write_csv(test, f"{target}/test", mode=mode)
