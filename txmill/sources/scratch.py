@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-
 _SETTING = "spark.checkpoint.dir"
 
 
