@@ -58,7 +58,9 @@ AWKWARD = [
 
 @pytest.fixture(scope="module")
 def awkward(spark):
-    return spark.createDataFrame(AWKWARD, SCHEMA).repartition(3).cache()
+    rows = spark.createDataFrame(AWKWARD, SCHEMA).repartition(3).cache()
+    yield rows
+    rows.unpersist(blocking=True)
 
 
 @pytest.fixture(scope="module")

@@ -28,7 +28,9 @@ SCHEMA = "page_id bigint, url string, html string, host string, id string, score
 
 @pytest.fixture(scope="module")
 def pages(spark):
-    return spark.createDataFrame([(*p, None, "i", 1, "d", "l") for p in PAGES], SCHEMA).repartition(3).cache()
+    rows = spark.createDataFrame([(*p, None, "i", 1, "d", "l") for p in PAGES], SCHEMA).repartition(3).cache()
+    yield rows
+    rows.unpersist(blocking=True)
 
 
 def judged(url):
