@@ -172,12 +172,13 @@ def test_any_positions_above_the_minimum_contain_a_triple():
         near_dedup.index_triples(2)
 
 
-def test_near_duplicates_of_awkward_rows(awkward, nothing):
+@pytest.mark.parametrize("hot", [1, 4, near_dedup.HOT])
+def test_near_duplicates_of_awkward_rows(awkward, nothing, hot):
     prints = [print_brute(r[1]) for r in AWKWARD]
     labels = components_brute(prints, [r[0] for r in AWKWARD])
     expected = sorted(((r[0], f"{p:016x}", c) for r, p, c in zip(AWKWARD, prints, labels)), key=repr)
-    assert rows_of(near_dedup.near_duplicates(awkward)) == expected
-    assert near_dedup.near_duplicates(nothing).count() == 0
+    assert rows_of(near_dedup.near_duplicates(awkward, hot=hot)) == expected
+    assert near_dedup.near_duplicates(nothing, hot=hot).count() == 0
     assert near_dedup.drop_near_duplicates(nothing).count() == 0
 
 

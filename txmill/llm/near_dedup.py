@@ -39,6 +39,8 @@ SEED = 42
 BYTES = 8
 #: Fingerprints of a posting list up to which its pairs are compared.
 LONG = 8192
+#: A fingerprint of more than one in this number of rows is hot; there are fewer such than this number.
+HOT = 1000
 _SHINGLES_AT_ONCE = 8192
 
 
@@ -228,28 +230,49 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _component_of_print(prints: DataFrame, max_bits: int) -> DataFrame:
-    """From (id, fp) rows: fp and component_id, the smallest id that its links reach."""
-    first = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "fingerprints")
+    """From (id, fp) rows: fp, n (its rows) and component_id, the smallest id that its links reach."""
+    first = stored(
+        prints.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "fingerprints"
+    )
     label = components(links(first.select("fp"), max_bits)).withColumnRenamed("node", "fp")
     linked = label.join(first, "fp")
     smallest = linked.groupBy("label").agg(F.min("first").alias("smallest"))
     joined = linked.select("fp", "label").join(smallest, "label").select("fp", "smallest")
     return first.join(joined, "fp", "left").select(
-        "fp", F.coalesce("smallest", "first").alias("component_id")
+        "fp", "n", F.coalesce("smallest", "first").alias("component_id")
     )
 
 
+def _members(prints: DataFrame, max_bits: int, hot: int) -> DataFrame:
+    """id, fp, component_id of every (id, fp) row.
+
+    The rows of a hot fingerprint stay where they are: fewer than ``hot`` fingerprints hold more than
+    one in ``hot`` rows, and these are sent to all tasks. All others meet their component by a shuffle.
+    """
+    found = stored(_component_of_print(prints, max_bits), "components")
+    total = found.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") * hot > total
+    few, many = (found.filter(c).select("fp", "component_id") for c in (is_hot, ~is_hot))
+    few = F.broadcast(few)
+    rest = prints.join(few, "fp", "left_anti").join(many, "fp")
+    return prints.join(few, "fp").unionByName(rest)
+
+
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    max_bits: int = MAX_BITS,
+    hot: int = HOT,
 ) -> DataFrame:
     """One row per document: its id, fingerprint (16 hex digits), component_id.
 
     A NULL text is an empty one and has fingerprint zero, which links like any other. NULL ids are
     never the smallest unless a component has no other. Repeated rows are all returned. Other
-    columns are ignored; an empty table gives no rows.
+    columns are ignored; an empty table gives no rows. The result does not depend on ``hot``.
     """
     prints = stored(docs.select(F.col(doc_id).alias("id"), fingerprint_of(text).alias("fp")), "prints")
-    found = prints.join(_component_of_print(prints, max_bits), "fp")
+    found = _members(prints, max_bits, hot)
     return found.select(F.col("id").alias(doc_id), hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
