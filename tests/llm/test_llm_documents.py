@@ -605,6 +605,34 @@ def test_p_values_are_even_for_random_strings(spark):
     assert 0.01 < np.mean(np.array(p) < 0.1) < 0.18 and min(p) >= 0
 
 
+ORDINARY = [
+    "internationalisation", "counterrevolutionaries", "Zusammengehoerigkeitsgefuehl", "anticonstitutionnellement",
+    "some/path/to/a/file-name", "getElementByIdAndName2", "2023-01-15-12-30-45", "keitstlichschenverpf",
+]
+
+
+@pytest.mark.parametrize("planted", [1, 2, 5])
+def test_few_keys_are_found_beside_ordinary_strings(spark, planted):
+    """Keys of each alphabet and length class beside ordinary strings of the same length."""
+    rng, keys, words = np.random.default_rng(planted), [], list(ORDINARY)
+    parts = ["ment", "tion", "keit", "able", "heit", "ciones", "ing", "er"]
+    for length in (21, 28, 40, 56, 100, 150):
+        # From 24 characters on, digits and lower-case hex are base spans.
+        alphabets = [a for a in secrets.ALPHABETS if length < 24 or not set(a) <= set("0123456789abcdef")]
+        keys += ["".join(rng.choice(list(a), length)) for a in alphabets for _ in range(planted)]
+        words += [("".join(rng.permutation(parts).tolist()) * 9)[:length] for _ in range(300)]
+    rows = [(n, f"see {k} here") for n, k in enumerate(keys)]
+    rows += [(1000 + n, f"long words {w}") for n, w in enumerate(words)]
+    found = by_id(secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert sum(found[n].spans == f"random:4:{4 + len(k)}" for n, k in enumerate(keys)) >= 0.95 * len(keys)
+    assert not any(found[1000 + n].spans for n in range(len(words)))
+
+
+def test_one_key_is_found_alone(spark):
+    frame = spark.createDataFrame([(1, f"see {SECRET} here"), (2, "internationalisation")], "doc_id bigint, text string")
+    assert [r.spans for r in secrets.scan(frame).orderBy("doc_id").collect()] == ["random:4:36", ""]
+
+
 # The pipeline
 
 

@@ -3,17 +3,19 @@
 Everything is built from DataFrame functions. A string of at least ``LEAST`` characters is tested
 against the smallest alphabet that holds it: chi-squared for uniform use of the alphabet, a runs
 test around the middle of the alphabet, and the serial correlation of neighbours. Three times the
-smallest p-value is the battery's.
-
-Random strings have even p-values, ordinary ones small ones, and the shorter a string the weaker
-the tests. So the false-discovery control works per class of length and alphabet: twice the number
-of p-values above one half estimates the secrets, and the threshold is the smallest at which at
-most ``FDR`` of the strings above it exceed what those secrets account for. It counts all strings
-of all documents in a histogram of fixed size.
+smallest p-value is the battery's. A string below ``LEAST_P`` is not random.
+
+The others are tested against a null of ordinary strings, the letter model of ``language``. How many
+times likelier a uniform draw from the alphabet gives the string than the model does is its evidence,
+at most 1 on average over ordinary strings, so its reciprocal is a p-value. Benjamini and Hochberg's
+rule sets the threshold of each length class so that at most ``FDR`` of what is reported is
+ordinary. One strongly random string passes whatever else its class holds. All strings of all
+documents are counted in a histogram of fixed size.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from txmill.llm import language
 from txmill.llm.common import stored, whole
 
 # The base patterns with the least length of what counts, in the order of their kinds.
@@ -33,7 +36,10 @@ RANDOM = "random"
 LEAST = 20
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 FDR = 0.05
-BINS = 1000
+#: Random strings fall below it in about one of 1000 cases.
+LEAST_P = 0.001
+#: Evidence is counted in whole bits, more than these as these.
+MOST_BITS = 64
 LENGTH_CLASSES = (20, 24, 32, 48, 64, 128)
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -232,6 +238,31 @@ def p_value(word: Column, encoding: Column) -> Column:
     return _let(F.get(F.array(*[F.lit(a) for a in ALPHABETS]), encoding), tested)
 
 
+def evidence(word: Column, encoding: Column) -> Column:
+    """Bits by which a uniform draw from the alphabet is likelier to give the word than the null.
+
+    The alphabet is the word's own choice, for which the logarithm of their number is taken off.
+    """
+    # One literal of text, as a call for each number would be slow.
+    table = F.split(F.lit(",".join(f"{b:.4f}" for b in language.surprise())), ",").cast("array<double>")
+    each = F.array(*[F.lit(math.log2(len(a))) for a in ALPHABETS])
+    width = len(language.SYMBOLS)
+    plain = F.translate(
+        word,
+        language.DIGITS + language.SEPARATORS,
+        "0" * len(language.DIGITS) + "-" * len(language.SEPARATORS),
+    )
+    codes = F.transform(F.split(plain, ""), lambda c: F.instr(F.lit(language.SYMBOLS), c))
+
+    def against(code: Column) -> Column:
+        before = F.concat(F.array(F.lit(0)), F.slice(code, F.lit(1), F.size(code) - 1))
+        steps = F.zip_with(before, code, lambda a, b: F.get(table, a * width + b - 1))
+        bits = F.aggregate(steps, F.lit(0.0), lambda a, x: a + x)
+        return bits - F.size(code) * F.get(each, encoding) - math.log2(len(ALPHABETS))
+
+    return _let(codes, against)
+
+
 def _length_class(word: Column) -> Column:
     return reduce(lambda a, b: a + b, [(F.length(word) >= x).cast("int") for x in LENGTH_CLASSES])
 
@@ -249,10 +280,14 @@ def _candidates(text: Column, base: Column) -> Column:
             lambda code: F.struct(
                 c["start"].alias("start"),
                 c["end"].alias("end"),
-                (code * (len(LENGTH_CLASSES) + 1) + _length_class(c["word"])).alias("class"),
-                F.least(
-                    F.floor(p_value(c["word"], code) * BINS).cast("int"), F.lit(BINS - 1)
-                ).alias("bin"),
+                _length_class(c["word"]).alias("class"),
+                F.when(p_value(c["word"], code) < LEAST_P, F.lit(0))
+                .otherwise(
+                    F.greatest(
+                        F.least(F.floor(evidence(c["word"], code)).cast("int"), F.lit(MOST_BITS)), F.lit(0)
+                    )
+                )
+                .alias("bin"),
             ),
         )
 
@@ -267,10 +302,9 @@ def thresholds(tested: DataFrame, fdr: float = FDR) -> dict[int, int]:
     counts = tested.groupBy("class", "bin").agg(F.count(F.lit(1)).alias("n"))
     above = Window.partitionBy("class").orderBy(F.desc("bin"))
     everyone = Window.partitionBy("class")
-    secrets = 2.0 * F.sum(F.when(F.col("bin") >= BINS // 2, F.col("n")).otherwise(0)).over(everyone)
-    rows = counts.withColumn("reported", F.sum("n").over(above)).withColumn("secrets", secrets)
-    explained = F.col("secrets") * (1.0 - F.col("bin") / F.lit(float(BINS)))
-    fine = rows.filter((F.col("bin") >= 1) & (F.col("reported") - explained <= fdr * F.col("reported")))
+    rows = counts.withColumn("reported", F.sum("n").over(above)).withColumn("all", F.sum("n").over(everyone))
+    ordinary = F.col("all") * F.pow(F.lit(2.0), -F.col("bin"))
+    fine = rows.filter((F.col("bin") >= 1) & (ordinary <= fdr * F.col("reported")))
     return {r["class"]: r["bin"] for r in fine.groupBy("class").agg(F.min("bin").alias("bin")).collect()}
 
 
@@ -300,7 +334,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fdr: float
     limits = thresholds(found.select(F.explode("tested").alias("t")).select("t.class", "t.bin"), fdr)
 
     def passes(c: Column) -> Column:
-        chosen = F.lit(BINS)
+        chosen = F.lit(MOST_BITS + 1)
         for number, least in sorted(limits.items()):
             chosen = F.when(c["class"] == number, F.lit(least)).otherwise(chosen)
         return c["bin"] >= chosen
