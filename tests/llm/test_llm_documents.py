@@ -633,6 +633,26 @@ def test_one_key_is_found_alone(spark):
     assert [r.spans for r in secrets.scan(frame).orderBy("doc_id").collect()] == ["random:4:36", ""]
 
 
+@pytest.mark.parametrize(
+    "strings, expected",
+    [
+        # Copies of one string do not lower the threshold of others, 3000 at 10 bits beside 50 at 5.
+        ([(0, 10)] * 3000 + [(n, 5) for n in range(1, 51)] + [(n, 0) for n in range(100, 200)], {}),
+        # Nor do copies of an ordinary one raise it.
+        ([(0, 0)] * 5000 + [(1, 6)], {1: 6}),
+    ],
+)
+def test_copies_of_a_string_count_once(spark, strings, expected):
+    frame = spark.createDataFrame([(1, *s) for s in strings], "class int, digest bigint, bin int")
+    assert secrets.thresholds(frame) == expected
+
+
+def test_copies_of_an_ordinary_string_hide_no_key(spark):
+    rows = [(n, f"see {ORDINARY[n % 2]} here") for n in range(3000)] + [(5000, f"see {SECRET} here")]
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("spans <> ''").collect()
+    assert [(r.doc_id, r.spans) for r in found] == [(5000, "random:4:36")]
+
+
 # The pipeline
 
 

@@ -9,8 +9,8 @@ The others are tested against a null of ordinary strings, the letter model of ``
 times likelier a uniform draw from the alphabet gives the string than the model does is its evidence,
 at most 1 on average over ordinary strings, so its reciprocal is a p-value. Benjamini and Hochberg's
 rule sets the threshold of each length class so that at most ``FDR`` of what is reported is
-ordinary. One strongly random string passes whatever else its class holds. All strings of all
-documents are counted in a histogram of fixed size.
+ordinary. One strongly random string passes whatever else its class holds. Each different string
+of all documents is counted once in a histogram of fixed size, so copies decide nothing.
 """
 
 from __future__ import annotations
@@ -268,7 +268,7 @@ def _length_class(word: Column) -> Column:
 
 
 def _candidates(text: Column, base: Column) -> Column:
-    """start, end, class, bin of the strings to be tested, outside all base spans."""
+    """start, end, class, digest, bin of the strings to be tested, outside all base spans."""
     outside = F.filter(
         _matches(text, CANDIDATE, 0),
         lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
@@ -281,6 +281,7 @@ def _candidates(text: Column, base: Column) -> Column:
                 c["start"].alias("start"),
                 c["end"].alias("end"),
                 _length_class(c["word"]).alias("class"),
+                F.xxhash64(c["word"]).alias("digest"),
                 F.when(p_value(c["word"], code) < LEAST_P, F.lit(0))
                 .otherwise(
                     F.greatest(
@@ -297,9 +298,11 @@ def _candidates(text: Column, base: Column) -> Column:
 def thresholds(tested: DataFrame, fdr: float = FDR) -> dict[int, int]:
     """Smallest bin per class from which on strings count as random; classes without one are absent.
 
-    ``tested`` has a row (class, bin) per string. The histogram has a fixed size.
+    ``tested`` has a row (class, digest, bin) per string, of which equal ones count once. The
+    histogram has a fixed size.
     """
-    counts = tested.groupBy("class", "bin").agg(F.count(F.lit(1)).alias("n"))
+    different = tested.select("class", "digest", "bin").distinct()
+    counts = different.groupBy("class", "bin").agg(F.count(F.lit(1)).alias("n"))
     above = Window.partitionBy("class").orderBy(F.desc("bin"))
     everyone = Window.partitionBy("class")
     rows = counts.withColumn("reported", F.sum("n").over(above)).withColumn("all", F.sum("n").over(everyone))
@@ -331,7 +334,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fdr: float
         lambda base: F.struct(base.alias("base"), _candidates(F.col("text"), base).alias("tested")),
     )
     found = stored(rows.select("id", both.alias("both")).select("id", "both.*"), "secrets")
-    limits = thresholds(found.select(F.explode("tested").alias("t")).select("t.class", "t.bin"), fdr)
+    limits = thresholds(found.select(F.explode("tested").alias("t")).select("t.*"), fdr)
 
     def passes(c: Column) -> Column:
         chosen = F.lit(MOST_BITS + 1)
