@@ -2,9 +2,11 @@
 
 import base64
 import hashlib
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from txmill.llm import queries, url_filter, warc
 from txmill.llm.queries import RULES
@@ -74,6 +76,25 @@ def test_trees_learn_the_seeded_hosts(spark):
     assert right >= 0.95 * len(free)
 
 
+def urls(spark, blocked, allowed):
+    """Labelled URLs that no feature tells apart."""
+    rng = random.Random(0)
+    rows = [(n, f"http://{''.join(rng.choices('bcdfg', k=12))}.net/", "net", float(n < blocked)) for n in range(blocked + allowed)]
+    frame = spark.createDataFrame(rows, "id bigint, url string, suffix string, label double")
+    return frame.withColumns({"host": url_filter.host_of(F.col("url")), "path": url_filter.path_of(F.col("url"))})
+
+
+def test_a_bounded_sample_keeps_the_shares_of_the_labels(spark):
+    known = urls(spark, 60, 540)
+    copied = known.unionByName(known.filter("id = 0").withColumn("id", F.explode(F.sequence(F.lit(1000), F.lit(1400)))))
+    for rows in (known, copied):
+        taken = url_filter.sampled(rows, 50).groupBy("label").agg(F.count("url"), F.countDistinct("url"), F.sum("weight"))
+        assert sorted(tuple(round(x, 6) for x in r) for r in taken.collect()) == [(0.0, 50, 50, 90.0), (1.0, 50, 50, 10.0)]
+    known = urls(spark, 300, 2700)
+    found = url_filter.judge(known, [], url_filter.train(known, 300), page_id="id").collect()
+    assert sum(r.verdict == "block" for r in found) <= 0.2 * len(found)
+
+
 def revisits(rows):
     first = {}
     for i, _, html in rows:

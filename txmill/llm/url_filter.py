@@ -1,6 +1,7 @@
 """URL filter: rules first, gradient-boosted trees over lexical features for all other URLs.
 
-Everything is built from DataFrame functions and Spark ML's trees. No page is fetched or shuffled.
+Everything is built from DataFrame functions and Spark ML's trees. No page is fetched; only labelled
+URLs are shuffled, for the sample of different ones.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txmill.llm.common import stored
+
 ALLOW, BLOCK = "allow", "block"
-#: Bound of the labelled URLs of each kind that the trees are fitted on, lowest hashes first.
+#: Bound of the different URLs of each label that the trees are fitted on, lowest hashes first.
 SAMPLE = 10_000
 #: Rules become one expression; longer lists belong into a table that is joined.
 MOST_RULES = 1000
@@ -121,20 +124,36 @@ def _features(rows: DataFrame, suffixes: DataFrame) -> DataFrame:
     return joined.fillna({"f_suffix_share": 0.5, "f_suffix_known": 0.0})
 
 
-def labelled(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most ``sample`` parsed URLs of each label: 1 if a rule or a seed word blocks, else 0."""
+def labelled(rows: DataFrame) -> DataFrame:
+    """All parsed URLs with a host, and label: 1 if a rule or a seed word blocks, else 0."""
     seeded = F.arrays_overlap(F.split("host", r"[.-]"), F.array(*[F.lit(w) for w in SEED_WORDS]))
     label = F.when(F.col("ruled").isNotNull(), F.col("ruled") == BLOCK).otherwise(seeded)
-    known = rows.filter(F.col("host") != "").withColumn("label", label.cast("double"))
-    order = [F.xxhash64("url"), F.col("url"), F.col("id")]
-    kinds = [known.filter(F.col("label") == k).orderBy(*order).limit(sample) for k in (0.0, 1.0)]
+    return rows.filter(F.col("host") != "").withColumn("label", label.cast("double"))
+
+
+def sampled(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """At most ``sample`` different labelled URLs of each label, with their weight.
+
+    The weights give each label its share of all different URLs, so the share that the trees learn
+    does not depend on the size of the table.
+    """
+    different = stored(rows.select("url", "host", "path", "suffix", "label").dropDuplicates(["url"]), "urls")
+    counts = {r["label"]: r["n"] for r in different.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    taken = sum(min(n, sample) for n in counts.values())
+    kinds = []
+    for label in (0.0, 1.0):
+        n = counts.get(label, 0)
+        weight = n / sum(counts.values()) * taken / min(n, sample) if n else 0.0
+        chosen = different.filter(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(sample)
+        kinds.append(chosen.withColumn("weight", F.lit(weight)))
     return kinds[0].unionByName(kinds[1])
 
 
-def train(rows: DataFrame) -> Model:
+def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on labelled URLs: columns of ``parsed`` and label. Without any, nothing is blocked."""
     if rows.isEmpty():
         return Model(None, None)
+    rows = sampled(rows, sample)
     suffixes = rows.groupBy("suffix").agg(
         ((F.sum("label") + 1.0) / (F.count(F.lit(1)) + 2.0)).alias("f_suffix_share"),
         F.log1p(F.count(F.lit(1))).alias("f_suffix_known"),
@@ -142,9 +161,9 @@ def train(rows: DataFrame) -> Model:
     names = [f"f_{n}" for n in [*FEATURES, *SUFFIX_FEATURES]]
     stages = [
         VectorAssembler(inputCols=names, outputCol="features"),
-        GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=SEED),
+        GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=SEED),
     ]
-    data = _features(rows, suffixes).select("label", *names)
+    data = _features(rows, suffixes).select("label", "weight", *names)
     return Model(Pipeline(stages=stages).fit(data), suffixes)
 
 
