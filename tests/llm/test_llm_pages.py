@@ -95,6 +95,14 @@ def test_a_bounded_sample_keeps_the_shares_of_the_labels(spark):
     assert sum(r.verdict == "block" for r in found) <= 0.2 * len(found)
 
 
+def test_suffix_shares_cover_all_labelled_pages(spark):
+    known = urls(spark, 30, 90).withColumn("suffix", F.concat(F.lit("s"), F.col("id") % 40))
+    found = url_filter.train(known, 5).suffixes.collect()
+    assert len(found) == 40
+    expected = {f"s{n}": 2 / 5 if n < 30 else 1 / 5 for n in range(40)}
+    assert {r.suffix: round(r.f_suffix_share, 9) for r in found} == expected
+
+
 def revisits(rows):
     first = {}
     for i, _, html in rows:

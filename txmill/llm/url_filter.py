@@ -43,7 +43,10 @@ class Rule:
 
 @dataclass(frozen=True)
 class Model:
-    """Fitted trees, None without labelled URLs, and the share of blocked URLs per host suffix."""
+    """Fitted trees, None without labelled URLs, and the share of blocked URLs per host suffix.
+
+    The shares are those of all labelled pages, also of those that the trees are not fitted on.
+    """
 
     trees: PipelineModel | None
     suffixes: DataFrame | None
@@ -119,8 +122,8 @@ SUFFIX_FEATURES = ["suffix_share", "suffix_known"]
 
 def _features(rows: DataFrame, suffixes: DataFrame) -> DataFrame:
     rows = rows.withColumns({f"f_{n}": make().cast("double") for n, make in FEATURES.items()})
-    # At most one row per labelled URL of the bounded sample.
-    joined = rows.join(F.broadcast(suffixes), "suffix", "left")
+    # As many rows as there are suffixes, so no broadcast is forced; adaptive execution splits hot ones.
+    joined = rows.join(suffixes, "suffix", "left")
     return joined.fillna({"f_suffix_share": 0.5, "f_suffix_known": 0.0})
 
 
@@ -153,17 +156,17 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on labelled URLs: columns of ``parsed`` and label. Without any, nothing is blocked."""
     if rows.isEmpty():
         return Model(None, None)
-    rows = sampled(rows, sample)
-    suffixes = rows.groupBy("suffix").agg(
+    shares = rows.groupBy("suffix").agg(
         ((F.sum("label") + 1.0) / (F.count(F.lit(1)) + 2.0)).alias("f_suffix_share"),
         F.log1p(F.count(F.lit(1))).alias("f_suffix_known"),
     )
+    suffixes = stored(shares, "suffixes")
     names = [f"f_{n}" for n in [*FEATURES, *SUFFIX_FEATURES]]
     stages = [
         VectorAssembler(inputCols=names, outputCol="features"),
         GBTClassifier(labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=SEED),
     ]
-    data = _features(rows, suffixes).select("label", "weight", *names)
+    data = _features(sampled(rows, sample), suffixes).select("label", "weight", *names)
     return Model(Pipeline(stages=stages).fit(data), suffixes)
 
 
