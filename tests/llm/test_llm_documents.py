@@ -517,6 +517,24 @@ def test_licenses_are_found_with_their_spans():
     assert [m["license"] for m in changed] == ["MIT text"] and 0.95 < changed[0]["coverage"] < 1.0
 
 
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_licenses_are_found_with_any_permitted_word_changed(name):
+    words = tokens.words(licenses.TEMPLATES[name])
+    index = licenses.build({name: licenses.TEMPLATES[name]})
+    for k in range(len(words)):
+        changed = [*words[:k], "changed", *words[k + 1 :]]
+        found = licenses.matches(" ".join(["some", "text", *changed, "after", "it"]), index)
+        assert [(m["license"], m["words"]) for m in found] == [(name, len(words) - 1)], k
+    every_fifth = [("changed" if k % 5 == 4 else w) for k, w in enumerate(words)]
+    assert [m["license"] for m in licenses.matches(" ".join(every_fifth), index)] == [name]
+
+
+@pytest.mark.parametrize("first", ["Licensed", "Distributed", "Available"])
+def test_short_licenses_in_other_words(first):
+    found = licenses.matches(f"It is {first} under the MIT License, as is.", licenses.build(licenses.TEMPLATES))
+    assert [(m["license"], m["coverage"]) for m in found] == [("MIT line", 0.8)]
+
+
 def test_alignment_equals_full_dynamic_programming():
     rng = np.random.default_rng(4)
     for _ in range(80):

@@ -1,10 +1,10 @@
-"""License scan: winnowed fingerprints pick candidates, banded alignment measures them.
+"""License scan: fingerprints of word pairs pick candidates, banded alignment measures them.
 
-Templates are few and go to the documents. Of each template's runs of ``RUN`` words the winnowing
-picks the smallest hash of every window of ``WINDOW``; an inverted index leads from these to
-templates and places. A document is looked up with all its runs, so a common stretch of
-``RUN + WINDOW - 1`` words is always found. Hits near one diagonal form a candidate, which is
-aligned inside a band; matched words, coverage and the span in the text are reported.
+Templates are few and go to the documents. An inverted index leads from every run of ``RUN`` words
+of a template to its places (a ``WINDOW`` above 1 winnows them). Two adjacent words are the longest
+run that each alignment of a score above 1 must contain, however many words are changed. Hits near
+one diagonal form a candidate. If enough of the template's words stand in its band at all, it is
+aligned there; matched words, coverage and the span in the text are reported.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from txmill.llm import tokens
 from txmill.llm.common import per_text
 
-RUN = 3
-WINDOW = 3
+RUN = 2
+WINDOW = 1
 BAND = 8
 COVERAGE = 0.8
 #: Templates are sent to all tasks; more words than this are refused.
@@ -57,6 +57,8 @@ class Index:
     known: dict[str, int]
     names: list[str]
     items: list[np.ndarray]
+    #: Different words of each template in ascending order, and how often it has them.
+    words: list[tuple[np.ndarray, np.ndarray]]
     hashes: np.ndarray
     owner: np.ndarray
     place: np.ndarray
@@ -88,17 +90,21 @@ def build(templates: dict[str, str], run: int = RUN, window: int = WINDOW) -> In
         place.append(picked)
     joined = [np.concatenate([*x, np.empty(0, x[0].dtype if x else np.int64)]) for x in (hashes, owner, place)]
     order = np.argsort(joined[0], kind="stable")
-    return Index(known, list(found), items, *(x[order] for x in joined))
+    different = [np.unique(item, return_counts=True) for item in items]
+    return Index(known, list(found), items, different, *(x[order] for x in joined))
 
 
 def align(template: np.ndarray, doc: np.ndarray, shift: int, band: int = BAND) -> tuple[int, int, int]:
     """Matched words, and first and last+1 matched word of ``doc``, in the best local alignment.
 
     Word i of the template stands near word i + ``shift`` of the document, at most ``band`` away.
-    A match gains 1, a mismatch or a gap costs 1.
+    A match gains 1, a mismatch or a gap costs 1; of equal scores the one with more matched words
+    is best.
     """
     width = 2 * band + 1
-    offset = np.arange(width)
+    cost = len(template) + 1
+    gain = cost + 1
+    offset = np.arange(width) * cost
     padded = np.full(len(template) + width, -2, np.int64)
     low = shift - band
     first, last = max(low, 0), min(low + len(padded), len(doc))
@@ -106,26 +112,33 @@ def align(template: np.ndarray, doc: np.ndarray, shift: int, band: int = BAND) -
         padded[first - low : last - low] = doc[first:last]
     score = np.zeros((len(template) + 1, width), np.int64)
     for i, word in enumerate(template, 1):
-        same = np.where(padded[i - 1 : i - 1 + width] == word, 1, -1)
-        above = np.append(score[i - 1, 1:], 0) - 1
+        same = np.where(padded[i - 1 : i - 1 + width] == word, gain, -cost)
+        above = np.append(score[i - 1, 1:], 0) - cost
         best = np.maximum(np.maximum(score[i - 1] + same, above), 0)
         score[i] = np.maximum.accumulate(best + offset) - offset
     i, k = (int(x) for x in np.unravel_index(score.argmax(), score.shape))
     matched, start, end = 0, 0, 0
     while i > 0 and score[i, k] > 0:
         same = padded[i - 1 + k] == template[i - 1]
-        if score[i, k] == score[i - 1, k] + (1 if same else -1):
+        if score[i, k] == score[i - 1, k] + (gain if same else -cost):
             if same:
                 matched, start = matched + 1, low + i - 1 + k
                 end = end or start + 1
             i -= 1
-        elif k + 1 < width and score[i, k] == score[i - 1, k + 1] - 1:
+        elif k + 1 < width and score[i, k] == score[i - 1, k + 1] - cost:
             i, k = i - 1, k + 1
         else:
             k -= 1
     return matched, start, end
 
 
+def shared(words: tuple[np.ndarray, np.ndarray], part: np.ndarray) -> int:
+    """How many words of a template a part of a document has at most in common with it."""
+    ordered = np.sort(part)
+    held = np.searchsorted(ordered, words[0], "right") - np.searchsorted(ordered, words[0], "left")
+    return int(np.minimum(held, words[1]).sum())
+
+
 def matches(text: str, index: Index, run: int = RUN, band: int = BAND, coverage: float = COVERAGE) -> list[dict]:
     """Templates found in a text; where spans overlap, the better covered and longer one counts."""
     found = tokens.words(text)
@@ -143,6 +156,9 @@ def matches(text: str, index: Index, run: int = RUN, band: int = BAND, coverage:
     results = set()
     for number, shift in candidates:
         item = index.items[number]
+        first_word, last_word = max(shift - 2 * band, 0), shift + len(item) + 2 * band + 1
+        if shared(index.words[number], doc[first_word : max(last_word, 0)]) < coverage * len(item) - 1e-9:
+            continue
         matched, start, end = align(item, doc, shift, 2 * band)
         if matched >= coverage * len(item) - 1e-9:
             results.add((matched / len(item), matched, start, end, number))
