@@ -11,6 +11,7 @@ import corpus_pipeline
 from txmill.llm import (
     decontaminate,
     exact_dedup,
+    fim,
     licenses,
     near_dedup,
     packing,
@@ -87,6 +88,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fim.transform(table(spark, sf_dir, "documents"))
+    return done.withColumn("restored_sha256", fim.restored_sha256()).drop("output")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -100,6 +106,7 @@ QUERIES: dict[str, Query] = {
         op8_token_files,
         op9_simhash_near_dedup,
         op10_secret_scan,
+        op12_fim,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -133,6 +140,34 @@ select page_id, payload_bytes,
        case when page_id = first then 'response' else 'revisit' end as record_type,
        case when page_id = first then null else first end as refers_to
 from g
+""",
+    "op12_fim": r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(doc_id::varchar, '')) as h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as tokens
+  from documents
+), r as (
+  select doc_id, t, tokens, len(tokens) as n, ('0x' || substr(h, 1, 8))::bigint as h1,
+         ('0x' || substr(h, 9, 8))::bigint as h2, ('0x' || substr(h, 17, 8))::bigint as h3,
+         ('0x' || substr(h, 25, 8))::bigint as h4
+  from d
+), c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 50
+              then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form
+  from r
+), p as (
+  select *, array_to_string(tokens[1:a], '') as prefix, array_to_string(tokens[a + 1:b], '') as middle,
+         array_to_string(tokens[b + 1:n], '') as suffix
+  from c
+)
+select doc_id, n, form,
+       case when form <> 'plain' then length(prefix) end as prefix_chars,
+       case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(t) as restored_sha256
+from p
 """,
 }
 if corpus_pipeline.ORACLE_SQL:
