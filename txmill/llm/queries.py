@@ -12,6 +12,7 @@ from txmill.llm import (
     decontaminate,
     exact_dedup,
     fim,
+    importance,
     licenses,
     near_dedup,
     packing,
@@ -88,6 +89,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = fim.transform(table(spark, sf_dir, "documents"))
     return done.withColumn("restored_sha256", fim.restored_sha256()).drop("output")
@@ -106,6 +111,7 @@ QUERIES: dict[str, Query] = {
         op8_token_files,
         op9_simhash_near_dedup,
         op10_secret_scan,
+        op11_importance_resampling,
         op12_fim,
     )
 } | {"pipeline": corpus_pipeline.run}
@@ -140,6 +146,56 @@ select page_id, payload_bytes,
        case when page_id = first then 'response' else 'revisit' end as record_type,
        case when page_id = first then null else first end as refers_to
 from g
+""",
+    "op11_importance_resampling": r"""
+with crc_table as (
+  select list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+), texts as (
+  select doc_id, 'source' as side, coalesce(text, '') as text from documents
+  union all
+  select null, 'target', coalesce(text, '') from benchmark
+), numbered as (
+  select row_number() over () as row, doc_id, side,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from texts
+), found as (
+  select row, side, unnest(list_concat(words, list_transform(range(1, len(words)),
+           lambda i: words[i] || ' ' || words[i + 1]))) as feature
+  from numbered
+), tally as (
+  select row, side, feature, count(*) as n from found group by all
+), hashed as (
+  select feature, xor(list_reduce(list_concat([4294967295], list_transform(range(octet_length(encode(feature))),
+           lambda i: ('0x' || substr(hex(encode(feature)), 2 * i + 1, 2))::bigint)),
+           lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 as bucket
+  from (select distinct feature from tally), crc_table
+), counts as (
+  select bucket, sum(n) filter (side = 'source') as s, sum(n) filter (side = 'target') as t
+  from tally join hashed using (feature) group by bucket
+), totals as (
+  select coalesce(sum(s), 0)::double as s_all, coalesce(sum(t), 0)::double as t_all from counts
+), gains as (
+  select bucket, floor(1000 * ln((coalesce(t, 0)::double + 1) * (s_all + 10000)
+                / ((coalesce(s, 0)::double + 1) * (t_all + 10000))))::bigint as gain
+  from counts, totals
+), weights as (
+  select row, sum(n) as n_features, floor(sum(n * gain)::double / sum(n)::double)::bigint as weight
+  from tally join hashed using (feature) join gains using (bucket) where side = 'source' group by row
+), scores as (
+  select row, doc_id, len(words) as n_words, coalesce(n_features, 0)::bigint as n_features,
+         coalesce(weight, 0) as weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint
+           + 0.5::double) / 4294967296::double)))::bigint as score
+  from numbered left join weights using (row) where side = 'source'
+), placed as (
+  select row, row_number() over (order by score desc, doc_id nulls last) as place, count(*) over () as total
+  from scores where n_words >= 20
+)
+select doc_id, n_features, weight, score,
+       case when place <= 25 * total // 100 then place end as rank
+from scores left join placed using (row)
 """,
     "op12_fim": r"""
 with d as (
