@@ -142,7 +142,7 @@ def rearranged(
 
 def _transforming(fim_percent: int, spm_percent: int, sentinels: Sequence[str]):
     def transform_batch(texts, draws):
-        n, form, prefix, middle, output, sha = [], [], [], [], [], []
+        n, form, prefix, middle, output, sha, back_sha = [], [], [], [], [], [], []
         for text, drawn in zip(texts, draws):
             data = text.as_py().encode("utf-8", "replace")
             count, kind, pieces, marks = rearranged(data, drawn.as_py(), fim_percent, spm_percent, sentinels)
@@ -152,18 +152,23 @@ def _transforming(fim_percent: int, spm_percent: int, sentinels: Sequence[str]):
             form.append(kind)
             prefix.append(code_points(back[1:2], buffers) if back else None)
             middle.append(code_points(back[3:4], buffers) if back else None)
-            output.append(content(pieces, buffers).decode())
             sha.append(digest(pieces, buffers))
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-        columns = [pa.array(c, k) for c, k in zip((n, form, prefix, middle, output, sha), kinds)]
+            written = content(pieces, buffers)
+            output.append(written.decode())
+            back_sha.append(digest(restored(written, kind, sentinels), (memoryview(written),)))
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
+        columns = [pa.array(c, k) for c, k in zip((n, form, prefix, middle, output, sha, back_sha), kinds)]
         return pa.StructArray.from_arrays(columns, _FIELDS)
 
     transform_batch.__annotations__ = {"texts": pa.Array, "draws": pa.Array, "return": pa.Array}
-    returns = "n bigint, form string, prefix_chars bigint, middle_chars bigint, output string, output_sha256 string"
+    returns = (
+        "n bigint, form string, prefix_chars bigint, middle_chars bigint, output string, "
+        "output_sha256 string, restored_sha256 string"
+    )
     return F.arrow_udf(transform_batch, returnType=returns)
 
 
-_FIELDS = ["n", "form", "prefix_chars", "middle_chars", "output", "output_sha256"]
+_FIELDS = ["n", "form", "prefix_chars", "middle_chars", "output", "output_sha256", "restored_sha256"]
 
 
 def _draws(doc_id: Column, seed: int) -> Column:
@@ -181,8 +186,10 @@ def transform(
     spm_percent: int = SPM_PERCENT,
     sentinels: Sequence[str] = SENTINELS,
 ) -> DataFrame:
-    """One row per document: its id, n (tokens), form, prefix_chars, middle_chars, output, output_sha256.
+    """One row per document: its id, n (tokens), form, prefix_chars, middle_chars, output and two digests.
 
+    ``output_sha256`` is taken from the descriptors, ``restored_sha256`` from the text that the written
+    output and its form give back, in the same worker, so that texts pass to Python once.
     Cuts, form and arrangement follow from ``seed`` and the id, so a repeated task and a repeated
     row give the same. An empty text (NULL is empty) and a text that contains a sentinel stay plain,
     and the lengths of their parts are NULL. NULL ids draw like an empty id. Nothing is shuffled;
@@ -193,13 +200,12 @@ def transform(
     return docs.select(F.col(doc_id), done.alias("fim")).select(doc_id, *[f"fim.{f}" for f in _FIELDS])
 
 
-def _restoring(sentinels: Sequence[str], as_digest: bool):
+def _restoring(sentinels: Sequence[str]):
     def restore_batch(outputs, forms):
         found = []
         for output, form in zip(outputs, forms):
             data = output.as_py().encode("utf-8", "replace")
-            pieces, buffers = restored(data, form.as_py(), sentinels), (memoryview(data),)
-            found.append(digest(pieces, buffers) if as_digest else content(pieces, buffers).decode())
+            found.append(content(restored(data, form.as_py(), sentinels), (memoryview(data),)).decode())
         return pa.array(found, pa.string())
 
     restore_batch.__annotations__ = {"outputs": pa.Array, "forms": pa.Array, "return": pa.Array}
@@ -210,11 +216,4 @@ def restored_text(
     output: Column | str = "output", form: Column | str = "form", sentinels: Sequence[str] = SENTINELS
 ) -> Column:
     """The document's text from its output and form alone."""
-    return _restoring(tuple(sentinels), False)(output, form)
-
-
-def restored_sha256(
-    output: Column | str = "output", form: Column | str = "form", sentinels: Sequence[str] = SENTINELS
-) -> Column:
-    """SHA-256 of the text that output and form give back, without building it."""
-    return _restoring(tuple(sentinels), True)(output, form)
+    return _restoring(tuple(sentinels))(output, form)

@@ -94,8 +94,7 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = fim.transform(table(spark, sf_dir, "documents"))
-    return done.withColumn("restored_sha256", fim.restored_sha256()).drop("output")
+    return fim.transform(table(spark, sf_dir, "documents")).drop("output")
 
 
 QUERIES: dict[str, Query] = {
