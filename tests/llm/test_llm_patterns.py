@@ -1,0 +1,220 @@
+"""Packing by patterns: plans, awkward rows, and the token ids of brute force."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from txmill.llm import pattern_packing, patterns, queries
+
+SCHEMA = "doc_id bigint, text string, id string, length string, shard int, nth int, offset int, ids string"
+
+
+@pytest.fixture(scope="module")
+def path():
+    return pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+
+
+def row(doc_id, text):
+    return (doc_id, text, "a", "b", 1, 2, 3, "c")
+
+
+def pieces_brute(rows, path, context):
+    from tokenizers import Tokenizer
+
+    tokenizer, out = Tokenizer.from_file(path), []
+    for i, text in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        for piece, at in enumerate(range(0, len(ids), context)):
+            part = np.array(ids[at : at + context], "<u4")
+            out.append((i, piece, at, len(part), zlib.crc32(part.tobytes())))
+    return sorted(out, key=repr)
+
+
+def check_sequences(found, context):
+    """Sequences are gapless from 0 and not too long; returns their number and the number of tokens."""
+    inside = defaultdict(list)
+    for r in found:
+        inside[r.sequence_id].append((r.offset, r.length))
+    for spans in inside.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at and length > 0
+            at += length
+        assert at <= context
+    return len(inside), sum(r.length for r in found)
+
+
+# Plans
+
+
+def lengths_of(plan):
+    used = Counter()
+    for repeats, parts in plan:
+        for length, n in parts:
+            used[length] += repeats * n
+    return used
+
+
+def check_plan(plan, histogram, context):
+    assert all(repeats > 0 and sum(a * n for a, n in parts) <= context for repeats, parts in plan)
+    assert lengths_of(plan) == Counter({a: int(n) for a, n in enumerate(histogram) if a and n})
+
+
+def best_fit_brute(lengths, context):
+    """Best fit decreasing, one piece at a time."""
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [k for k, r in enumerate(rooms) if r >= length]
+        if fitting:
+            rooms[min(fitting, key=lambda k: rooms[k])] -= length
+        else:
+            rooms.append(context - length)
+    return sorted(rooms)
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.integers(1, 40), max_size=80))
+def test_best_fit_equals_one_piece_at_a_time(lengths):
+    histogram = np.bincount(lengths, minlength=41)
+    plan = patterns.best_fit(histogram, 40)
+    check_plan(plan, histogram, 40)
+    rooms = sorted(40 - sum(a * n for a, n in parts) for repeats, parts in plan for _ in range(repeats))
+    assert rooms == best_fit_brute(lengths, 40)
+
+
+@settings(deadline=None, max_examples=40)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 10**6), max_size=64))
+def test_plans_hold_every_piece_once(counts):
+    histogram = np.zeros(65, np.int64)
+    for length, n in counts.items():
+        histogram[length] = n
+    plan = patterns.plan(histogram, 64, steps=60)
+    check_plan(plan, histogram, 64)
+    assert len(plan) <= 64 * 64
+
+
+def test_enumerated_patterns_fill_the_context_with_lengths_that_occur():
+    histogram = np.random.default_rng(3).integers(0, 5, 101)
+    lengths, counts = patterns.enumerate_patterns(histogram, 100)
+    assert len(lengths) > 100
+    assert ((lengths * counts).sum(axis=1) == 100).all()
+    assert (histogram[lengths[counts > 0]] > 0).all()
+    assert counts.sum(axis=1).max() == patterns.PARTS
+
+
+def exact_nnls(matrix, target):
+    """Active sets by brute force: the best of all least-squares solutions that are not negative."""
+    best, n = (target**2).sum(), matrix.shape[1]
+    for mask in range(1, 2**n):
+        use = [k for k in range(n) if mask >> k & 1]
+        x = np.linalg.lstsq(matrix[:, use], target, rcond=None)[0]
+        if (x >= -1e-12).all():
+            best = min(best, ((matrix[:, use] @ x - target) ** 2).sum())
+    return best
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_fit_reaches_the_least_squares(seed):
+    random = np.random.default_rng(seed)
+    left = random.integers(0, 30, 13)
+    left[0] = 0
+    lengths, counts = patterns.enumerate_patterns(left, 12)
+    keep = random.permutation(len(lengths))[:8]
+    lengths, counts = lengths[keep], counts[keep]
+    matrix = np.zeros((13, len(lengths)))
+    for k in range(len(lengths)):
+        np.add.at(matrix[:, k], lengths[k], counts[k])
+    x = patterns.fitted(lengths, counts, left, steps=3000)
+    assert (x >= 0).all()
+    assert ((matrix @ x - left) ** 2).sum() == pytest.approx(exact_nnls(matrix, left.astype(float)), rel=1e-6, abs=1e-6)
+
+
+def test_rounding_never_takes_more_than_there_is():
+    left = np.zeros(11, np.int64)
+    left[[2, 4, 6]] = 3, 1, 5
+    lengths, counts = np.array([[6, 4, 0], [6, 2, 0], [4, 2, 0]]), np.array([[1, 1, 0], [1, 2, 0], [1, 3, 0]])
+    chosen = patterns.rounded(lengths, counts, np.array([0.7, 9.0, 0.0]), left)
+    assert chosen == [(1, ((6, 1), (2, 2))), (1, ((6, 1), (4, 1)))]
+    assert left[[2, 4, 6]].tolist() == [1, 0, 3]
+
+
+def test_matching_halves_need_no_more_than_the_bound():
+    """Every length has its complement, which greedy packing of single pieces can miss."""
+    random = np.random.default_rng(5)
+    parts = [np.diff(np.sort(np.concatenate(([0, 256], random.choice(np.arange(1, 256), 3, False))))) for _ in range(4000)]
+    histogram = np.bincount(np.concatenate(parts), minlength=257)
+    plan = patterns.plan(histogram, 256)
+    check_plan(plan, histogram, 256)
+    assert sum(p.repeats for p in plan) <= 4004
+
+
+def test_places_follow_the_plan():
+    histogram = np.array([0, 5, 3, 0, 2, 1])
+    plan = patterns.plan(histogram, 5)
+    places = pattern_packing.Places(plan, histogram)
+    spans = defaultdict(list)
+    for length in range(1, 6):
+        sequence, offset = places.of(np.full(histogram[length], length), np.arange(histogram[length]))
+        for s, o in zip(sequence.tolist(), offset.tolist()):
+            spans[s] += range(o, o + length)
+    assert all(sorted(s) == list(range(len(s))) for s in spans.values())
+    assert len(spans) == sum(p.repeats for p in plan)
+
+
+# Tables
+
+
+AWKWARD = [
+    *[(i, "word another, 12 é! " * (i % 9)) for i in range(60)],
+    *[(500, "copies of one text")] * 700,
+    *[(None, "copies of one text")] * 30,
+    (None, None),
+    (1000, None),
+    (1001, ""),
+    (1002, " \n "),
+    (1003, "long " * 5000),
+    (1004, "x" * 3000),
+    (1005, "<|endoftext|> 😀 字"),
+    (1006, "exactly " * 31),
+    (1007, "exactly " * 32),
+]
+
+
+@pytest.mark.parametrize("context, cell", [(32, 4), (2048, 256), (7, 1)])
+def test_awkward_rows(spark, path, context, cell):
+    docs = spark.createDataFrame([row(*r) for r in AWKWARD], SCHEMA).repartition(5)
+    parts = pattern_packing.pieces(docs, path, context=context)
+    found = pattern_packing.packed(parts, context, cell).collect()
+    rows = sorted(((r.id, r.piece, r.start, r.length, zlib.crc32(r.ids)) for r in found), key=repr)
+    assert rows == pieces_brute(AWKWARD, path, context)
+    number, tokens = check_sequences(found, context)
+    assert -(-tokens // context) <= number <= len(best_fit_brute([r.length for r in found], context))
+
+
+def test_empty_tables(spark, path):
+    nothing = spark.createDataFrame([], SCHEMA)
+    assert pattern_packing.pack(nothing, path).count() == 0
+
+
+def test_sequences_hold_the_ids_of_their_pieces(spark, path):
+    docs = spark.createDataFrame([row(*r) for r in AWKWARD], SCHEMA)
+    placed = pattern_packing.packed(pattern_packing.pieces(docs, path, context=64), 64).cache()
+    whole = {r.sequence_id: r for r in pattern_packing.sequences(placed).collect()}
+    for r in placed.collect():
+        ids = bytes(whole[r.sequence_id].ids)
+        assert ids[4 * r.offset : 4 * (r.offset + r.length)] == bytes(r.ids)
+    assert all(len(r.ids) == 4 * r.n_tokens for r in whole.values())
+    placed.unpersist(blocking=True)
+
+
+def test_the_query_equals_brute_force(spark, sf_dir, path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    found = queries.QUERIES["op13_pattern_packing"](spark, sf_dir).collect()
+    rows = sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found), key=repr)
+    assert rows == pieces_brute([(r.doc_id, r.text) for r in docs], path, 2048)
+    number, tokens = check_sequences(found, 2048)
+    assert number <= -(-tokens // 2048) + 1

@@ -16,6 +16,7 @@ from txmill.llm import (
     licenses,
     near_dedup,
     packing,
+    pattern_packing,
     quality,
     secrets,
     token_files,
@@ -37,6 +38,7 @@ RULES = [
     Rule("block", "com", "/de/"),
 ]
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +99,11 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.transform(table(spark, sf_dir, "documents")).drop("output")
 
 
+def op13_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = import_module("public_tokenizers").path(WORD_TOKENIZER)
+    return pattern_packing.pack(table(spark, sf_dir, "documents"), tokenizer)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -112,6 +119,7 @@ QUERIES: dict[str, Query] = {
         op10_secret_scan,
         op11_importance_resampling,
         op12_fim,
+        op13_pattern_packing,
     )
 } | {"pipeline": corpus_pipeline.run}
 
