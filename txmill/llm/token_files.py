@@ -16,12 +16,10 @@ separator, on any file system and with its usual commit.
 
 from __future__ import annotations
 
+import json
 import math
-import os
-import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from txmill.llm.common import stored, whole
+from txmill.llm.word_ids import BYTE_LEVEL, Words, load, special_strings
 
 MAGIC = b"TXTOKEN1"
 MARK = "\n#end of block#\n"
@@ -40,8 +39,6 @@ END_ID = 0
 #: A block closes when it has this many ids, a file when it has this many blocks.
 BLOCK_IDS = 1 << 17
 FILE_BLOCKS = 64
-#: Different words whose ids a worker remembers; when full it starts anew.
-WORDS_KEPT = 500_000
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -75,79 +72,39 @@ def unpack(data: bytes | memoryview, width: int, start: int, count: int) -> np.n
     return out.reshape(-1).view("<u4")
 
 
-#: Letters, and perhaps a full stop or comma, which is a piece of its own.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
-
-
-def _signs() -> list[str]:
-    """The signs of byte-level vocabularies: visible bytes stand for themselves, others follow 255."""
-    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = [b for b in range(256) if b not in visible]
-    return [chr(b if b in visible else 256 + hidden.index(b)) for b in range(256)]
-
-
-_SIGNS = _signs()
-
-
 class Encoder:
     """Byte-level BPE that remembers the ids of words.
 
     Its pre-tokeniser never joins anything across a single space between two other characters, so
-    a text is cut there and every different piece is encoded once. A piece of letters is a single
-    word for the model and goes to it directly. Texts with a special token's string, and tokenizers
-    of another kind, are encoded whole.
+    a text with uncommon characters is cut there. Texts with a special token's string, and
+    tokenizers of another kind, are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        by_words = self.tokenizer.normalizer is None and isinstance(
-            self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel
+        self.tokenizer = load(path)
+        self.special = special_strings(self.tokenizer)
+        pre = json.loads(self.tokenizer.to_str()).get("pre_tokenizer") or {}
+        self.by_words = (
+            self.tokenizer.normalizer is None
+            and pre.get("type") == "ByteLevel"
+            and pre.get("use_regex") is True
+            and pre.get("add_prefix_space") is False
         )
-        self.by_words = by_words and not self.tokenizer.pre_tokenizer.add_prefix_space
-        self.model = self.tokenizer.model
+        self.words = Words(self.tokenizer, BYTE_LEVEL, lower=False)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.stops = dict(zip(("", ".", ","), self._whole(["", ".", ","])))
-        self.kept: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _word(self, letters: str) -> bytes:
-        """Ids of a space and letters, which the pre-tokeniser leaves in one piece."""
-        if letters.isascii():
-            signs = f"{_SIGNS[32]}{letters}"
-        else:
-            signs = "".join(map(_SIGNS.__getitem__, f" {letters}".encode()))
-        return array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit integers."""
         if not self.by_words or any(s in text for s in self.special):
-            return self._whole([text])[0]
-        pieces = text.split(" ")
-        if _loose(text):
-            pieces = _joined(pieces)
-        first, rest = pieces[0], pieces[1:]
-        kept = self.kept
-        new = set(rest).difference(kept)
-        if new:
-            if len(kept) + len(new) > WORDS_KEPT:
-                kept.clear()
-                new = set(rest)
-            others = []
-            for piece in new:
-                match = _PLAIN(piece)
-                if match:
-                    kept[piece] = self._word(match[1]) + self.stops[match[2]]
-                else:
-                    others.append(piece)
-            kept.update(zip(others, self._whole([f" {p}" for p in others])))
-        return self._whole([first])[0] + b"".join(map(kept.__getitem__, rest))
+            return self.words.whole(text)
+        return self.words.encode(text, _cut)
+
+
+def _cut(text: str) -> list[str]:
+    pieces = text.split(" ")
+    if _loose(text):
+        pieces = _joined(pieces)
+    return [pieces[0], *(f" {p}" for p in pieces[1:])]
 
 
 _SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c != " ")
