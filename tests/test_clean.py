@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from txmill.functions import to_date, to_float, to_int
 from txmill.operators import clean
 from txmill.plans import clean_job
-from txmill.sources import find_header, header_columns, read_parquet, write_parquet
+from txmill.sources import find_header, header_columns, read_parquet, text, write_parquet
 
 HEADER = (
     "# tranaction_id | tx_datetime | customer_id | terminal_id | tx_amount"
@@ -247,3 +247,75 @@ def test_headers_without_id_or_amount_are_refused(spark):
     names[0], names[4] = "transaction_id", "e"
     with pytest.raises(ValueError, match="tx_amount"):
         clean.clean_transactions(raw_rows(spark, "#", []), names)
+
+
+SWAPPED = HEADER.replace("tranaction_id | tx_datetime", "tx_datetime | tranaction_id")
+
+
+def turned(row):
+    first, second, *rest = row.split(",")
+    return ",".join([second, first, *rest])
+
+
+def row_of(number, terminal=20):
+    return f"{number},2019-08-22 06:51:03,10,{terminal},12.5,100,0,0,0"
+
+
+@pytest.mark.parametrize("broadcast_files", [10, 0])
+def test_every_file_is_read_by_its_own_header(spark, tmp_path, broadcast_files):
+    rows = [row_of(i, i) for i in range(40)]
+    reversed_names = "# " + " | ".join(reversed(HEADER.removeprefix("# ").split(" | ")))
+    source = write_files(
+        tmp_path / "in",
+        **{
+            "a first": ["# a remark", HEADER, *rows[:10], SWAPPED],
+            "b": [turned(rows[10]), SWAPPED, *map(turned, rows[11:20]), "# note", "2019-08-22,bad"],
+            "c none": rows[20:30],
+            "d": [reversed_names.replace("tranaction_id", "transaction_id") + " ", *[",".join(reversed(r.split(","))) for r in rows[30:]]],
+            "e": ["# only | a remark"],
+        },
+    )
+    lines = text.read_file_lines(spark, source)
+    found = clean_job.cleaned_files(lines, broadcast_files=broadcast_files).collect()
+    one = clean.clean_transactions(lines_of(spark, *rows), header_columns(HEADER, 9))
+    assert sorted(map(tuple, found)) == sorted(map(tuple, one.collect())) and len(found) == 40
+    assert clean_job.cleaned_files(lines).columns == one.columns
+
+
+def test_a_hot_file_of_another_layout_is_spread(spark, tmp_path):
+    rows = [row_of(i) for i in range(400)]
+    source = write_files(tmp_path / "in", a=[HEADER, row_of(1000)], b=[SWAPPED, *map(turned, rows)])
+    lines = text.read_file_lines(spark, source)
+    headers = text.file_headers(lines, 9)
+    located = clean.located_fields(lines, headers, header_columns(HEADER, 9), broadcast=False)
+    assert "salt" in located._jdf.queryExecution().executedPlan().toString()
+    assert located.count() == 403
+    assert {tuple(r["positions"])[:2] for r in located.collect()} == {(0, 1), (1, 0)}
+
+
+def test_files_that_lack_a_column_are_refused(spark, tmp_path):
+    other = HEADER.replace("customer_id", "client_id")
+    source = write_files(tmp_path / "in", a=[HEADER, row_of(1)], b=[other, row_of(2)])
+    with pytest.raises(ValueError, match="b.txt names no column customer_id"):
+        clean_job.run(spark, source, str(tmp_path / "out"))
+
+
+def test_headers_that_differ_in_blanks_or_the_keys_old_name_are_one(spark, tmp_path):
+    other = HEADER.replace("tranaction_id", "transaction_id").replace(" | ", "  | ") + " | tenth"
+    source = write_files(tmp_path / "in", a=[HEADER, row_of(1)], b=[other, row_of(2)])
+    clean_job.run(spark, source, str(tmp_path / "out"), check_headers=True)
+    assert read_parquet(spark, str(tmp_path / "out")).count() == 2
+
+
+def test_types_follow_known_names():
+    names = header_columns(SWAPPED, 9)
+    assert clean.types_of(names)[:3] == ["date", "int", "int"]
+    assert clean.types_of(["x", *names[1:]]) == list(clean.FIELD_TYPES)
+
+
+def test_the_job_reports_what_it_drops(spark, tmp_path):
+    rows = [HEADER, row_of(1), row_of(1, 5), row_of(2), "3,bad", "", "# note", row_of(4, "Err")]
+    source = write_files(tmp_path / "in", a=rows)
+    assert clean_job.run(spark, source, str(tmp_path / "plain")) is None
+    found = clean_job.run(spark, source, str(tmp_path / "out"), report=True)
+    assert found == {"records": 6, "incomplete": 3, "repeated": 1, "kept": 2}

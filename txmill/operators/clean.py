@@ -16,6 +16,21 @@ FIELD_SEPARATOR = ","
 RAW_KEY = "tranaction_id"
 KEY = "transaction_id"
 AMOUNT = "tx_amount"
+FIELD_NAMES = (
+    KEY,
+    "tx_datetime",
+    "customer_id",
+    "terminal_id",
+    AMOUNT,
+    "tx_time_seconds",
+    "tx_time_days",
+    "tx_fraud",
+    "tx_fraud_scenario",
+)
+
+#: Files of another layout than the first whose columns are sent to all tasks; beyond, a join.
+BROADCAST_FILES = 10_000
+_SALTS = 64
 
 
 def drop_comments(lines: DataFrame) -> DataFrame:
@@ -26,10 +41,13 @@ def drop_comments(lines: DataFrame) -> DataFrame:
 def _fields(lines: DataFrame, names: Sequence[str], casts: Sequence) -> DataFrame:
     # inline() keeps the record in one Generate step. In a plain projection the optimizer copies
     # the split and the casts into the filter for missing values and runs all of them twice.
-    parts = lines.select(F.split("value", FIELD_SEPARATOR).alias("parts"))
+    located = "positions" in lines.columns
+    parts = lines.select(
+        F.split("value", FIELD_SEPARATOR).alias("parts"), *(["positions"] if located else [])
+    )
     record = F.struct(
         *[
-            cast(F.get("parts", F.lit(i))).alias(name)
+            cast(F.get("parts", F.get("positions", F.lit(i)) if located else F.lit(i))).alias(name)
             for i, (name, cast) in enumerate(zip(names, casts, strict=True))
         ]
     )
@@ -50,10 +68,47 @@ def cast_fields(df: DataFrame, types: Sequence[str] = FIELD_TYPES) -> DataFrame:
 def typed_fields(
     lines: DataFrame, names: Sequence[str], types: Sequence[str] = FIELD_TYPES
 ) -> DataFrame:
-    """``split_fields`` and ``cast_fields`` in one step."""
+    """``split_fields`` and ``cast_fields`` in one step; a column ``positions`` says where fields stand."""
     return _fields(lines, names, [FIELD_CASTS[t] for t in types])
 
 
+def proper_names(names: Sequence[str]) -> list[str]:
+    """Column names with the key's proper one."""
+    return [KEY if n == RAW_KEY else n for n in names]
+
+
+def types_of(names: Sequence[str]) -> list[str]:
+    """Types of columns: by name if all are known, else by position."""
+    known = dict(zip(FIELD_NAMES, FIELD_TYPES))
+    proper = proper_names(names)
+    return [known[n] for n in proper] if set(proper) == set(known) else list(FIELD_TYPES)
+
+
+def located_fields(
+    lines: DataFrame, headers: DataFrame, names: Sequence[str], broadcast: bool = True
+) -> DataFrame:
+    """Add ``positions``, the place of each of ``names`` in the lines of a file, to (value, file) rows.
+
+    ``headers`` has file and names of the files with a header; files without one have the columns of
+    ``names``, and so need no row in the join. Without ``broadcast`` the lines are joined in salted
+    groups, so a file with many of them is spread over tasks.
+    """
+    usual = F.array(*[F.lit(n) for n in proper_names(names)])
+    theirs = F.transform("names", lambda n: F.when(n == F.lit(RAW_KEY), F.lit(KEY)).otherwise(n))
+    others = headers.select("file", theirs.alias("names")).filter(F.col("names") != usual)
+    places = F.transform(usual, lambda n: F.array_position(F.col("names"), n).cast("int") - 1)
+    others = others.select("file", places.alias("positions"))
+    lines = lines.select("value", "file")
+    if broadcast:
+        joined = lines.join(F.broadcast(others), "file", "left")
+    else:
+        salted = others.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        salt = F.pmod(F.xxhash64("value"), F.lit(_SALTS)).cast("int")
+        joined = lines.withColumn("salt", salt).join(salted, ["file", "salt"], "left")
+    default = F.array(*[F.lit(i) for i in range(len(names))])
+    return joined.select("value", F.coalesce("positions", default).alias("positions"))
+
+
 def drop_incomplete(df: DataFrame) -> DataFrame:
     """Drop rows with a NULL or NaN in any column."""
     return df.na.drop("any")
@@ -80,14 +135,21 @@ def keep_one_per_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     )
 
 
-def clean_transactions(lines: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Typed, complete transactions, one per id, from raw lines and their column names.
+def complete_transactions(lines: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Typed, complete transactions from raw lines and their column names; ids may repeat.
 
-    Types go by position, but the id and the amount are found by name, wherever they stand.
+    All columns are found by name, wherever they stand; if the header has unknown names, types go by
+    position, and only the id and the amount are found by name. Lines with ``positions`` (see
+    ``located_fields``) have their fields there.
     """
     for name in (AMOUNT, KEY):
-        if name not in names and not (name == KEY and RAW_KEY in names):
+        if name not in proper_names(names):
             raise ValueError(f"the header names no column {name!r}: {', '.join(names)}")
-    typed = typed_fields(drop_comments(lines), names)
+    typed = typed_fields(drop_comments(lines), names, types_of(names))
     complete = rename_key(drop_incomplete(typed))
-    return keep_one_per_key(complete.withColumn(AMOUNT, F.col(AMOUNT).cast("float")), KEY)
+    return complete.withColumn(AMOUNT, F.col(AMOUNT).cast("float"))
+
+
+def clean_transactions(lines: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``complete_transactions``, one per id."""
+    return keep_one_per_key(complete_transactions(lines, names), KEY)

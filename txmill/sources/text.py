@@ -16,6 +16,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with the ``file`` they stand in and where its part begins, ``block``."""
+    return spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+
+
 def find_header(lines: DataFrame) -> str:
     """First ``#`` line. Spark reads as few partitions as it needs to meet one."""
     row = lines.filter(F.col("value").startswith(COMMENT)).first()
@@ -32,11 +41,16 @@ def header_columns(header: str, required: int) -> list[str]:
     return names[:required]
 
 
-def other_headers(lines: DataFrame, header: str, required: int) -> DataFrame:
-    """``#`` lines that name as many columns as a header, but not those of ``header``."""
+def file_headers(lines: DataFrame, required: int) -> DataFrame:
+    """file and names: the columns of each file by its own first header, one row per file with one.
+
+    A ``#`` line that names fewer than ``required`` columns is a remark, not a header.
+    """
     value = F.col("value")
-    return lines.filter(
-        value.startswith(COMMENT)
-        & (F.size(F.split(value, r" \| ")) >= required)
-        & (F.rtrim(value) != F.lit(header.rstrip()))
+    text = F.substring(value, HEADER_PREFIX_LENGTH + 1, (1 << 31) - 1)
+    names = F.transform(F.split(text, r" \| "), lambda n: F.regexp_replace(n, r"(?U)^\s+|\s+$", ""))
+    headers = lines.filter(value.startswith(COMMENT)).select(
+        "file", F.struct("block", F.monotonically_increasing_id().alias("line")).alias("place"), names.alias("names")
     )
+    first = headers.filter(F.size("names") >= required).groupBy("file").agg(F.min_by("names", "place").alias("names"))
+    return first.select("file", F.slice("names", 1, required).alias("names"))
