@@ -17,10 +17,11 @@ _SLOT_HEX = 8
 SLOTS = 4
 
 
-def digest(key: str | Sequence[str], salt: object) -> Column:
+def digest(key: str | Column | Sequence[str], salt: object) -> Column:
     """MD5 of the key columns and a salt, in hex. It has room for four independent numbers."""
-    names = [key] if isinstance(key, str) else list(key)
-    return F.md5(F.concat_ws("|", F.lit(str(salt)), *[F.col(n).cast("string") for n in names]))
+    keys = [key] if isinstance(key, str | Column) else list(key)
+    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+    return F.md5(F.concat_ws("|", F.lit(str(salt)), *[c.cast("string") for c in columns]))
 
 
 def slot(hexadecimal: Column, number: int = 0) -> Column:
@@ -29,7 +30,7 @@ def slot(hexadecimal: Column, number: int = 0) -> Column:
     return F.conv(part, 16, 10).cast("bigint")
 
 
-def hash32(key: str | Sequence[str], salt: object = 42) -> Column:
+def hash32(key: str | Column | Sequence[str], salt: object = 42) -> Column:
     """Integer in [0, 2**32) from the key columns and a salt."""
     return slot(digest(key, salt))
 

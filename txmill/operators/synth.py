@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txmill.functions.hashing import SLOTS, digest, normal, slot, uniform
-from txmill.operators.split import SEED, shuffled_position
+from txmill.functions.permutation import permuted
+from txmill.operators.split import SEED
 
 # Size, share of fraud, id format, and how far timestamps go back.
 ROWS = 100_000
@@ -138,14 +139,21 @@ def synthetic_transactions(
     fraud_rate: float = FRAUD_RATE,
     seed: int = SEED,
     shuffle: bool = False,
+    places: range | None = None,
 ) -> DataFrame:
     """``count`` transactions whose times lie in the 30 days before ``anchor``.
 
-    ``shuffle`` mixes the two classes: ids follow a shuffled order instead of the class.
+    ``shuffle`` mixes the two classes: ids follow a permutation of the rows instead of the class.
+    ``places`` makes only the rows that another permutation puts there; ranges that share no place
+    share no row, so they are exact samples without a look at the other rows. All of it is a
+    projection of row numbers: nothing is shuffled, sorted or counted.
     """
-    rows = spark.range(count)
+    chosen = places if places is not None else range(count)
+    rows = spark.range(chosen.start, chosen.stop, chosen.step)
+    if places is not None:
+        rows = rows.select(permuted(F.col("id"), count, f"sample-{seed}").alias("id"))
     if shuffle:
-        rows = shuffled_position(rows, "id", seed)
+        rows = rows.withColumn("position", permuted(F.col("id"), count, f"shuffle-{seed}"))
     return transactions_for(
         rows,
         "id",
