@@ -1,11 +1,13 @@
 import itertools
+import math
+import struct
 
 import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from txmill.operators.chunks import positions, running, score_cells
+from txmill.operators.chunks import ordered_bits, positions, running
 
 
 @pytest.fixture(scope="module")
@@ -48,33 +50,36 @@ def test_rows_are_shuffled_once_and_never_joined(history):
     assert "hashpartitioning(k" in plan and "SinglePartition" not in plan
 
 
-def cells(spark, values):
+def bits_of(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    coarse, fine = score_cells(F.col("x") + F.lit(0.0))
-    return [(r["x"], r["c"], r["f"]) for r in df.select("x", coarse.alias("c"), fine.alias("f")).orderBy("x").collect()]
+    return [r[0] for r in df.select(ordered_bits(F.col("x") + F.lit(0.0))).collect()]
 
 
-def test_cells_keep_the_order(spark):
-    special = [float("inf"), float("-inf"), float("nan"), 5e-324, -5e-324, 0.0]
-    values = [3.0, 1.0, 1.0, 7.0, -2.0, 9.0, 1e300, -1e300, 0.5, 0.5000001, 0.49999999, *special]
-    found = [(c, f) for _, c, f in cells(spark, values)]
-    assert found == sorted(found)
-    assert len({(c, f) for x, c, f in cells(spark, values) if x == 1.0}) == 1
+def pattern(value):
+    """The number's own 64-bit pattern, with the sign carried over."""
+    size = struct.unpack("<q", struct.pack("<d", abs(value)))[0]
+    return -size if value < 0 else size
 
 
-def test_cells_of_random_values_keep_the_order(spark):
-    rng = np.random.default_rng(0)
-    values = [*rng.normal(size=2000), *np.exp(rng.normal(size=2000) * 50), *rng.random(2000) / 1e6 + 0.25]
-    found = [(c, f) for _, c, f in cells(spark, map(float, values))]
-    assert found == sorted(found)
+SPECIAL = [
+    0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, -(2.0**-1022), 2.0**-1022 - 5e-324, 1.7976931348623157e308,
+    math.inf, -math.inf, 0.5, math.nextafter(0.5, 0), math.nextafter(0.5, 1), 1.0, math.nextafter(1.0, 0),
+    math.nextafter(1.0, 2), 3.0, -2.0, 1e300, -1e300, *(2.0**k for k in range(-1074, 1024, 7)),
+    *(math.nextafter(2.0**k, 0) for k in range(-1000, 1024, 9)),
+]
 
 
-def test_both_zeros_share_a_cell(spark):
-    assert len({(c, f) for x, c, f in cells(spark, [-0.0, 0.0, 0.0]) if x == 0.0}) == 1
+def test_the_image_is_the_numbers_pattern(spark):
+    rng = np.random.default_rng(0)
+    random = [*rng.normal(size=2000), *np.exp(rng.normal(size=2000) * 100), *(1 - rng.random(2000) * 1e-12)]
+    values = [*SPECIAL, *map(float, random)]
+    assert bits_of(spark, values) == [pattern(v) for v in values]
 
 
-def test_cells_of_an_empty_column(spark):
-    assert cells(spark, []) == []
+def test_nan_comes_last_and_nothing_is_nothing(spark):
+    nan, infinite = bits_of(spark, [float("nan"), float("inf")])
+    assert nan > infinite
+    assert bits_of(spark, [None]) == [None] and bits_of(spark, []) == []
 
 
 def test_positions_count_over_two_levels(spark):

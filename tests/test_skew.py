@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from txmill.operators import clean, metrics, registry
-from txmill.operators.chunks import running, score_cells
+from txmill.operators.chunks import ordered_bits, running
 
 ROWS = 40_000
 
@@ -75,6 +75,23 @@ def test_versions_of_one_moment_are_spread_over_tasks(one_model, no_merging):
     assert ids == sorted(ids)
 
 
+def test_versions_of_one_moment_with_alike_ids_are_spread_over_tasks(one_model, no_merging):
+    """Ids that differ only in their last characters, and a third of them registered again."""
+    registrations = one_model.select(
+        "model_name",
+        F.format_string("run-%09d", "version").alias("run_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000)).alias("recorded_at"),
+    )
+    again = registrations.filter(F.col("run_id") < "run-000013333").withColumn(
+        "recorded_at", F.timestamp_seconds(F.lit(1_800_000_000))
+    )
+    numbered = registry.model_versions(registrations.unionByName(again))
+    assert numbered.columns == [*registrations.columns, "version"]
+    assert largest_share(numbered) < 0.4
+    assert numbered.count() == ROWS
+    assert numbered.filter(F.format_string("run-%09d", F.col("version") - 1) != F.col("run_id")).count() == 0
+
+
 def test_scores_are_spread_over_tasks(spark, no_merging):
     scores = spark.range(ROWS).select(
         F.when(F.col("id") % 3 == 0, F.lit(0.5))
@@ -93,10 +110,19 @@ def test_scores_with_a_common_start_are_spread_over_tasks(spark, no_merging):
     assert_cells_spread(scores)
 
 
+def test_saturated_scores_are_spread_over_tasks(spark, no_merging):
+    """All within 4e-8 of 1, where cells of 24 fraction bits would be one."""
+    scores = spark.range(ROWS).select(
+        (F.lit(1.0) - F.pmod(F.xxhash64("id"), F.lit(10**6)) * F.lit(3e-14)).alias("score"),
+        (F.col("id") % 7 == 0).cast("int").alias("label"),
+    )
+    assert_cells_spread(scores)
+
+
 def assert_cells_spread(scores):
-    coarse, fine = score_cells(F.col("score"))
-    distinct = scores.select("score", coarse.alias("c"), fine.alias("f")).distinct()
-    assert largest_share(distinct.repartition("c", "f")) < 0.4
+    cell = F.shiftright(ordered_bits(F.col("score")), metrics._CELL_SHIFTS[0])
+    distinct = scores.select("score", cell.alias("c")).distinct()
+    assert largest_share(distinct.repartition("c")) < 0.4
     rows = [(r["score"], r["label"]) for r in scores.collect()]
     rows.sort()
     below = pairs = 0

@@ -6,32 +6,39 @@ the window runs inside a chunk, and what earlier chunks add up to comes from one
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Slices of a factor of two in a score's size, twice: the coarse ones are cut into as many again.
-_SLICES = 4096
-_ABOVE_ALL = 3000.0
+_SMALLEST_NORMAL = 2.0**-1022
+_SMALLEST = 5e-324
+_FRACTION = 1 << 52
 
 
-def score_cells(score: Column) -> tuple[Column, Column]:
-    """Coarse and fine cell of a double: equal scores share both, and cells keep the order.
+def ordered_bits(score: Column) -> Column:
+    """Order-preserving image of a double in the whole numbers: equal scores, and only those, share one.
 
-    The place is the logarithm of the size, with the sign, so no pass over the data is needed to
-    set boundaries, and a narrow band of scores is still cut into many cells. NaN comes last.
+    It is the number's own 64-bit pattern, with the sign carried over, put together from exponent and
+    fraction by exact arithmetic. Both zeros are 0; NaN comes last. Cells that follow from its leading
+    bits need no pass over the data, and however close scores lie, further bits tell them apart.
     """
-    size = F.least(F.log2(F.abs(score)) + F.lit(1100.0), F.lit(2200.0))
-    place = (
-        F.when(F.isnan(score), F.lit(_ABOVE_ALL))
-        .when(score == F.lit(0.0), F.lit(0.0))
-        .otherwise(F.signum(score) * size)
-    ) * F.lit(float(_SLICES))
-    coarse = F.floor(place)
-    fine = F.floor((place - coarse) * F.lit(float(_SLICES)))
-    return coarse, fine
+    size = F.abs(score)
+    guess = F.greatest(F.lit(-1022), F.least(F.lit(1023), F.floor(F.log2(size)))).cast("int")
+    power = F.pow(F.lit(2.0), guess)
+    exponent = guess + F.when(size < power, F.lit(-1)).when(size / power >= F.lit(2.0), F.lit(1)).otherwise(F.lit(0))
+    fraction = (size / F.pow(F.lit(2.0), exponent) - F.lit(1.0)) * F.lit(float(_FRACTION))
+    normal = (exponent + F.lit(1023)).cast("bigint") * F.lit(_FRACTION) + fraction.cast("bigint")
+    bits = (
+        F.when(size == F.lit(0.0), F.lit(0))
+        .when(size == F.lit(math.inf), F.lit(2047 * _FRACTION))
+        .when(size < F.lit(_SMALLEST_NORMAL), (size / F.lit(_SMALLEST)).cast("bigint"))
+        .otherwise(normal)
+    )
+    signed = F.when(score < F.lit(0.0), -bits).otherwise(bits)
+    return F.when(F.isnan(score), F.lit(2048 * _FRACTION - 1)).otherwise(signed)
 
 
 def running(

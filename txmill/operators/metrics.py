@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txmill.operators.chunks import score_cells
+from txmill.operators.chunks import ordered_bits
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -82,22 +82,26 @@ def classification_metrics(
     )
 
 
+#: Bits of a score's image below which cells of each level begin; the last level has 2**12 cells.
+_CELL_SHIFTS = (14, 28, 42, 52)
+
+
 def area_under_roc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Exact area under the ROC curve as one row; NULL unless both classes occur.
 
-    Rows with the same score are added up first. Distinct scores are then ranked inside fine cells
-    of the score, and the negatives of lower cells are added from one row per cell, so no task sees
-    all scores. One pass over the input. Rows without score or label do not count.
+    Rows with the same score are added up first. Distinct scores are then ranked inside cells of
+    their 64-bit image, one group of bits after the other, and the negatives of lower cells are added
+    from one row per cell. A window holds at most 2**14 rows, whatever the scores are: even if all
+    are within a hair of 1. One pass over the input. Rows without score or label do not count.
     """
     rows = df.select(
         (F.col(score).cast("double") + F.lit(0.0)).alias("score"),  # turns -0.0 into 0.0
         (F.col(label) == F.lit(1)).alias("positive"),
     ).filter(F.col("score").isNotNull() & F.col("positive").isNotNull())
-    coarse, fine = score_cells(F.col("score"))
     ties = (
         rows.groupBy("score")
         .agg(F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg"))
-        .withColumns({"coarse": coarse, "fine": fine})
+        .withColumn("bits", ordered_bits(F.col("score")))
     )
 
     def before(window) -> Column:
@@ -121,10 +125,14 @@ def area_under_roc(df: DataFrame, label: str = "label", score: str = "score") ->
             )
         )
 
-    tied = ties.withColumn("pairs", twice(F.col("neg")))
-    cells = added(tied, before(Window.partitionBy("coarse", "fine").orderBy("score")), "coarse", "fine")
-    slices = added(cells, before(Window.partitionBy("coarse").orderBy("fine")), "coarse")
-    whole = added(slices, before(Window.orderBy("coarse")))
+    # One row per cell, and in the end one in all.
+    cells = ties.withColumn("pairs", twice(F.col("neg")))
+    for shift in _CELL_SHIFTS:
+        outer = F.shiftright("bits", shift)
+        window = Window.partitionBy("outer").orderBy("bits")
+        cells = added(cells.withColumn("outer", outer), before(window), "outer")
+        cells = cells.withColumn("bits", F.shiftleft("outer", shift)).drop("outer")
+    whole = added(cells, before(Window.orderBy("bits")))
     return whole.select(
         F.try_divide(
             F.col("pairs").cast("double"),

@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 
-from txmill.functions.times import wall_clock_seconds
-from txmill.operators.chunks import positions, running
+from txmill.operators.chunks import running
 from txmill.operators.clean import keep_one_per_key
+from txmill.sources.scratch import scratch_path
 
 # The names under which options and results of a run are kept.
 RUNS_SCHEMA = (
@@ -29,9 +28,6 @@ CHAMPION = "champion"
 CHALLENGER = "challenger"
 MODEL_NAME_FORMAT = "{experiment}_model"
 
-# Leading characters of a run id that tell registrations of one moment apart.
-_ID_PREFIX = 3
-
 # Versions of one model that share a window task.
 _VERSIONS_PER_CHUNK = 1_000_000
 
@@ -52,23 +48,31 @@ def register_run(spark: SparkSession, path: str, model_name: str, run_id: str) -
 
 
 def model_versions(registrations: DataFrame) -> DataFrame:
-    """Number the registrations of each model 1, 2, ... by time, then run id.
+    """Number the runs registered for each model 1, 2, ... by time, then run id; runs at once.
 
-    Histories are cut by hour, and hours by time and the first characters of the run id, so that
-    neither a busy model nor a busy moment meets in one task.
+    A run that was registered again, by a retry, counts once, with its first time. Registrations are
+    sorted into ranges of equal size, whose ends Spark takes from a sample: wherever ids or moments
+    crowd, further ends fall between them. Sorted once, they are stored with their place; the version
+    follows from the place and one row per range and model, so nothing is counted inside a model.
     """
-    at = F.col("recorded_at")
-    zoneless = isinstance(registrations.schema["recorded_at"].dataType, TimestampNTZType)
-    seconds = wall_clock_seconds(at) if zoneless else F.unix_seconds(at)
-    start = F.transform(
-        F.sequence(F.lit(1), F.lit(_ID_PREFIX)), lambda i: F.ascii(F.substring(F.col("run_id"), i, F.lit(1)))
-    )
-    cut = registrations.withColumns(
-        {"_hour": F.floor(seconds / F.lit(3600)), "_cell": F.struct(at.alias("at"), start.alias("start"))}
+    columns = registrations.columns
+    others = [c for c in columns if c not in ("model_name", "run_id", "recorded_at")]
+    ordered = registrations.select("model_name", "run_id", "recorded_at", *others)
+    order = ["model_name", "recorded_at", "run_id"]
+    sorted_rows = keep_one_per_key(ordered, ["model_name", "run_id"]).repartitionByRange(*order).sortWithinPartitions(*order)
+    # Rows of a partition are numbered one by one, from a start of its own.
+    path = scratch_path(registrations.sparkSession, "versions")
+    sorted_rows.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    rows = registrations.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    earlier = Window.partitionBy("model_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = rows.groupBy("model_name", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    ranges = ranges.select(
+        F.struct("model_name", "_part").alias("_range"), (before - F.col("_first") + F.lit(1)).alias("_shift")
     )
-    return positions(
-        cut, ["model_name"], "_hour", "_cell", ["recorded_at", "run_id"], "version"
-    ).drop("_hour", "_cell")
+    # Structs compare NULL names as equal.
+    joined = rows.join(ranges, F.struct("model_name", "_part") == F.col("_range"))
+    return joined.select(*columns, (F.col("_at") + F.col("_shift")).alias("version"))
 
 
 def version_history(registrations: DataFrame, runs: DataFrame) -> DataFrame:
