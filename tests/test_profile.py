@@ -40,3 +40,9 @@ def test_inline_rows(spark):
     df = rows_to_table(spark, [(7, 0.5, None), (8, 1.5, "late")], ["n", "share", "note"])
     assert df.dtypes == [("n", "bigint"), ("share", "double"), ("note", "string")]
     assert [r["note"] for r in df.orderBy("n").collect()] == [None, "late"]
+
+
+
+def test_missing_columns(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (None, None, None), (3, "x", float("nan"))], "a int, b string, c double")
+    assert [r[0] for r in df.select(profile.missing_columns(df.columns)).collect()] == [["b"], ["a", "b", "c"], []]

@@ -8,7 +8,8 @@ from txmill.operators import features, registry, synth
 from txmill.operators import model as models
 from txmill.operators.features import LABEL
 from txmill.operators.split import hash_split
-from txmill.plans import retrain_job
+from txmill.plans import retrain_job, score_job
+from txmill.sources import read_parquet
 
 SMALL = models.Grid(num_trees=(3, 5), max_depth=(2,))
 
@@ -105,7 +106,42 @@ def test_train_nulls_are_reported(spark):
     df = spark.createDataFrame(
         [("train", None, 1), ("train", 1, 1), ("test", None, None)], "p string, a int, b int"
     )
-    assert retrain_job.describe_parts(df, "p") == ({"train": 2, "test": 1}, {"a": 1})
+    stored, rows, nulls = retrain_job.store_parts(df, "p", ["b"], "b", 42)
+    assert (rows, nulls) == ({"train": 2, "test": 1}, {"a": 1})
+    assert stored.columns == ["b", "fold", "p"] and stored.count() == 3
+
+
+@pytest.mark.parametrize("partitions", [None, 3])
+def test_the_source_is_read_once(spark, learnable, partitions):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(value):
+        read.add(1)
+        return value
+
+    rows = spark.read.parquet(learnable).withColumn("tx_time_days", counted("tx_time_days"))
+    _, report = retrain_job.train_and_evaluate(rows, grid=SMALL, partitions=partitions)
+    assert sum(report.rows.values()) == 3_000 == read.value
+
+
+def test_cross_validation_reads_the_source_once(spark, learnable):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(value):
+        read.add(1)
+        return value
+
+    rows = spark.read.parquet(learnable).withColumn("tx_time_days", counted("tx_time_days"))
+    models.cross_validate(rows, ["tx_amount", "tx_time_days"], "transaction_id", model_type="lr")
+    assert read.value == 3_000
+
+
+def test_the_report_shows_schema_and_first_rows(trained):
+    _, report = trained
+    assert report.schema[0] == (0, "transaction_id", "int") and len(report.schema) == 10
+    assert len(report.first_rows) == 5 and report.first_rows == sorted(report.first_rows)
 
 
 def test_training_repeats_itself_on_another_layout(spark, learnable, trained, tmp_path):
@@ -196,6 +232,26 @@ def test_cycle_keeps_the_better_model(spark, learnable, tmp_path):
     scored = models.score(champion, hash_split(spark.read.parquet(learnable), "transaction_id")[1])
     assert models.evaluate(scored)["auc"] == pytest.approx(better["auc"])
     assert retrain_job.load_champion(spark, kept, "another") is None
+    dirty = spark.read.parquet(learnable).withColumns(
+        {
+            "tx_amount": F.when(F.col("transaction_id") == 1, F.lit(float("nan"))).otherwise(F.col("tx_amount")),
+            "customer_id": F.when(F.col("transaction_id") == 2, None).otherwise(F.col("customer_id")),
+            "probability": F.lit("a column of that name"),
+        }
+    )
+    source, scores = str(tmp_path / "dirty"), str(tmp_path / "scores")
+    dirty.write.parquet(source)
+    counts = score_job.run(spark, source, kept, scores, mode="replace")
+    batch = read_parquet(spark, scores)
+    assert counts == {"rows": 3_000, "frauds": batch.filter("prediction = 1").count(), "unscored": 2}
+    known = {r["transaction_id"]: r["prediction"] for r in models.score(champion, spark.read.parquet(learnable)).collect()}
+    for r in batch.collect():
+        expected = None if r["transaction_id"] in (1, 2) else known[r["transaction_id"]]
+        assert r["prediction"] == expected and (r["fraud_probability"] is None) == (expected is None)
+    with pytest.raises(ValueError, match="no champion"):
+        score_job.run(spark, source, kept, scores, experiment="another")
+    with pytest.raises(ValueError, match="lacks tx_amount"):
+        score_job.scored_rows(champion, dirty.drop("tx_amount"))
     runs = spark.read.parquet(f"{kept}/runs")
     assert runs.count() == 4
     assert runs.filter("run_name = 'good'").first()["numTrees_options"] == [3]
@@ -228,12 +284,14 @@ def test_dealt_out_rows_give_one_model_on_any_layout(spark, sf_dir):
 
 def test_report_lines():
     done = {
+        "schema": [(0, "a", "int")], "first_rows": [(1, 2.5)],
         "rows": {"train": 8, "test": 2}, "features": ["a", "b"], "train_nulls": {"b": 3}, "model_type": "rf",
         "auc": 0.9, "accuracy": 0.8, "f1": 0.7, "best_numTrees": 10, "best_maxDepth": 5, "promoted": True,
         "champion_before": {"version": 1, "auc": 0.6, "accuracy": 0.5, "f1": 0.4}, "improvement_pct": 50.0,
     }
     lines = retrain_job.report_lines(done)
     assert "warning: 3 missing values in b" in lines and "improvement: 50.00 %" in lines
+    assert lines[:2] == ["column 0: a int", "row: (1, 2.5)"]
     assert "best: 10 trees of depth 5" in lines and lines[-1] == "promoted to champion"
     bare = {**done, "best_numTrees": None, "champion_before": None, "improvement_pct": None, "promoted": None}
     assert not any(x.startswith(("best", "champion", "improvement", "promoted")) for x in retrain_job.report_lines(bare))

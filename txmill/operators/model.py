@@ -18,6 +18,7 @@ from txmill.functions.hashing import fold_of
 from txmill.operators.features import LABEL, RAW_VECTOR, VECTOR
 from txmill.operators.metrics import area_under_roc, classification_metrics
 from txmill.operators.split import SEED
+from txmill.sources.scratch import scratch_path
 
 # The forest, the grid searched, and the number of folds.
 NUM_TREES = 10
@@ -95,6 +96,23 @@ def laid_out(df: DataFrame, key: str, partitions: int | None = None) -> DataFram
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
+def training_table(
+    train: DataFrame,
+    columns: Sequence[str],
+    key: str,
+    *,
+    label: str = LABEL,
+    folds: int = FOLDS,
+    seed: int = SEED,
+) -> DataFrame:
+    """Key, features, label and fold, stored in the shared folder; reads ``train`` once."""
+    needed = list(dict.fromkeys([key, *columns, label]))
+    folded = with_fold(train.select(*needed), key, folds, seed)
+    path = scratch_path(train.sparkSession, "training")
+    folded.write.parquet(path)
+    return train.sparkSession.read.schema(folded.schema).parquet(path)
+
+
 def cross_validate(
     train: DataFrame,
     columns: Sequence[str],
@@ -106,11 +124,14 @@ def cross_validate(
     grid: Grid | None = None,
     seed: int = SEED,
     parallelism: int = 4,
+    partitions: int | None = None,
 ) -> CrossValidatorModel:
     """Choose the parameters with the best mean AUC over the folds and refit on all of ``train``.
 
-    Runs at once. Folds come from the key's hash, so they are the same in every layout. Only the
-    columns needed are kept while fitting.
+    Runs at once. Folds come from the key's hash, so they are the same in every layout. ``train`` is
+    read once, into a narrow table in the shared folder that all fits scan; a table that already has
+    a column ``fold`` is taken as such a one. With ``partitions`` its rows are laid out by key and
+    held, so they are dealt out once.
     """
     classifier = build_classifier(model_type, label=label, seed=seed)
     validator = CrossValidator(
@@ -122,8 +143,17 @@ def cross_validate(
         seed=seed,
         parallelism=parallelism,
     )
-    # The validator caches both sides of each fold itself, so the whole is not cached as well.
-    return validator.fit(with_fold(train, key, folds, seed).select(*columns, label, "fold"))
+    if "fold" not in train.columns:
+        train = training_table(train, columns, key, label=label, folds=folds, seed=seed)
+    # The validator holds both sides of a fold while it fits them; the refit reads the whole.
+    rows = laid_out(train, key, partitions).select(*columns, label, "fold")
+    if partitions is None:
+        return validator.fit(rows)
+    rows = rows.persist()
+    try:
+        return validator.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def best_parameters(model: PipelineModel) -> dict[str, int | None]:

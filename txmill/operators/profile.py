@@ -48,3 +48,9 @@ def first_rows(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
 def schema_report(df: DataFrame) -> list[tuple[int, str, str]]:
     """Position, name and type of each column; reads no data."""
     return [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]
+
+
+def missing_columns(columns: Sequence[str]) -> Column:
+    """Names of the columns that are NULL in a row, as an array; empty in most rows."""
+    found = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+    return F.array_compact(found)

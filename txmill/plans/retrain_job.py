@@ -23,9 +23,10 @@ from txmill.operators import model as models
 from txmill.operators import registry
 from txmill.operators.clean import KEY
 from txmill.operators.features import LABEL, feature_columns
-from txmill.operators.profile import split_profile
-from txmill.operators.split import SEED, hash_split, random_split, with_split
+from txmill.operators.profile import first_rows, group_counts, missing_columns, schema_report
+from txmill.operators.split import SEED, random_split, with_split
 from txmill.sources.objectstore import s3a_settings
+from txmill.sources.scratch import scratch_path
 from txmill.sources.tables import read_parquet
 
 # Defaults of the job's options.
@@ -37,6 +38,8 @@ RUN_NAME_FORMAT = "fraud_detection_{model_type}_{source}"
 class Report:
     """What a training run found."""
 
+    schema: list[tuple[int, str, str]]
+    first_rows: list[tuple]
     features: list[str]
     rows: dict[str, int]
     train_nulls: dict[str, int]
@@ -52,15 +55,24 @@ def default_run_name(model_type: str, source: str) -> str:
     return RUN_NAME_FORMAT.format(model_type=model_type, source=os.path.basename(source))
 
 
-def describe_parts(parts: DataFrame, part: str) -> tuple[dict[str, int], dict[str, int]]:
-    """Rows per part, and the columns of the training part that hold NULLs; one job, two rows."""
-    rows: dict[str, int] = {"train": 0, "test": 0}
-    nulls: dict[str, int] = {}
-    for found in split_profile(parts, part).collect():
-        rows[found[part]] = found["rows"]
-        if found[part] == "train":
-            nulls = {c: found[c] for c in parts.columns if c != part and found[c] > 0}
-    return rows, nulls
+def store_parts(
+    parts: DataFrame, part: str, needed: Sequence[str], key: str, seed: int
+) -> tuple[DataFrame, dict[str, int], dict[str, int]]:
+    """Needed columns, fold and part, stored; rows per part; columns of the training part with NULLs.
+
+    The one reading of the source: which columns are NULL is stored with each row, and counted there.
+    """
+    missing = missing_columns([c for c in parts.columns if c != part])
+    rows = models.with_fold(parts.withColumn("_missing", missing), key, seed=seed)
+    rows = rows.select(*needed, "fold", part, "_missing")
+    path = scratch_path(parts.sparkSession, "training")
+    rows.write.parquet(path)
+    stored = parts.sparkSession.read.schema(rows.schema).parquet(path)
+    sizes = {"train": 0, "test": 0} | {r[part]: r["rows"] for r in group_counts(stored, part).collect()}
+    nulls = stored.filter(F.col(part) == F.lit("train")).select(F.explode("_missing").alias("column"))
+    found = {r["column"]: r["rows"] for r in group_counts(nulls, "column").collect()}
+    in_order = {c: found[c] for c in parts.columns if c in found}
+    return stored.drop("_missing"), sizes, in_order
 
 
 def train_and_evaluate(
@@ -77,7 +89,7 @@ def train_and_evaluate(
     partitions: int | None = None,
     exact_auc: bool = False,
 ) -> tuple[PipelineModel, Report]:
-    """Split, tune, fit and test; runs at once.
+    """Split, tune, fit and test; runs at once, and reads ``df`` once (twice with ``layout_split``).
 
     The split hashes the key. ``layout_split`` takes Spark's ``randomSplit`` instead, which only
     repeats itself on unchanged files. ``partitions`` deals the training rows out by key, so that
@@ -91,12 +103,11 @@ def train_and_evaluate(
             test.withColumn("_part", F.lit("test"))
         )
     else:
-        train, test = hash_split(df, key, seed=seed)
         parts = with_split(df, key, seed=seed, out="_part")
-    rows, nulls = describe_parts(parts, "_part")
-    train, test = train.select(*needed), test.select(*needed)
+    stored, rows, nulls = store_parts(parts, "_part", needed, key, seed)
+    train, test = (stored.filter(F.col("_part") == F.lit(p)).drop("_part") for p in ("train", "test"))
     tuned = models.cross_validate(
-        models.laid_out(train, key, partitions),
+        train,
         features,
         key,
         model_type=model_type,
@@ -104,11 +115,20 @@ def train_and_evaluate(
         grid=grid,
         seed=seed,
         parallelism=parallelism,
+        partitions=partitions,
     )
     best = tuned.bestModel
     found = models.evaluate(models.score(best, test), label, exact_auc=exact_auc)
+    sample = first_rows(train.select(*needed), [key]).collect()
     return best, Report(
-        features, rows, nulls, model_type, **found, **models.best_parameters(best)
+        schema_report(df),
+        [tuple(r) for r in sample],
+        features,
+        rows,
+        nulls,
+        model_type,
+        **found,
+        **models.best_parameters(best),
     )
 
 
@@ -222,7 +242,9 @@ def load_champion(
 
 def report_lines(done: dict) -> list[str]:
     """The result of ``retrain`` as text."""
-    lines = [
+    lines = [f"column {i}: {name} {kind}" for i, name, kind in done["schema"]]
+    lines += [f"row: {row}" for row in done["first_rows"]]
+    lines += [
         f"rows: {done['rows']['train']} train, {done['rows']['test']} test",
         f"features: {', '.join(done['features'])}",
     ]
