@@ -81,8 +81,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.explode(F.array(dirty)).alias("value"))
 
 
-def reordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines with the customer's column first and the id third, in data and header."""
+def _reordered(lines: DataFrame) -> DataFrame:
     names = HEADER.removeprefix("# ").split(" | ")
     names[0], names[2] = names[2], names[0]
     parts = F.split("value", ",")
@@ -94,7 +93,20 @@ def reordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.size(parts) > F.lit(3), swapped)
         .otherwise(F.col("value"))
     )
-    return raw_lines(spark, sf_dir).select(value.alias("value"))
+    return lines.select(value.alias("value"))
+
+
+def reordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with the customer's column first and the id third, in data and header."""
+    return _reordered(raw_lines(spark, sf_dir))
+
+
+def lines_in_two_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Half of the lines as they are, the others reordered; both with header lines."""
+    lines = raw_lines(spark, sf_dir)
+    first = F.crc32(F.col("value").cast("binary")) % F.lit(2) == F.lit(0)
+    header = F.col("value").startswith("#")
+    return lines.filter(first | header), _reordered(lines.filter(~first | header))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

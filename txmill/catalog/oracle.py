@@ -256,6 +256,33 @@ def _smallest(keys: str, others: str) -> str:
 WHERE n = 1"""
 
 
+def _round_of_permutation(i: int) -> str:
+    """One digit of the place is moved by a hash of the other."""
+    moved, other, size = ("l", "r", "high") if i % 2 == 0 else ("r", "l", "low")
+    return (
+        f"round_{i} AS (SELECT x, {other}, "
+        f"({moved} + {_hash(other, f'permute-sample-42-{i}')}) % {size} AS {moved}, high, low FROM round_{i - 1})"
+    )
+
+
+# The whole grid is permuted, and places outside are followed until they lead inside.
+_PLACES = f"""WITH RECURSIVE sizes AS (
+    SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS low FROM events),
+grid AS (SELECT n, low, (n + low - 1) // low AS high FROM sizes),
+round_start AS (
+    SELECT x, x // low AS l, x % low AS r, high, low
+    FROM (SELECT unnest(range(0, (SELECT high * low FROM grid))) AS x), grid),
+{", ".join(_round_of_permutation(i) for i in range(6)).replace("FROM round_-1", "FROM round_start")},
+permutation AS (SELECT x, l * low + r AS y FROM round_5),
+walk AS (
+    SELECT x, y FROM permutation WHERE x < (SELECT n FROM sizes)
+    UNION ALL
+    SELECT walk.x, permutation.y FROM walk JOIN permutation ON walk.y = permutation.x
+    WHERE walk.y >= (SELECT n FROM sizes))
+SELECT x AS event_id, y AS place, y < (SELECT round(0.8 * n) FROM sizes) AS sampled
+FROM walk WHERE y < (SELECT n FROM sizes)"""
+
+
 ORACLE: dict[str, str] = {
     "scan_lines": f"WITH {RAW} SELECT value FROM raw",
     "header_columns": f"""WITH {RAW},
@@ -302,6 +329,14 @@ numbered AS (
 SELECT * EXCLUDE (n, tranaction_id) REPLACE ({_SHOWN}), tranaction_id AS transaction_id
 FROM numbered WHERE n = 1""",
     "clean_job_files": _CLEAN,
+    "clean_own_headers": _CLEAN,
+    "clean_job_replace": _CLEAN,
+    "clean_job_report": f"""WITH {COMPLETE}
+SELECT (SELECT count(*) FROM data) AS records,
+       (SELECT count(*) FROM data) - count(*) AS incomplete,
+       count(*) - count(DISTINCT tranaction_id) AS repeated,
+       count(DISTINCT tranaction_id) AS kept
+FROM complete""",
     "read_parquet": "SELECT event_id, user_id, event_type, value FROM events",
     "read_back": f"WITH {TX} SELECT {_REPORT} FROM tx",
     "csv_round_trip": f"WITH {TX} SELECT {_REPORT} FROM tx",
@@ -349,6 +384,7 @@ FROM tx GROUP BY 1""",
 SELECT {_id("event_id")} AS transaction_id, {_timestamp(_uniform("row-42-0"))},
        {", ".join(_column(c) for c in DRAWS)}, fraud
 FROM labelled""",
+    "synth_places": _PLACES,
     "synth_shuffled": f"""WITH {_LABELLED},
 placed AS (
     SELECT *, row_number() OVER (ORDER BY {_hash("event_id", "shuffle-42")}, event_id) - 1 AS place
@@ -366,6 +402,14 @@ SELECT {_id("place")} AS transaction_id, fraud, {_column("hour_of_day")} FROM pl
     FROM lineitem)"""
     ),
     "auc_evaluator": _auc(SCORED),
+    "auc_binned": f"""SELECT auc, TRUE AS binned_is_auc, TRUE AS binned_is_near
+FROM ({_auc(SCORED)})""",
+    "auc_saturated": _auc(
+        """scored AS (
+    SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label,
+           1.0::DOUBLE - l_extendedprice * 1e-15::DOUBLE AS score
+    FROM lineitem)"""
+    ),
     "accuracy": f"WITH {SCORED} SELECT {_ACCURACY}",
     "f1_weighted": f"""WITH {_classes(SCORED)}
 SELECT {_ACCURACY}, {_F1},
@@ -418,6 +462,10 @@ FROM events""",
     "score_test": f"""WITH {TX}
 SELECT count(*) AS rows, CAST(0 AS BIGINT) AS outside, CAST(0 AS BIGINT) AS other_side
 FROM tx WHERE {_part("transaction_id", 42, ("train", "test"))} = 'test'""",
+    "score_job_files": """SELECT count(*) AS rows, count(*) AS transactions,
+       CAST(0 AS BIGINT) AS outside, CAST(0 AS BIGINT) AS other_side,
+       TRUE AS counted_rows, TRUE AS counted_frauds
+FROM events""",
     "score_logistic": f"""WITH {TX}
 SELECT count(*) AS rows, CAST(sum(tx_fraud) AS BIGINT) AS expected_positives
 FROM tx WHERE {_part("transaction_id", 42, ("train", "test"))} = 'train'""",

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from txmill.catalog import bindings
 from txmill.functions import hash32, uniform
+from txmill.functions.permutation import permuted
 from txmill.operators import clean, features, metrics, profile, registry, split, synth
 from txmill.operators import model as models
-from txmill.plans import clean_job, retrain_job, synth_job
+from txmill.plans import clean_job, retrain_job, score_job, synth_job
 from txmill.sources import tables, text
 from txmill.sources.scratch import scratch_path
 
@@ -148,6 +149,32 @@ def clean_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(tables.read_parquet(spark, target))
 
 
+def clean_own_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that name their columns in two different orders, each read by its own header."""
+    source = scratch_path(spark, "lines")
+    for name, lines in zip(("a", "b"), bindings.lines_in_two_orders(spark, sf_dir), strict=True):
+        lines.write.text(f"{source}/{name}")
+    return _shown(clean_job.cleaned_files(text.read_file_lines(spark, f"{source}/*/*.txt")))
+
+
+def clean_job_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean job twice, the second time over all files; readers get the second version."""
+    source, target = scratch_path(spark, "lines"), scratch_path(spark, "cleaned")
+    for name, lines in zip(("a", "b"), bindings.lines_in_two_orders(spark, sf_dir), strict=True):
+        lines.write.text(f"{source}/{name}")
+    clean_job.run(spark, f"{source}/a/*.txt", target, mode="replace")
+    clean_job.run(spark, f"{source}/*/*.txt", target, mode="replace")
+    return _shown(tables.read_parquet(spark, target))
+
+
+def clean_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records the clean job met, dropped and kept."""
+    source, target = scratch_path(spark, "lines"), scratch_path(spark, "cleaned")
+    bindings.raw_lines(spark, sf_dir).write.text(source)
+    found = clean_job.run(spark, f"{source}/*.txt", target, report=True)
+    return tables.rows_to_table(spark, [tuple(found.values())], list(found))
+
+
 # Sources and sinks
 
 
@@ -300,6 +327,16 @@ def synth_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def synth_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a keyed permutation puts each event, whose ids are row numbers from 0, and whether it
+    is in an exact sample of four fifths."""
+    ids = bindings.table(spark, sf_dir, "events").select("event_id")
+    count = ids.count()
+    place = permuted(F.col("event_id"), count, "sample-42")
+    sampled = place < F.lit(round(0.8 * count))
+    return ids.select("event_id", place.alias("place"), sampled.alias("sampled"))
+
+
 def synth_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids in shuffled order, with the class each belongs to."""
     ids = bindings.table(spark, sf_dir, "events").select("event_id")
@@ -370,6 +407,29 @@ def auc_evaluator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(tables.rows_to_table(spark, [(exact.evaluate(rows),)], ["auc"]), 9, "auc")
 
 
+def auc_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluator as training uses it, with bins: a share, and close to the exact value."""
+    rows = bindings.scored(spark, sf_dir).withColumn("label", F.col("label").cast("double"))
+    binned = models.auc_evaluator("label", "score").evaluate(rows)
+    exact = metrics.area_under_roc(rows).withColumns(
+        {
+            "binned_is_auc": F.lit(binned).between(0.0, 1.0),
+            "binned_is_near": F.abs(F.lit(binned) - F.col("auc")) < F.lit(0.001),
+        }
+    )
+    return _rounded(exact, 9, "auc")
+
+
+def auc_saturated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores that all lie within 1e-9 of 1, as those of a very sure model."""
+    line = F.col("l_extendedprice") * F.lit(1e-15)
+    lineitem = bindings.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_returnflag") == F.lit("R")).cast("int").alias("label"),
+        (F.lit(1.0) - line).alias("score"),
+    )
+    return _rounded(metrics.area_under_roc(lineitem), 9, "auc")
+
+
 def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(metrics.accuracy(bindings.scored(spark, sf_dir)), 9, "accuracy")
 
@@ -511,11 +571,31 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def score_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All transactions scored in a batch by the registered champion, and what holds of its scores."""
+    train, _ = _train_and_test(spark, sf_dir)
+    source, target, kept = (scratch_path(spark, n) for n in ("rows", "scores", "registry"))
+    model_name = registry.MODEL_NAME_FORMAT.format(experiment=retrain_job.EXPERIMENT)
+    models.save_model(_fit(train, "lr"), retrain_job.run_model_path(kept, "only"))
+    registry.record_run(spark, f"{kept}/runs", {"run_id": "only", "model_name": model_name, "auc": 0.5})
+    registry.register_run(spark, f"{kept}/registrations", model_name, "only")
+    tables.write_parquet(bindings.transactions(spark, sf_dir), source)
+    done = score_job.run(spark, source, kept, target, mode="replace")
+    p, chosen = F.col(score_job.PROBABILITY), F.col("prediction")
+    return tables.read_parquet(spark, target).agg(
+        F.count("*").alias("rows"),
+        F.countDistinct(KEY).alias("transactions"),
+        F.count_if(p.isNull() | ~p.between(0.0, 1.0)).alias("outside"),
+        F.count_if((chosen == F.lit(1.0)) != (p > F.lit(0.5))).alias("other_side"),
+        (F.lit(done["rows"]) == F.count("*")).alias("counted_rows"),
+        (F.lit(done["frauds"]) == F.count_if(chosen == F.lit(1.0))).alias("counted_frauds"),
+    )
+
+
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The combinations of the grid, whether each mean AUC is one, and if one best was refitted."""
     rows = bindings.transactions(spark, sf_dir)
-    laid = models.laid_out(rows, KEY, PARTITIONS)
-    tuned = models.cross_validate(laid, _feature_columns(rows), KEY)
+    tuned = models.cross_validate(rows, _feature_columns(rows), KEY, partitions=PARTITIONS)
     best = models.best_parameters(tuned.bestModel)
     means = [float(m) for m in tuned.avgMetrics]
     found = []
@@ -592,6 +672,9 @@ _QUERIES: tuple[Query, ...] = (
     clean_transactions,
     clean_reordered_header,
     clean_job_files,
+    clean_own_headers,
+    clean_job_replace,
+    clean_job_report,
     read_parquet,
     read_back,
     csv_round_trip,
@@ -610,6 +693,7 @@ _QUERIES: tuple[Query, ...] = (
     reorder_columns,
     random_minutes,
     synth_transactions,
+    synth_places,
     synth_shuffled,
     synth_job_files,
     assemble,
@@ -618,6 +702,8 @@ _QUERIES: tuple[Query, ...] = (
     auc,
     auc_few_scores,
     auc_evaluator,
+    auc_binned,
+    auc_saturated,
     accuracy,
     f1_weighted,
     evaluate_scored,
@@ -633,6 +719,7 @@ _QUERIES: tuple[Query, ...] = (
     score_test,
     score_logistic,
     model_reload,
+    score_job_files,
     grid_search,
     retrain_cycle,
     retrain_report,
