@@ -1,16 +1,23 @@
-"""License scan: fingerprints of word pairs pick candidates, banded alignment measures them.
+"""License scan: winnowed fingerprints pick candidates, banded alignment measures them.
 
-Templates are few and go to the documents. An inverted index leads from every run of ``RUN`` words
-of a template to its places (a ``WINDOW`` above 1 winnows them). Two adjacent words are the longest
-run that each alignment of a score above 1 must contain, however many words are changed. Hits near
-one diagonal form a candidate. If enough of the template's words stand in its band at all, it is
-aligned there; matched words, coverage and the span in the text are reported.
+Templates are few and go to the documents. Of every window of consecutive runs of ``RUN`` words of a
+template the one with the smallest hash is indexed, with its place. Windows are as long as recall
+allows: if at most e of a template's n words are changed or missing, some ceil((n - e) / (e + 1)) of
+the others stand together, and the window is chosen so that any stretch of that length holds an
+indexed run. So no text is lost in which the matched words stand as they do in the template. If words
+are *inserted* between them, a stretch of that length must be left unbroken.
+
+Hits near one diagonal form a candidate. If enough of the template's words stand in its band at all,
+it is aligned there; matched words, coverage and the span in the text are reported, the span is
+masked, and the band is aligned again until nothing is found, so each of several copies counts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txmill.llm import tokens
-from txmill.llm.common import per_text
+from txmill.llm.common import per_text, stored
 
 RUN = 2
-WINDOW = 1
 BAND = 8
 COVERAGE = 0.8
-#: Templates are sent to all tasks; more words than this are refused.
-MOST_WORDS = 2_000_000
+#: Words of the templates that are sent to all tasks at a time.
+BLOCK_WORDS = 2_000_000
 
 # Short public notices by which licenses are named in texts.
 TEMPLATES = {
@@ -73,18 +79,37 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.unique(picked)
 
 
-def build(templates: dict[str, str], run: int = RUN, window: int = WINDOW) -> Index:
+def window_for(words: int, run: int = RUN, coverage: float = COVERAGE) -> int:
+    """Longest window of which every stretch that must survive in a found text holds one whole."""
+    lost = words - math.ceil(coverage * words - 1e-9)
+    stretch = -(-(words - lost) // (lost + 1))
+    return max(stretch - run + 1, 1)
+
+
+def blocks(templates: dict[str, str], block_words: int = BLOCK_WORDS) -> list[dict[str, str]]:
+    """Templates by name, in parts of at most ``block_words`` words; a longer one is a part of its own."""
+    out: list[dict[str, str]] = [{}]
+    held = 0
+    for name, template in sorted(templates.items()):
+        size = len(tokens.words(template))
+        if out[-1] and held + size > block_words:
+            out.append({})
+            held = 0
+        out[-1][name] = template
+        held += size
+    return out
+
+
+def build(templates: dict[str, str], run: int = RUN, coverage: float = COVERAGE) -> Index:
     """Index of the templates; those of fewer than ``run`` words cannot be found."""
     found = {n: tokens.words(t) for n, t in sorted(templates.items())}
-    if sum(map(len, found.values())) > MOST_WORDS:
-        raise ValueError(f"templates of more than {MOST_WORDS} words")
     found = {n: w for n, w in found.items() if len(w) >= run}
     known = tokens.vocabulary(found.values())
     items = [tokens.numbers(w, known) for w in found.values()]
     hashes, owner, place = [], [], []
     for number, item in enumerate(items):
         every = tokens.runs(item, run)[0]
-        picked = winnow(every, window)
+        picked = winnow(every, window_for(len(item), run, coverage))
         hashes.append(every[picked])
         owner.append(np.full(len(picked), number))
         place.append(picked)
@@ -94,6 +119,10 @@ def build(templates: dict[str, str], run: int = RUN, window: int = WINDOW) -> In
     return Index(known, list(found), items, different, *(x[order] for x in joined))
 
 
+#: Stands for words that a found copy has taken.
+_MASKED = -3
+
+
 def align(template: np.ndarray, doc: np.ndarray, shift: int, band: int = BAND) -> tuple[int, int, int]:
     """Matched words, and first and last+1 matched word of ``doc``, in the best local alignment.
 
@@ -139,13 +168,13 @@ def shared(words: tuple[np.ndarray, np.ndarray], part: np.ndarray) -> int:
     return int(np.minimum(held, words[1]).sum())
 
 
-def matches(text: str, index: Index, run: int = RUN, band: int = BAND, coverage: float = COVERAGE) -> list[dict]:
-    """Templates found in a text; where spans overlap, the better covered and longer one counts."""
-    found = tokens.words(text)
-    doc = tokens.numbers(found, index.known)
+def aligned(
+    doc: np.ndarray, index: Index, run: int = RUN, band: int = BAND, coverage: float = COVERAGE
+) -> set[tuple[float, int, int, int, int]]:
+    """coverage, matched words, first and last+1 word, template of every copy; spans may overlap."""
     hashes, at = tokens.runs(doc, run)
     if not len(hashes) or not len(index.hashes):
-        return []
+        return set()
     first = np.searchsorted(index.hashes, hashes, "left")
     last = np.searchsorted(index.hashes, hashes, "right")
     candidates = set()
@@ -153,26 +182,56 @@ def matches(text: str, index: Index, run: int = RUN, band: int = BAND, coverage:
         for e in range(a, b):
             shift = p - int(index.place[e])
             candidates.add((int(index.owner[e]), round(shift / band) * band))
-    results = set()
-    for number, shift in candidates:
+    results, masked, owner = set(), doc, None
+    for number, shift in sorted(candidates):
+        if number != owner:
+            masked, owner = doc.copy(), number
         item = index.items[number]
-        first_word, last_word = max(shift - 2 * band, 0), shift + len(item) + 2 * band + 1
-        if shared(index.words[number], doc[first_word : max(last_word, 0)]) < coverage * len(item) - 1e-9:
-            continue
-        matched, start, end = align(item, doc, shift, 2 * band)
-        if matched >= coverage * len(item) - 1e-9:
+        least = coverage * len(item) - 1e-9
+        first_word, last_word = max(shift - 2 * band, 0), max(shift + len(item) + 2 * band + 1, 0)
+        while shared(index.words[number], masked[first_word:last_word]) >= least:
+            matched, start, end = align(item, masked, shift, 2 * band)
+            if matched < least:
+                break
             results.add((matched / len(item), matched, start, end, number))
+            masked[start:end] = _MASKED
+    return results
+
+
+def apart(results: Iterable[tuple]) -> list[tuple]:
+    """Of overlapping spans, the better covered and longer one; in order of their places."""
     kept: list[tuple] = []
     for r in sorted(results, key=lambda r: (-r[0], -r[1], r[2], r[4])):
         if all(r[3] <= k[2] or k[3] <= r[2] for k in kept):
             kept.append(r)
-    if not kept:
-        return []
-    spans = _places(text, found)
+    return sorted(kept, key=lambda r: r[2])
+
+
+def _rows(text: str, found: list[str], kept: Iterable[tuple], names: list[str]) -> list[dict]:
+    kept = list(kept)
+    spans = _places(text, found) if kept else []
     return [
-        {"license": index.names[n], "coverage": c, "words": m, "start": spans[a][0], "end": spans[b - 1][1]}
-        for c, m, a, b, n in sorted(kept, key=lambda r: r[2])
-    ]
+        {
+            "license": names[n], "coverage": c, "words": m, "first": a, "last": b,
+            "start": spans[a][0], "end": spans[b - 1][1],
+        }
+        for c, m, a, b, n in kept
+    ]
+
+
+def every_match(text: str, index: Index, run: int = RUN, band: int = BAND, coverage: float = COVERAGE) -> list[dict]:
+    """All copies of templates in a text, with the words they span, however they overlap."""
+    found = tokens.words(text)
+    results = aligned(tokens.numbers(found, index.known), index, run, band, coverage)
+    return _rows(text, found, sorted(results), index.names)
+
+
+def matches(text: str, index: Index, run: int = RUN, band: int = BAND, coverage: float = COVERAGE) -> list[dict]:
+    """Templates found in a text, once per copy; where spans overlap, the better covered and longer
+    one counts."""
+    found = tokens.words(text)
+    results = aligned(tokens.numbers(found, index.known), index, run, band, coverage)
+    return _rows(text, found, apart(results), index.names)
 
 
 def _places(text: str, found: list[str]) -> list[tuple[int, int]]:
@@ -185,24 +244,62 @@ def _places(text: str, found: list[str]) -> list[tuple[int, int]]:
     return [(origin[a], origin[b - 1] + 1) for a, b in spans]
 
 
+_FIELDS = [
+    ("license", pa.string()), ("coverage", pa.float64()), ("words", pa.int32()), ("first", pa.int64()),
+    ("last", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
+]
+_KIND = "array<struct<license:string,coverage:double,words:int,first:bigint,last:bigint,start:bigint,end:bigint>>"
+_OUT = ["license", "coverage", "words", "start", "end"]
+
+
+def _finding(find, index: Index, coverage: float):
+    def batch(texts: Iterable[str]) -> pa.Array:
+        return pa.array([find(t, index, coverage=coverage) for t in texts], pa.list_(pa.struct(_FIELDS)))
+
+    return per_text(batch, _KIND)
+
+
+def _keep_apart(found: pa.Array) -> pa.Array:
+    out = []
+    for rows in found.to_pylist():
+        by_key = {(r["coverage"], r["words"], r["first"], r["last"], r["license"]): r for r in rows}
+        out.append([by_key[k] for k in apart(by_key)])
+    return pa.array(out, pa.list_(pa.struct(_FIELDS)))
+
+
 def scan(
     docs: DataFrame,
     templates: dict[str, str] | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
     coverage: float = COVERAGE,
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """One row per license found: doc_id, license, coverage, words, start, end (code points).
+    """One row per copy of a license: doc_id, license, coverage, words, start, end (code points).
 
     A document without one gives no row; so do NULL and empty texts and an empty set of templates.
-    Repeated rows are all scanned, other columns ignored. No shuffle.
+    Repeated rows are all scanned, other columns ignored. No shuffle, unless the templates have more
+    than ``block_words`` words: then documents are scanned block by block, what each block finds is
+    stored, and overlapping spans of several blocks meet by the document's row.
     """
-    index = build(TEMPLATES if templates is None else templates)
-    fields = [("license", pa.string()), ("coverage", pa.float64()), ("words", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]
-
-    def batch(texts: Iterable[str]) -> pa.Array:
-        return pa.array([matches(t, index, coverage=coverage) for t in texts], pa.list_(pa.struct(fields)))
-
-    kind = "array<struct<license:string,coverage:double,words:int,start:bigint,end:bigint>>"
-    found = docs.select(F.col(doc_id), F.explode(per_text(batch, kind)(F.col(text))).alias("found"))
-    return found.select(doc_id, "found.*")
+    parts = blocks(TEMPLATES if templates is None else templates, block_words)
+    if len(parts) == 1:
+        found = _finding(matches, build(parts[0], coverage=coverage), coverage)
+        rows = docs.select(F.col(doc_id), F.explode(found(F.col(text))).alias("found"))
+        return rows.select(doc_id, *[f"found.{c}" for c in _OUT])
+    numbered = stored(
+        docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row")),
+        "license-rows",
+    )
+    passes = []
+    for part in parts:
+        found = _finding(every_match, build(part, coverage=coverage), coverage)
+        rows = numbered.select("id", "row", F.explode(found(F.col("text"))).alias("found"))
+        passes.append(stored(rows, "license-matches"))
+    every = reduce(DataFrame.unionByName, passes)
+    # What a document holds is bounded by its length.
+    gathered = every.groupBy("row").agg(F.first("id").alias("id"), F.collect_list("found").alias("found"))
+    _keep_apart.__annotations__ = {"found": pa.Array, "return": pa.Array}
+    kept = F.arrow_udf(_keep_apart, returnType=_KIND)("found")
+    rows = gathered.select(F.col("id").alias(doc_id), F.explode(kept).alias("found"))
+    return rows.select(doc_id, *[f"found.{c}" for c in _OUT])
