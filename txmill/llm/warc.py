@@ -21,9 +21,10 @@ from txmill.llm.common import stored, whole
 
 #: Payloads of fewer bytes are always written in full.
 LEAST_BYTES = 0
-#: Records that an archive has at most. An archive is read as one value, so a task needs some three
-#: times this number of mean payloads.
+#: Bounds of an archive, which is read as one value: records, and bytes of payload unless a single
+#: one has more.
 ARCHIVE_RECORDS = 1024
+ARCHIVE_BYTES = 1 << 27
 DATE = "2024-01-01T00:00:00Z"
 
 # Fixed values of the format.
@@ -80,7 +81,8 @@ def resolve(pages: DataFrame, page_id: str, url: str, payload: str, least_bytes:
 
 
 def records(pages: DataFrame, page_id: str, url: str, payload: str, least_bytes: int, date: str) -> DataFrame:
-    """One text per page: the WARC record without the two line ends that close it."""
+    """One text per page, ``value``: the WARC record without the two line ends that close it; and its
+    payload's ``bytes``."""
     headers = resolve(pages, page_id, url, payload, least_bytes)
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     target = F.regexp_replace("target", r"[\x00-\x20\x7F]", "")
@@ -107,7 +109,21 @@ def records(pages: DataFrame, page_id: str, url: str, payload: str, least_bytes:
         line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", F.octet_length(block).cast("string")),
     )
-    return headers.select(F.concat(head, F.lit(END), block).alias("value"))
+    return headers.select(F.concat(head, F.lit(END), block).alias("value"), "bytes")
+
+
+def size_classes(most: int, archive_records: int, archive_bytes: int) -> list[tuple[int, int, int]]:
+    """Classes of payloads up to ``most`` bytes: over, up to, and how many records make an archive.
+
+    Each class holds four times larger payloads than the one before and a quarter of the records, so
+    an archive of any class keeps within ``archive_bytes``; the last class has one record each.
+    """
+    out, over, records = [], -1, archive_records
+    while over < most:
+        upto = archive_bytes // records if records > 1 else max(most, archive_bytes)
+        out.append((over, upto, records))
+        over, records = upto, max(records // 4, 1)
+    return out
 
 
 def write(
@@ -119,17 +135,24 @@ def write(
     least_bytes: int = LEAST_BYTES,
     date: str = DATE,
     archive_records: int = ARCHIVE_RECORDS,
+    archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
     """Write one record per page to uncompressed archives in the folder ``path``.
 
     A NULL payload is empty, a NULL url leaves the target out, control characters and spaces are
     taken out of urls. Of equal payloads of at least ``least_bytes`` bytes, the page with the
     smallest id is the response. Rows that repeat both its id and its payload are responses too.
-    Other columns are ignored. An archive has at most ``archive_records`` records.
+    Other columns are ignored. An archive has at most ``archive_records`` records, and payloads of at
+    most ``archive_bytes`` bytes or a single one: larger pages go to archives of fewer records, class
+    by class, as the largest page of the table asks.
     """
-    records(pages, page_id, url, payload, least_bytes, date).write.option("lineSep", END + END).option(
-        "maxRecordsPerFile", archive_records
-    ).text(path)
+    size = F.octet_length(whole(F.col(payload))).cast("long")
+    most = pages.agg(F.max(size).alias("most")).first().most or 0
+    rows = records(pages, page_id, url, payload, least_bytes, date)
+    for over, upto, number in size_classes(most, archive_records, archive_bytes):
+        rows.filter((F.col("bytes") > over) & (F.col("bytes") <= upto)).select("value").write.option(
+            "lineSep", END + END
+        ).option("maxRecordsPerFile", number).text(f"{path}/{number}" if over < 0 else f"{path}/{number}-over-{over}")
 
 
 def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -175,9 +198,11 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the archives in ``path``; size and digest are taken from the payload read."""
+    """Records of the archives in ``path``; size and digest are taken from the payload read.
+
+    Archives are parsed once: what is returned is stored."""
     archives = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return archives.select("content").mapInArrow(_read, FIELDS)
+    return stored(archives.select("content").mapInArrow(_read, FIELDS), "records")
 
 
 def resolved(records: DataFrame) -> DataFrame:
