@@ -3,6 +3,8 @@
 import hashlib
 import math
 import re
+import time
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -221,6 +223,47 @@ def test_links_of_dense_and_chained_fingerprints(spark, long, bits):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, brute.values()))
 
 
+def test_long_lists_are_keyed_by_one_more_byte(spark):
+    """Fingerprints that share three bytes: every pair to be linked meets again under a fourth."""
+    rng = np.random.default_rng(7)
+    base = int(rng.integers(1 << 23)) << 40
+    prints = {base | int(x) for x in rng.integers(0, 1 << 40, 300)}
+    prints |= {p ^ (1 << 3) ^ (1 << 17) ^ (1 << 30) ^ (1 << 33) for p in list(prints)[:50]}
+    prints |= {p ^ 0b1111 for p in list(prints)[50:90]}
+    ordered = sorted(prints)
+    frame = spark.createDataFrame([(p,) for p in ordered], "fp bigint")
+    index = near_dedup._postings(frame, 4)
+    finer = near_dedup._finer(index.withColumn("key", F.col("key").cast("long")), 4)
+    assert finer.count() == 5 * index.count()
+    meet = {frozenset((a.fp, b.fp)) for a, b in _pairs_of_lists(finer)}
+    near = {frozenset(p) for p in combinations(ordered, 2) if bin(p[0] ^ p[1]).count("1") <= 4}
+    assert near and near <= meet
+    label = {r.node: r.label for r in near_dedup.components(near_dedup.links(frame, 4, 100)).collect()}
+    assert [label.get(p, p) for p in ordered] == [ordered[ordered.index(c)] for c in components_brute(ordered, ordered, 4)]
+
+
+def _pairs_of_lists(index):
+    lists = {}
+    for r in index.collect():
+        lists.setdefault(r.key, []).append(r)
+    return [pair for rows in lists.values() for pair in combinations(rows, 2)]
+
+
+def test_dropping_near_duplicates_keeps_one_row_of_each_component(spark, awkward, nothing):
+    kept = near_dedup.drop_near_duplicates(awkward)
+    assert kept.columns == awkward.columns
+    prints = [print_brute(r[1]) for r in AWKWARD]
+    # Components of row numbers, so that repeated and missing ids are told apart.
+    components = components_brute(prints, list(range(len(AWKWARD))))
+    best = {}
+    for k, c in enumerate(components):
+        i = AWKWARD[k][0]
+        best.setdefault(c, []).append((i is None, i or 0))
+    expected = Counter(None if missing else i for missing, i in (min(v) for v in best.values()))
+    assert Counter(r.doc_id for r in kept.collect()) == expected
+    assert near_dedup.drop_near_duplicates(nothing).count() == 0
+
+
 def test_components_of_a_long_path_and_no_edges(spark):
     path = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)], "u bigint, v bigint")
     found = {r.node: r.label for r in near_dedup.components(path).collect()}
@@ -331,6 +374,43 @@ def test_tiling_equals_its_definition():
         assert sorted(t[2] for t in ours) == sorted(t[2] for t in tiles_brute(doc.tolist(), item.tolist(), 3))
 
 
+def test_tiling_that_cannot_reach_its_aim_stops():
+    rng = np.random.default_rng(4)
+    for _ in range(150):
+        doc, item = rng.integers(0, 4, rng.integers(0, 60)), rng.integers(0, 4, rng.integers(1, 30))
+        whole = sum(t[2] for t in decontaminate.tiles(doc, item, 3))
+        for least in (0.3 * len(item), 0.6 * len(item), 0.9 * len(item)):
+            found = sum(t[2] for t in decontaminate.tiles(doc, item, 3, least))
+            assert found == whole if whole >= least else found <= whole
+
+
+@pytest.mark.parametrize("period", [1, 2, 7])
+def test_tiling_of_long_repetitive_texts_takes_little(period):
+    """One word, or a short phrase, again and again: all pairs of places would be 10^8."""
+    doc, item = np.arange(20_000) % period, np.arange(5_001) % period
+    tracemalloc.start()
+    began = time.process_time()
+    found = decontaminate.tiles(doc, item)
+    seconds, peak = time.process_time() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(0, 0, 5_001)]
+    assert seconds < 5 and peak < 50e6
+    mixed = np.where(np.arange(20_000) % 11 == 3, 50 + np.arange(20_000) % 13, doc)
+    began = time.process_time()
+    assert sum(t[2] for t in decontaminate.tiles(mixed, item)) > 4_000
+    assert time.process_time() - began < 5
+
+
+def test_hashes_of_runs_tell_them_apart():
+    ids = np.random.default_rng(6).integers(0, 3, 400)
+    places = decontaminate._Places(ids)
+    for length in (1, 5, 60):
+        starts = places.starts(length)
+        hashes = places.hashes(starts, length).tolist()
+        runs = [tuple(ids[s : s + length].tolist()) for s in starts.tolist()]
+        assert len(set(hashes)) == len(set(runs)) == len(set(zip(hashes, runs)))
+
+
 def leaks_brute(text, items, match, coverage):
     known = tokens.vocabulary(tokens.words(t or "") for _, t in items)
     doc = tokens.numbers(tokens.words(text or ""), known).tolist()
@@ -376,6 +456,21 @@ def test_contaminated_rows(spark, nothing):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6]
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
     assert decontaminate.contaminated(nothing, items).count() == 0
+    copies = items.unionByName(spark.createDataFrame([(k, ITEM, "x") for k in (20, 21, None)], items.schema))
+    for size in (20, 10**6):
+        found = decontaminate.contaminated(docs, copies, block_characters=size).select("doc_id", "item_id", "words")
+        expected = [(d, i, 12) for d in (1, 2, 5, None) for i in (9, 20, 21, None)]
+        assert rows_of(found) == sorted(expected, key=repr)
+        assert decontaminate.drop_contaminated(docs, copies, block_characters=size).count() == 4
+
+
+def test_copies_of_an_item_are_one_in_the_blocks(spark):
+    items = spark.createDataFrame([(k, ITEM if k < 50 else f"{ITEM} {k}") for k in range(60)], "item_id bigint, text string")
+    different, members = decontaminate.different_items(items, "item_id", "text")
+    assert different.count() == 11 and members.count() == 60
+    every = list(decontaminate.blocks(different, 5, 0.6, 200))
+    assert [more for _, more in every] == [True] * (len(every) - 1) + [False]
+    assert sum(len(b.items) for b, _ in every) == 11
 
 
 def test_every_passage_in_the_table_is_found(spark, sf_dir, texts):
@@ -437,6 +532,19 @@ def test_packing_places_every_token_once(spark, documents, texts, awkward, nothi
     assert packing.pack(awkward).count() >= len(AWKWARD)
 
 
+def test_equal_rows_are_spread_over_cells(spark):
+    """A third of all rows have no id and one length; no window holds more than a few of them."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("five words in each text").alias("text")
+    )
+    found = packing.pack(rows, budget=50, cell_rows=40).collect()
+    assert len(found) == 3000
+    assert sorted((r.batch, r.slot) for r in found) == [(k // 10, k % 10) for k in range(3000)]
+    placed = rows.select(F.lit(0).alias("bucket"), (F.col("doc_id").isNull()).cast("int").alias("cell"), F.monotonically_increasing_id().alias("tie"))
+    sizes = [r["count"] for r in packing._cut(placed, 40).groupBy("bucket", "cell", "cut").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 90
+
+
 # Token files
 
 
@@ -535,6 +643,63 @@ def test_short_licenses_in_other_words(first):
     assert [(m["license"], m["coverage"]) for m in found] == [("MIT line", 0.8)]
 
 
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_windows_lose_no_permitted_change(name):
+    """Any permitted number of words, wherever they stand, and the windows are no shorter than that."""
+    words = tokens.words(licenses.TEMPLATES[name])
+    index = licenses.build({name: licenses.TEMPLATES[name]})
+    lost = len(words) - int(np.ceil(0.8 * len(words) - 1e-9))
+    assert len(index.hashes) < len(words) - 1 or licenses.window_for(len(words)) == 1
+    rng = np.random.default_rng(len(words))
+    for _ in range(30):
+        gone = set(rng.choice(len(words), lost, replace=False).tolist())
+        for text in (
+            " ".join("changed" if k in gone else w for k, w in enumerate(words)),
+            " ".join(w for k, w in enumerate(words) if k not in gone),
+        ):
+            hits = licenses.tokens.runs(licenses.tokens.numbers(text.split(), index.known), 2)[0]
+            assert np.isin(hits, index.hashes).any(), text
+
+
+def test_windows_of_stretches():
+    assert [licenses.window_for(n) for n in (2, 3, 4, 5, 10, 20, 169)] == [1, 2, 3, 1, 2, 3, 3]
+
+
+@pytest.mark.parametrize("copies", [2, 3, 5])
+@pytest.mark.parametrize("between", ["", " and again it is ", " filler" * 8 + " ", " filler" * 40 + " "])
+@pytest.mark.parametrize("name", ["MIT line", "CC-BY-NC-4.0", "GPL-3.0 line", "ISC"])
+def test_every_copy_of_a_license_is_reported(copies, between, name):
+    template = licenses.TEMPLATES[name]
+    text = (between or " ").join([template] * copies)
+    found = licenses.matches(text, licenses.build(licenses.TEMPLATES))
+    assert [m["license"] for m in found] == [name] * copies
+    assert all(m["coverage"] == 1.0 for m in found)
+    step = len(template) + len(between or " ")
+    assert [m["start"] for m in found] == [found[0]["start"] + k * step for k in range(copies)]
+
+
+def test_inserted_words_must_leave_a_stretch_unbroken():
+    """A word after every third of a long template is found, a word after every single one is not."""
+    words = tokens.words(licenses.TEMPLATES["ISC"])
+    index = licenses.build(licenses.TEMPLATES)
+
+    def spaced(every):
+        return " ".join(w + (" inserted" if k % every == every - 1 else "") for k, w in enumerate(words))
+
+    for every in (30, 20, 10):
+        assert [m["license"] for m in licenses.matches(spaced(every), index)] == ["ISC"]
+    assert licenses.matches(spaced(1), index) == []
+
+
+def test_templates_in_blocks_give_the_same_rows(spark):
+    lines = list(licenses.TEMPLATES.values())
+    rows = [(k, f"Text {k}. {lines[k % len(lines)]} More. {lines[(3 * k) % len(lines)]}") for k in range(40)]
+    docs = spark.createDataFrame([*rows, (None, lines[0]), (None, lines[0]), (50, None)], "doc_id bigint, text string")
+    assert len(licenses.blocks(licenses.TEMPLATES, 60)) > 4
+    assert rows_of(licenses.scan(docs, block_words=60)) == rows_of(licenses.scan(docs))
+    assert licenses.scan(docs.limit(0), block_words=60).count() == 0
+
+
 def test_alignment_equals_full_dynamic_programming():
     rng = np.random.default_rng(4)
     for _ in range(80):

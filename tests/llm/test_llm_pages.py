@@ -61,6 +61,24 @@ def test_urls_of_awkward_rows(spark, pages):
     assert url_filter.judge(empty, RULES, url_filter.Model(None, None)).count() == 0
 
 
+def test_many_rules_are_joined(spark, pages):
+    rng = random.Random(2)
+    rules = [*RULES, *RULES[:2], url_filter.Rule("block", "org", "/"), url_filter.Rule("allow", "", "/"), url_filter.Rule("block", "net", "")]
+    for k in range(300):
+        host = rng.choice(["com", "org", "a.com", "example.org", "sub.example.org", f"h{k}.net", "notcom"])
+        path = "".join(rng.choice(["/", "/de/", "/es/x", "en", "/1"]) for _ in range(rng.randrange(4)))
+        rules.append(url_filter.Rule(rng.choice(["allow", "block"]), host, path))
+    urls = [(k, f"http://{rng.choice(['', 'www.', 'x.y.'])}{rng.choice(rules).host}{rng.choice(rules).path}{rng.choice(['', '/z', '?q'])}") for k in range(400)]
+    urls += [(None, urls[0][1])] * 3 + [(k, u) for k, (_, u, _) in enumerate(PAGES)]
+    frame = spark.createDataFrame(urls, "page_id bigint, url string")
+    by_expression = url_filter.parsed(frame, "page_id", "url", rules, expression_rules=10**6)
+    by_join = url_filter.parsed(frame, "page_id", "url", rules, expression_rules=0)
+    assert by_join.columns == by_expression.columns
+    assert sorted(map(repr, by_join.collect())) == sorted(map(repr, by_expression.collect()))
+    plan = by_join._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def test_urls_of_the_table(spark, sf_dir):
     urls = {r.page_id: r.url for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     found = queries.op5_url_filter(spark, sf_dir).collect()
@@ -129,10 +147,27 @@ def test_archives_round_trip(spark, pages, tmp_path, records):
     assert shown(warc.resolved(warc.read(spark, str(tmp_path / "w")))) == revisits(PAGES)
 
 
+@pytest.mark.parametrize("most_bytes", [1, 300, 5000])
+def test_archives_are_bounded_by_bytes(spark, pages, tmp_path, most_bytes):
+    warc.write(pages.coalesce(1), str(tmp_path / "w"), archive_records=16, archive_bytes=most_bytes)
+    assert shown(warc.resolved(warc.read(spark, str(tmp_path / "w")))) == revisits(PAGES)
+    for part in (tmp_path / "w").rglob("part-*"):
+        sizes = [len(block.partition(b"\r\n\r\n")[2]) for _, block in warc.parse(part.read_bytes())]
+        assert len(sizes) <= 16 and (sum(sizes) <= most_bytes or len(sizes) == 1)
+
+
+def test_size_classes():
+    assert warc.size_classes(0, 1024, 1 << 27) == [(-1, 1 << 17, 1024)]
+    found = warc.size_classes(10**9, 1024, 1 << 27)
+    assert [n for *_, n in found] == [1024, 256, 64, 16, 4, 1]
+    assert all(a[1] == b[0] for a, b in zip(found, found[1:])) and found[-1][1] == 10**9
+    assert all(upto * n <= 1 << 27 for _, upto, n in found[:-1])
+
+
 def test_archives_hold_fresh_headers_and_whole_payloads(spark, pages, tmp_path):
     warc.write(pages.filter("page_id is not null"), str(tmp_path / "w"))
     seen = []
-    for part in (tmp_path / "w").glob("part-*"):
+    for part in (tmp_path / "w").rglob("part-*"):
         for fields, block in warc.parse(part.read_bytes()):
             head, _, payload = block.partition(b"\r\n\r\n")
             assert int(fields["Content-Length"]) == len(block) and head.startswith(b"HTTP/1.1 200 OK")
