@@ -12,11 +12,14 @@ counting the differing bits.
 Only different fingerprints are indexed; copies share one. From a posting list a task returns links
 that connect the same fingerprints as all its pairs would, at most one per fingerprint.
 
-Comparing the pairs of a list takes the square of its length, so lists above ``LONG`` are handled
-another way that is exact as well: two fingerprints are within four bits if, and only if, some value
-is within two bits of both. Each fingerprint of a long list lists all values within half of
-``max_bits``, and fingerprints with a common value are linked. That takes 2081 values per
-fingerprint, however many there are, and no value has more than 2081 fingerprints.
+Comparing the pairs of a list takes the square of its length. A list above ``LONG`` is therefore
+keyed once more: a pair that reaches the minimum shares one more positional byte, so the members of
+a long list meet again under the list's key and each byte in the other positions, in lists 256 times
+shorter. Only where more than ``LONG`` different fingerprints share the same four bytes or more,
+which no text does by chance, pairs are found another way that is exact as well: two fingerprints
+are within four bits if, and only if, some value is within two bits of both. Each fingerprint of
+such a list lists the 2081 values within half of ``max_bits``, and those with a common value are
+linked. No value has more than 2081 fingerprints.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 BYTES = 8
-#: Fingerprints of a posting list up to which its pairs are compared.
+#: Fingerprints of a posting list up to which it is compared as it is.
 LONG = 8192
 #: A fingerprint of more than one in this number of rows is hot; there are fewer such than this number.
 HOT = 1000
@@ -187,18 +190,39 @@ def _long_links(prints: DataFrame, max_bits: int) -> DataFrame:
     return least.filter("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS, long: int = LONG) -> DataFrame:
-    """Links (u, v) between different fingerprints ``fp`` that connect all within ``max_bits`` bits."""
-    index = _postings(prints, BYTES - max_bits)
+def _finer(index: DataFrame, minimum: int) -> DataFrame:
+    """Members of long lists under the list's key, one further position, and the byte there."""
+    triples = index_triples(minimum)
+    number = F.shiftright("key", 24).cast("int")
+    others = F.array(*[F.array(*[F.lit(p) for p in range(BYTES) if p not in t]) for t in triples])
+    octet = F.array(*[F.shiftrightunsigned(F.col("fp"), 8 * p).bitwiseAND(F.lit(255)) for p in range(BYTES)])
+    keys = F.transform(
+        F.get(others, number), lambda p: F.col("key") * 2048 + p * 256 + F.get(octet, p)
+    )
+    return index.select("fp", F.explode(keys).alias("key"))
+
+
+def _by_length(index: DataFrame, long: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the lists of at most ``long`` members, and those of the others if there are any."""
     long_keys = stored(
         index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > long).select("key"),
         "long-lists",
     )
-    short = _short_links(index.join(long_keys, "key", "left_anti"), max_bits)
-    if long_keys.isEmpty():
-        return short
-    crowded = index.join(long_keys, "key", "left_semi").select("fp").distinct()
-    return short.unionByName(_long_links(crowded, max_bits))
+    short = index.join(long_keys, "key", "left_anti")
+    return short, None if long_keys.isEmpty() else index.join(long_keys, "key", "left_semi")
+
+
+def links(prints: DataFrame, max_bits: int = MAX_BITS, long: int = LONG) -> DataFrame:
+    """Links (u, v) between different fingerprints ``fp`` that connect all within ``max_bits`` bits."""
+    minimum = BYTES - max_bits
+    short, crowded = _by_length(_postings(prints, minimum).withColumn("key", F.col("key").cast("long")), long)
+    found = _short_links(short, max_bits)
+    if crowded is not None and minimum > 3:
+        short, crowded = _by_length(_finer(crowded, minimum), long)
+        found = found.unionByName(_short_links(short, max_bits))
+    if crowded is not None:
+        found = found.unionByName(_long_links(crowded.select("fp").distinct(), max_bits))
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -230,7 +254,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _component_of_print(prints: DataFrame, max_bits: int) -> DataFrame:
-    """From (id, fp) rows: fp, n (its rows) and component_id, the smallest id that its links reach."""
+    """From (id, fp) rows: fp, n (its rows), first (its smallest id) and component_id, the smallest id
+    that its links reach."""
     first = stored(
         prints.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "fingerprints"
     )
@@ -239,7 +264,7 @@ def _component_of_print(prints: DataFrame, max_bits: int) -> DataFrame:
     smallest = linked.groupBy("label").agg(F.min("first").alias("smallest"))
     joined = linked.select("fp", "label").join(smallest, "label").select("fp", "smallest")
     return first.join(joined, "fp", "left").select(
-        "fp", "n", F.coalesce("smallest", "first").alias("component_id")
+        "fp", "n", "first", F.coalesce("smallest", "first").alias("component_id")
     )
 
 
@@ -279,19 +304,22 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """The document with the smallest id of every component, with all its columns.
+    """The document with the smallest id of every component, with all its columns; of equal ids, one.
 
-    The join is by fingerprint and id, so a large component is spread over all tasks.
+    Rows are stored with their fingerprint and a number of their own, so a fingerprint is computed
+    once. Its smallest row stands for it, and the row that a component's id and number name is kept:
+    a join by that number, which spreads a large component over all tasks. NULL ids come last.
     """
-    prints = stored(docs.select(F.col(doc_id).alias("id"), fingerprint_of(text).alias("fp")), "prints")
-    ids = prints.join(_component_of_print(prints, max_bits), "fp")
-    kept = ids.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(
-        F.col("fp").alias("keep_fp"), F.col("component_id").alias("keep_id")
-    ).distinct()
-    rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-        docs[doc_id].alias("id"),
-        fingerprint_of(docs[text]).alias("fp"),
+    rows = stored(
+        docs.select(
+            F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+            docs[doc_id].alias("id"),
+            fingerprint_of(docs[text]).alias("fp"),
+            F.monotonically_increasing_id().alias("number"),
+        ),
+        "near-rows",
     )
-    same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("fp") == F.col("keep_fp"))
-    return rows.join(kept, same).dropDuplicates(["id", "fp"]).select("row.*")
+    name = F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col("number"))
+    found = _component_of_print(rows.select(name.alias("id"), "fp"), max_bits)
+    kept = found.filter(F.col("first") == F.col("component_id")).select(F.col("first.number").alias("number"))
+    return rows.join(kept, "number").select("row.*")
