@@ -82,6 +82,23 @@ def pieces(docs: DataFrame, doc_id: str, length: Column, context: int) -> DataFr
     )
 
 
+def _cut(placed: DataFrame, cell_rows: int) -> DataFrame:
+    """Adds ``cut``: 0, or the part of a cell that holds more than twice ``cell_rows`` rows."""
+    full = stored(
+        placed.groupBy("bucket", "cell")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > 2 * cell_rows)
+        .select("bucket", "cell", F.ceil(F.col("n") / cell_rows).cast("long").alias("cuts")),
+        "full-cells",
+    )
+    if full.isEmpty():
+        return placed.withColumn("cut", F.lit(0).cast("long"))
+    # At most one row per 2 * cell_rows pieces, and none but for equal ones.
+    joined = placed.join(full, ["bucket", "cell"], "left")
+    cut = F.coalesce(F.pmod(F.xxhash64("tie"), F.col("cuts")), F.lit(0).cast("long"))
+    return joined.withColumn("cut", cut).drop("cuts")
+
+
 def pack(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -98,11 +115,13 @@ def pack(
     fit into ``budget`` tokens, at least one, and only the last one of a bucket may hold fewer.
     Places in a bucket follow a hash of the piece. They are counted per cell, a share of the bucket
     of about ``cell_rows``, and each cell starts where the cells before it end; so a bucket with a
-    third of all rows is spread. Equal rows take neighbouring places. No row is left out; an empty
-    table gives no rows.
+    third of all rows is spread. A cell that equal rows fill beyond that is cut by the number of the
+    stored row. Equal rows take neighbouring places or such cuts. No row is left out; an empty table
+    gives no rows.
     """
     length = words("text") if length is None else F.coalesce(length, F.lit(0))
-    parts = stored(pieces(docs, doc_id, length, context), "pieces")
+    numbered = pieces(docs, doc_id, length, context).withColumn("tie", F.monotonically_increasing_id())
+    parts = stored(numbered, "pieces")
     # At most context + 1 rows, whatever the size of the corpus.
     histogram = sorted((r.n_tokens, r.n) for r in parts.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect())
     lengths = np.array([x for x, _ in histogram], np.int64)
@@ -119,13 +138,13 @@ def pack(
         cells = F.when(is_b, F.lit(-(-rows_of[b] // cell_rows)).cast("long")).otherwise(cells)
     order = F.xxhash64("id", "piece", "n_tokens")
     placed = parts.withColumn("bucket", bucket).withColumn("order", order)
-    placed = placed.withColumn("cell", F.pmod(F.col("order"), cells))
-    earlier = Window.partitionBy("bucket").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("bucket", "cell").agg(F.count(F.lit(1)).alias("n")).select(
-        "bucket", "cell", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    placed = _cut(placed.withColumn("cell", F.pmod(F.col("order"), cells)), cell_rows)
+    earlier = Window.partitionBy("bucket").orderBy("cell", "cut").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("bucket", "cell", "cut").agg(F.count(F.lit(1)).alias("n")).select(
+        "bucket", "cell", "cut", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
-    in_cell = Window.partitionBy("bucket", "cell").orderBy("order", "id", "piece", "n_tokens")
-    numbered = placed.withColumn("place", F.row_number().over(in_cell) - 1).join(starts, ["bucket", "cell"])
+    in_cell = Window.partitionBy("bucket", "cell", "cut").orderBy("order", "id", "piece", "n_tokens", "tie")
+    numbered = placed.withColumn("place", F.row_number().over(in_cell) - 1).join(starts, ["bucket", "cell", "cut"])
     place = F.col("before") + F.col("place")
     return numbered.select(
         F.col("id").alias(doc_id),
