@@ -1,20 +1,27 @@
-"""A fixed letter model of ordinary strings: words of four languages, joined, cased or numbered.
+"""A letter model of ordinary strings, fitted on the corpus that is scanned.
 
-Each symbol depends on the one before it. The kind of the next symbol (lower, upper, digit,
-separator) follows fixed shares; a letter inside a word follows the letter pairs of ``SAMPLE``, a
-letter that begins a word the beginnings of its words; digits and separators are even. The model is
-a probability distribution over all strings of ``SYMBOLS`` of one length.
+Each symbol depends on the one before it, as it does in the corpus's own short words, whatever their
+language or kind. Where the corpus has seen little, a fixed model counts like ``PRIOR`` pairs after
+each symbol: the kind of the next symbol (lower, upper, digit, separator) follows fixed shares, a
+letter inside a word the letter pairs of ``SAMPLE``, and a letter that begins a word the beginnings
+of its words. Digits and separators are even. The model is a probability distribution over all
+strings of ``SYMBOLS`` of one length.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Mapping
 
 _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 DIGITS, SEPARATORS = "0123456789", "+/_-"
 #: All digits count as 0 and all separators as -.
 SYMBOLS = _LOWER + _UPPER + "0-"
+#: Pairs after each symbol that the fixed model counts like.
+PRIOR = 1000.0
+#: Different characters that a symbol stands for.
+_MEMBERS = {"0": len(DIGITS), "-": len(SEPARATORS)}
 #: Weight of the single letters' shares in those of pairs and beginnings.
 WEIGHT = 6.0
 
@@ -59,28 +66,36 @@ def _kind(symbol: str) -> str:
     return _KINDS[0 if symbol in _LOWER else 1 if symbol in _UPPER else 2 if symbol == "0" else 3]
 
 
-def surprise() -> list[float]:
-    """Bits of a symbol after another: row 0 for the first symbol, then one row per ``SYMBOLS``."""
+def surprise(pairs: Mapping[str, int] | None = None) -> list[float]:
+    """Bits of a symbol after another: row 0 for the first symbol, then one row per ``SYMBOLS``.
+
+    ``pairs`` counts neighbours in the corpus's words, the first letter of a word after a space.
+    """
     words = SAMPLE.split()
     letters, begins = Counter("".join(words)), Counter(w[0] for w in words)
-    pairs = Counter(a + b for w in words for a, b in zip(w, w[1:]))
+    pairs_of = Counter(a + b for w in words for a, b in zip(w, w[1:]))
     single = {c: (letters[c] + 1) / (letters.total() + len(_LOWER)) for c in _LOWER}
 
     def begin(c: str) -> float:
         return (begins[c] + WEIGHT * single[c]) / (len(words) + WEIGHT)
 
-    after = {a: sum(pairs[a + c] for c in _LOWER) for a in _LOWER}
+    after = {a: sum(pairs_of[a + c] for c in _LOWER) for a in _LOWER}
 
     def share(before: str, symbol: str) -> float:
+        """Share of the symbol, with all characters that it stands for."""
         old, new = _kind(before) if before else "start", _kind(symbol)
         kind = _NEXT[old][_KINDS.index(new)]
-        if new == "digit":
-            return kind / len(DIGITS)
-        if new == "separator":
-            return kind / len(SEPARATORS)
+        if new in ("digit", "separator"):
+            return kind
         a, b = before.lower(), symbol.lower()
         if old in ("start", "digit", "separator") or (old, new) == ("lower", "upper"):
             return kind * begin(b)
-        return kind * (pairs[a + b] + WEIGHT * single[b]) / (after[a] + WEIGHT)
+        return kind * (pairs_of[a + b] + WEIGHT * single[b]) / (after[a] + WEIGHT)
 
-    return [-math.log2(share(a, b)) for a in ("", *SYMBOLS) for b in SYMBOLS]
+    found, out = pairs or {}, []
+    for a in ("", *SYMBOLS):
+        seen = [found.get((a or " ") + b, 0) for b in SYMBOLS]
+        total = sum(seen) + PRIOR
+        for b, n in zip(SYMBOLS, seen):
+            out.append(-math.log2((n + PRIOR * share(a, b)) / total / _MEMBERS.get(b, 1)))
+    return out

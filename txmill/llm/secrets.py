@@ -3,20 +3,23 @@
 Everything is built from DataFrame functions. A string of at least ``LEAST`` characters is tested
 against the smallest alphabet that holds it: chi-squared for uniform use of the alphabet, a runs
 test around the middle of the alphabet, and the serial correlation of neighbours. Three times the
-smallest p-value is the battery's. A string below ``LEAST_P`` is not random.
-
-The others are tested against a null of ordinary strings, the letter model of ``language``. How many
-times likelier a uniform draw from the alphabet gives the string than the model does is its evidence,
-at most 1 on average over ordinary strings, so its reciprocal is a p-value. Benjamini and Hochberg's
-rule sets the threshold of each length class so that at most ``FDR`` of what is reported is
-ordinary. One strongly random string passes whatever else its class holds. Each different string
-of all documents is counted once in a histogram of fixed size, so copies decide nothing.
+smallest p-value is the battery's. A string below ``LEAST_P`` is not random, whatever else it is.
+
+The null is that a string is ordinary: that it follows the letter pairs of the corpus's own shorter
+words (see ``language``), which one aggregate of fixed size counts. How many times likelier a uniform
+draw from the alphabet gives the string than the null does, times the battery's p-value, is its
+evidence. Without the p-value it is at most 1 on average over ordinary strings, and so it is with
+it; its reciprocal is therefore a p-value of the null, large for strings that the battery finds
+uneven. Benjamini and Hochberg's rule sets the threshold of each length class so that at most ``FDR``
+of what is reported is ordinary. One strongly random string passes whatever else its class holds.
+Each different string of all documents is counted once in a histogram of fixed size, so copies
+decide nothing.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -238,13 +241,30 @@ def p_value(word: Column, encoding: Column) -> Column:
     return _let(F.get(F.array(*[F.lit(a) for a in ALPHABETS]), encoding), tested)
 
 
-def evidence(word: Column, encoding: Column) -> Column:
+def letter_pairs(texts: DataFrame, text: str = "text") -> dict[str, int]:
+    """How often each symbol follows another in the words of fewer than ``LEAST`` characters.
+
+    A word counts once per document, and its first symbol follows a space. There is at most one row
+    per pair of symbols, whatever the size of the corpus.
+    """
+    symbols = "0" * len(language.DIGITS) + "-" * len(language.SEPARATORS)
+    shorter = F.regexp_replace(whole(text), CANDIDATE, " ")
+    plain = F.translate(shorter, language.DIGITS + language.SEPARATORS, symbols)
+    words = F.array_distinct(F.split(plain, r"[^A-Za-z0\-]+"))
+    spaced = texts.select(F.explode(words).alias("word")).select(F.concat(F.lit(" "), "word").alias("word"))
+    places = F.explode(F.sequence(F.lit(1), F.length("word") - 1)).alias("at")
+    pairs = spaced.filter(F.length("word") > 1).select("word", places)
+    counts = pairs.groupBy(F.expr("substring(word, at, 2)").alias("pair")).agg(F.count(F.lit(1)).alias("n"))
+    return {r["pair"]: r["n"] for r in counts.collect()}
+
+
+def evidence(word: Column, encoding: Column, bits: Sequence[float]) -> Column:
     """Bits by which a uniform draw from the alphabet is likelier to give the word than the null.
 
     The alphabet is the word's own choice, for which the logarithm of their number is taken off.
     """
     # One literal of text, as a call for each number would be slow.
-    table = F.split(F.lit(",".join(f"{b:.4f}" for b in language.surprise())), ",").cast("array<double>")
+    table = F.split(F.lit(",".join(f"{b:.4f}" for b in bits)), ",").cast("array<double>")
     each = F.array(*[F.lit(math.log2(len(a))) for a in ALPHABETS])
     width = len(language.SYMBOLS)
     plain = F.translate(
@@ -267,7 +287,7 @@ def _length_class(word: Column) -> Column:
     return reduce(lambda a, b: a + b, [(F.length(word) >= x).cast("int") for x in LENGTH_CLASSES])
 
 
-def _candidates(text: Column, base: Column) -> Column:
+def _candidates(text: Column, base: Column, bits: Sequence[float]) -> Column:
     """start, end, class, digest, bin of the strings to be tested, outside all base spans."""
     outside = F.filter(
         _matches(text, CANDIDATE, 0),
@@ -282,11 +302,17 @@ def _candidates(text: Column, base: Column) -> Column:
                 c["end"].alias("end"),
                 _length_class(c["word"]).alias("class"),
                 F.xxhash64(c["word"]).alias("digest"),
-                F.when(p_value(c["word"], code) < LEAST_P, F.lit(0))
-                .otherwise(
-                    F.greatest(
-                        F.least(F.floor(evidence(c["word"], code)).cast("int"), F.lit(MOST_BITS)), F.lit(0)
-                    )
+                _let(
+                    p_value(c["word"], code),
+                    lambda p: F.when(p < LEAST_P, F.lit(0)).otherwise(
+                        F.greatest(
+                            F.least(
+                                F.floor(evidence(c["word"], code, bits) + F.log2(p)).cast("int"),
+                                F.lit(MOST_BITS),
+                            ),
+                            F.lit(0),
+                        )
+                    ),
                 )
                 .alias("bin"),
             ),
@@ -329,9 +355,10 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fdr: float
     returned, other columns ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col(doc_id).alias("id"), whole(text).alias("text"))
+    bits = language.surprise(letter_pairs(rows))
     both = _let(
         _base(F.col("text")),
-        lambda base: F.struct(base.alias("base"), _candidates(F.col("text"), base).alias("tested")),
+        lambda base: F.struct(base.alias("base"), _candidates(F.col("text"), base, bits).alias("tested")),
     )
     found = stored(rows.select("id", both.alias("both")).select("id", "both.*"), "secrets")
     limits = thresholds(found.select(F.explode("tested").alias("t")).select("t.*"), fdr)
