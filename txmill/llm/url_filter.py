@@ -20,8 +20,8 @@ from txmill.llm.common import stored
 ALLOW, BLOCK = "allow", "block"
 #: Bound of the different URLs of each label that the trees are fitted on, lowest hashes first.
 SAMPLE = 10_000
-#: Rules become one expression; longer lists belong into a table that is joined.
-MOST_RULES = 1000
+#: Up to so many rules become one expression; more are a table that hosts and paths are joined with.
+EXPRESSION_RULES = 200
 TREES, DEPTH, SEED = 20, 4, 7
 
 #: Words of a host that make its URLs examples of blocked ones. A list of our own.
@@ -65,16 +65,44 @@ def path_of(url: Column) -> Column:
 
 def _by_rule(rules: list[Rule], host: Column, path: Column) -> tuple[Column, Column]:
     """Text and verdict of the longest rule that fits, NULL if none does; of equal ones, block."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    text = verdict = F.lit(None).cast("string")
-    for rule in sorted(rules, key=lambda r: (len(r.text), r.verdict == BLOCK, r.text)):
+    text = verdict = F  # one flat list of cases, the first that fits counts
+    for rule in sorted(rules, key=lambda r: (len(r.text), r.verdict == BLOCK, r.text), reverse=True):
         fits = ((host == rule.host) | host.endswith(f".{rule.host}")) & path.startswith(rule.path)
-        text = F.when(fits, F.lit(rule.text)).otherwise(text)
-        verdict = F.when(fits, F.lit(rule.verdict)).otherwise(verdict)
+        text, verdict = text.when(fits, F.lit(rule.text)), verdict.when(fits, F.lit(rule.verdict))
+    if not rules:
+        return F.lit(None).cast("string"), F.lit(None).cast("string")
     return text, verdict
 
 
+def _with_rules(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Adds rule and ruled by joins: hosts by their suffixes, paths by their beginnings.
+
+    Different hosts and paths are joined, once each, so a host with many pages costs no more than
+    others. A rule is met by equality of its host with a suffix and of its path with a beginning of
+    the length that it has, so a host with many rules is no longer list than any.
+    """
+    spark = rows.sparkSession
+    listed = [(r.host, r.path, r.text, r.verdict) for r in sorted(set(rules), key=lambda r: (r.text, r.verdict))]
+    table = spark.createDataFrame(listed, "rule_host string, rule_path string, rule string, ruled string")
+    lengths = F.array(*[F.lit(n) for n in sorted({len(r.path) for r in rules})])
+    places = rows.select("host", "path").distinct()
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(
+        F.sequence(F.lit(1), F.size(labels)),
+        lambda k: F.concat_ws(".", F.slice(labels, k, F.size(labels))),
+    )
+    fitting = F.filter(lengths, lambda n: n <= F.length("path"))
+    offered = (
+        places.select("host", "path", F.explode(suffixes).alias("rule_host"))
+        .withColumn("length", F.explode(fitting))
+        .withColumn("rule_path", F.expr("substring(path, 1, length)"))
+    )
+    met = offered.join(table, ["rule_host", "rule_path"])
+    order = F.struct(F.length("rule"), (F.col("ruled") == BLOCK).alias("b"), F.col("rule"))
+    best = met.groupBy("host", "path").agg(F.max_by(F.struct("rule", "ruled"), order).alias("best"))
+    return rows.join(best, ["host", "path"], "left").select(*rows.columns, "best.rule", "best.ruled")
+
+
 def _count(text: Column, part: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))).cast("double") / len(part)
 
@@ -91,12 +119,17 @@ def _entropy(text: Column) -> Column:
     return F.when(n > 0, F.aggregate(letters, F.lit(0.0), add)).otherwise(F.lit(0.0))
 
 
-def parsed(pages: DataFrame, page_id: str, url: str, rules: list[Rule]) -> DataFrame:
+def parsed(
+    pages: DataFrame, page_id: str, url: str, rules: list[Rule], expression_rules: int = EXPRESSION_RULES
+) -> DataFrame:
     """id, url, host, path, suffix, rule, ruled (the verdict of the rule)."""
     rows = pages.select(F.col(page_id).alias("id"), F.coalesce(F.col(url), F.lit("")).alias("url"))
     rows = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    rows = rows.withColumn("suffix", F.substring_index("host", ".", -1))
+    if len(rules) > expression_rules:
+        return _with_rules(rows, rules)
     rule, ruled = _by_rule(rules, F.col("host"), F.col("path"))
-    return rows.withColumns({"suffix": F.substring_index("host", ".", -1), "rule": rule, "ruled": ruled})
+    return rows.withColumns({"rule": rule, "ruled": ruled})
 
 
 FEATURES = {
