@@ -121,21 +121,23 @@ def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     """The documents that stay, with all their columns.
 
     The join is by digest and id, so the rows of a large group are spread over all tasks. Should
-    digests collide, the content takes part in the join as well.
+    digests collide, the content takes part in the join as well. Rows that repeat an id and a text
+    lie together after the join, so whole rows are moved once.
     """
     groups = text_groups(docs, doc_id, text)
     digests = _by_digest(groups)
     by_content = _collisions(digests) is not None
-    keepers = groups if by_content else digests
     keys = ["digest", "content"] if by_content else ["digest"]
+
+    def name(of: Column) -> Column:
+        # Never NULL, so that plain equality serves the join and the grouping after it.
+        return F.coalesce(F.concat(F.lit("="), of.cast("string")), F.lit("")).alias("name")
+
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-        docs[doc_id].alias("id"),
+        name(docs[doc_id]),
         normalised(docs[text]).alias("content"),
     ).withColumn("digest", sha256(F.col("content")))
-    keepers = keepers.select(*[F.col(k).alias(f"keep_{k}") for k in keys], "keep_id")
-    same = F.col("id").eqNullSafe(F.col("keep_id"))
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"keep_{k}"))
-    kept = rows.join(keepers, same)
-    return kept.select("row", "id", *keys).dropDuplicates(["id", *keys]).select("row.*")
+    keepers = (groups if by_content else digests).select(*keys, name(F.col("keep_id")))
+    kept = rows.select("row", "name", *keys).join(keepers, ["name", *keys])
+    return kept.dropDuplicates(["name", *keys]).select("row.*")
